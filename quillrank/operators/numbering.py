@@ -23,13 +23,10 @@ def numbered(df: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
     sizes = placed.groupBy("part").agg(F.count("*").alias("rows"))
     # One row per partition of the sort, however many rows those have.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = checkpointed(
-        sizes.select("part", "rows", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
-    )
-    total = offsets.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("total")).first()["total"]
+    offsets = sizes.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
     in_part = F.col("slot").bitwiseAND(F.lit((1 << _SLOT_BITS) - 1))
-    with_offset = placed.join(F.broadcast(offsets.drop("rows")), "part")
+    with_offset = placed.join(F.broadcast(offsets), "part")
     return (
         with_offset.withColumn("number", F.col("offset") + in_part + 1).drop("slot", "part", "offset"),
-        total,
+        placed.count(),
     )

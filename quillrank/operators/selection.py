@@ -95,28 +95,26 @@ def _advance(choice: DataFrame, hits: DataFrame, k: int, prefix: int, dedup: boo
     )
 
 
-def wants_more(choice: DataFrame) -> bool:
-    return not choice.where("more").isEmpty()
-
-
 def choose(
     choice: DataFrame,
     hits_of: Callable[[DataFrame | None], DataFrame],
     k: int,
     dedup: bool,
     prefix: int = PREFIX,
-) -> DataFrame:
+) -> tuple[DataFrame, bool]:
     """Carry ``choice`` through all hits of one stretch of the ranking.
 
     ``hits_of(queries)`` gives the hits of the stretch for those queries, or for all if None.
+    The second value tells whether any query still has fewer than ``k``.
     """
     prefix = max(prefix, k)
-    fresh = "last" not in choice.columns
-    while fresh or wants_more(choice):
-        queries = None if fresh else choice.where("more").select("query_id")
+    queries = choice.where("more").select("query_id") if "last" in choice.columns else None
+    while True:
         choice = checkpointed(_advance(choice, hits_of(queries), k, prefix, dedup))
-        fresh = False
-    return choice
+        left = choice.agg(F.max("more").alias("more"), F.max(F.size("kept") < k).alias("short")).first()
+        if not left["more"]:
+            return choice, bool(left["short"])
+        queries = choice.where("more").select("query_id")
 
 
 def next_stretch(choice: DataFrame, k: int) -> DataFrame:

@@ -1,14 +1,15 @@
 """The whole ranking job, from queries and articles to the best hits of every query."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.functions.relevance import merit
 from quillrank.operators import analysis, bags, scoring, selection
 from quillrank.operators.numbering import numbered
-from quillrank.storage import broadcast_if_small, checkpointed
+from quillrank.storage import broadcast_if_small, checkpointed, checkpointed_as_partitioned
 
 _TERM_BYTES = 64  # a row of numbers around a term
 _WEIGHT_ROWS = 1_000_000
@@ -40,7 +41,7 @@ class Corpus:
         self.term_rows = checkpointed(analysis.query_term_rows(queries, options.stem))
         vocabulary = analysis.query_vocabulary(self.term_rows)
         kept = bags.vocabulary_filter(vocabulary, options.stem, options.inline_terms)
-        self.bags = checkpointed(bags.article_bags(articles, kept))
+        self.bags = checkpointed_as_partitioned(bags.article_bags(articles, kept))
         self.token_terms = self._token_terms(vocabulary, options.stem, kept is not None)
         self.stats = bags.corpus_stats(self.bags)
         frequencies = bags.term_frequencies(self.postings())
@@ -87,7 +88,7 @@ def _small(df: DataFrame, text: str, rows: int, size: int) -> DataFrame:
     return broadcast_if_small(df, F.length(text) * 4 + _TERM_BYTES, rows, size)
 
 
-def _choose_zeros(corpus: Corpus, choice: DataFrame, options: Options) -> DataFrame:
+def _choose_zeros(corpus: Corpus, choice: DataFrame, options: Options) -> tuple[DataFrame, bool]:
     """Fill up with candidates of score 0, lowest ids first, in blocks of growing size.
 
     A block meets only the queries that are still short, one row per article of the block, and
@@ -96,25 +97,24 @@ def _choose_zeros(corpus: Corpus, choice: DataFrame, options: Options) -> DataFr
     candidates, total = numbered(corpus.candidates(), bags.CANDIDATE)
     keys = [*bags.CANDIDATE, "number"]
     start, size = 1, _FIRST_BLOCK
-    while start <= total and selection.wants_more(choice):
+    short = True
+    while short and start <= total:
         end = min(start + size - 1, total)
         block = candidates.where(F.col("number").between(start, end))
         if size <= _BLOCK_ROWS:
             width = F.length("title") * 4 + F.size("bag") * 32 + 128
             block = broadcast_if_small(checkpointed(block), width, _BLOCK_ROWS, _BLOCK_BYTES)
 
-        def zeros(queries: DataFrame | None, block=block, start=start, end=end) -> DataFrame:
-            if queries is None:
-                queries = choice.where("more").select("query_id")
+        def zeros(queries: DataFrame, block=block, start=start, end=end) -> DataFrame:
             scored = corpus.hits(queries, block, keys).where("score <> 0").select("query_id", "number")
             numbers = queries.select("query_id", F.explode(F.sequence(F.lit(start), F.lit(end))).alias("number"))
             unscored = numbers.join(scored, ["query_id", "number"], "left_anti")
             return unscored.join(block, "number").withColumn("score", F.lit(0.0))
 
-        choice = selection.choose(choice, zeros, options.k, options.dedup, options.prefix)
         choice = selection.next_stretch(choice, options.k)
+        choice, short = selection.choose(choice, zeros, options.k, options.dedup, options.prefix)
         start, size = end + 1, size * 4
-    return choice
+    return choice, short
 
 
 def rank_documents(queries: DataFrame, articles: DataFrame, options: Options = Options()) -> DataFrame:
@@ -127,22 +127,21 @@ def rank_documents(queries: DataFrame, articles: DataFrame, options: Options = O
     corpus = Corpus(queries, articles, options)
     value = merit(F.col("score"))
 
-    def choose(choice: DataFrame, condition=None) -> DataFrame:
-        def hits(wanted: DataFrame | None) -> DataFrame:
-            found = corpus.hits(wanted)
-            return found if condition is None else found.where(condition)
+    def scored(condition: Column) -> Callable[[DataFrame | None], DataFrame]:
+        return lambda wanted: corpus.hits(wanted).where(condition)
 
-        return selection.choose(choice, hits, options.k, options.dedup, options.prefix)
+    def choose(choice: DataFrame, condition: Column) -> tuple[DataFrame, bool]:
+        return selection.choose(choice, scored(condition), options.k, options.dedup, options.prefix)
 
     choice = selection.new_choice(corpus.term_rows)
-    if not options.pad_zero:
-        choice = choose(choice)
+    if options.pad_zero:
+        choice, short = choose(choice, value > 0)
+        if short:
+            choice, short = _choose_zeros(corpus, choice, options)
+        if short:
+            choice, short = choose(selection.next_stretch(choice, options.k), value < 0)
     else:
-        choice = selection.next_stretch(choose(choice, value > 0), options.k)
-        if selection.wants_more(choice):
-            choice = _choose_zeros(corpus, choice, options)
-        if selection.wants_more(choice):
-            choice = choose(choice, value < 0)
+        choice, short = choose(choice, F.lit(True))
     hits = selection.chosen_hits(choice)
     return hits.join(queries.select("query_id", "query"), "query_id").select(
         "query_id", "query", "rank", "id", "title", "score"

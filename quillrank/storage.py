@@ -21,13 +21,29 @@ def _prepare_checkpoint_dir(spark: SparkSession) -> None:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Run ``df`` once and read it back from the checkpoint folder from then on.
 
-    The files outlive executors, so nothing upstream is ever recomputed, and the partitioning of
-    ``df`` stays known to the planner.
+    The files outlive executors, so nothing upstream is ever recomputed.
     """
     _prepare_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def checkpointed_as_partitioned(df: DataFrame) -> DataFrame:
+    """A checkpoint that the planner knows to be partitioned as ``df`` is.
+
+    What groups by the same keys, and more, then needs no shuffle. An adaptive plan does not tell
+    its partitioning, so this one job is planned without; it has ``spark.sql.shuffle.partitions``
+    partitions.
+    """
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        # Planning happens on a new frame: df may have been planned already.
+        return checkpointed(df.select("*"))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def broadcast_if_small(df: DataFrame, width: Column, max_rows: int, max_bytes: int) -> DataFrame:
     """Hint a broadcast when ``df`` holds at most ``max_rows`` rows and ``max_bytes`` bytes.
 
