@@ -1,6 +1,7 @@
 """Cutting lineage on reliable storage, and checking sizes before a broadcast."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,3 +60,9 @@ def broadcast_if_small(df: DataFrame, width: Column, max_rows: int, max_bytes: i
     if measured["rows"] <= max_rows and measured["bytes"] <= max_bytes:
         return F.broadcast(df)
     return df
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder path, on the storage that checkpoints use."""
+    _prepare_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
