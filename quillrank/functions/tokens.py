@@ -1,5 +1,7 @@
 """Column expressions for text analysis. All run inside the JVM."""
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,22 +28,43 @@ def tokens_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def without_stopwords(tokens: Column) -> Column:
-    return F.filter(tokens, lambda token: ~token.isin(*STOPWORDS))
+def one_of(tested: str, values: Iterable[str]) -> str:
+    """SQL that tests whether an expression is among ``values``; Spark makes long lists hash sets."""
+    listed = ", ".join("'" + value.replace("'", "\\'") + "'" for value in sorted(values))
+    return f"{tested} in ({listed})" if listed else "false"
+
+
+def without_stopwords(tokens: str) -> Column:
+    """The tokens in the column of that name that are not stopwords."""
+    return F.expr(f"filter({tokens}, t -> not {one_of('t', STOPWORDS)})")
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, wherever the planner moves the expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def counted(tokens: Column) -> Column:
+    """The distinct tokens of an array, sorted, as (token, tf).
 
+    Equal tokens are neighbours once sorted; how far apart the first ones of two neighbouring
+    runs are is how often the earlier token occurs.
+    """
 
-def run_starts(ordered: Column) -> Column:
-    """The first position of every run of equal values in a sorted array."""
-    placed = F.transform(ordered, lambda token, i: F.struct(token.alias("token"), i.alias("at")))
-    return F.filter(placed, lambda p: (p["at"] == 0) | (p["token"] != F.get(ordered, p["at"] - 1)))
+    def run_starts(ordered: Column) -> Column:
+        placed = F.transform(ordered, lambda token, i: F.struct(token.alias("token"), i.alias("at")))
+        return F.filter(placed, lambda p: (p["at"] == 0) | (p["token"] != F.get(ordered, p["at"] - 1)))
 
+    def lengths(starts: Column, total: Column) -> Column:
+        return F.transform(
+            starts,
+            lambda p, i: F.struct(
+                p["token"].alias("token"),
+                (F.coalesce(F.get(starts, i + 1)["at"], total) - p["at"]).alias("tf"),
+            ),
+        )
 
-def run_lengths(starts: Column, total: Column) -> Column:
-    """(token, tf) of every run, given the run starts and the length of the whole array."""
-    return F.transform(
-        starts,
-        lambda p, i: F.struct(
-            p["token"].alias("token"),
-            (F.coalesce(F.get(starts, i + 1)["at"], total) - p["at"]).alias("tf"),
-        ),
+    return _let(
+        F.array_sort(tokens),
+        lambda ordered: _let(run_starts(ordered), lambda starts: lengths(starts, F.size(ordered))),
     )

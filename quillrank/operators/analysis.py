@@ -37,7 +37,7 @@ def article_text(articles: DataFrame) -> DataFrame:
 def article_tokens(articles: DataFrame) -> DataFrame:
     """(id, title, tokens): the indexed tokens of every usable article, stopwords removed."""
     tokens = article_text(articles).select("id", "title", tokens_of(F.col("text")).alias("tokens"))
-    return tokens.select("id", "title", without_stopwords(F.col("tokens")).alias("tokens"))
+    return tokens.select("id", "title", without_stopwords("tokens").alias("tokens"))
 
 
 def stem_map(tokens: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def query_term_rows(queries: DataFrame, stem: bool) -> DataFrame:
     A query of stopwords only has no rows.
     """
     kept = queries.select("query_id", tokens_of(F.col("query")).alias("tokens")).select(
-        "query_id", without_stopwords(F.col("tokens")).alias("tokens")
+        "query_id", without_stopwords("tokens").alias("tokens")
     )
     rows = kept.select(
         "query_id",

@@ -4,13 +4,11 @@ A bag is counted inside its own row, so the corpus is read and analysed once and
 never shuffled. What is shuffled is one short row per article that can be a candidate.
 """
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.functions.porter import shared_prefix
-from quillrank.functions.tokens import run_lengths, run_starts
+from quillrank.functions.tokens import counted, one_of
 from quillrank.operators.analysis import article_tokens
 
 # What tells one candidate from another. Ids need not be unique.
@@ -22,12 +20,6 @@ INLINE_TERMS = 4096
 _LONGEST_PREFIX = 4
 
 
-def _one_of(array: str, tested: str, values: set[str]) -> str:
-    # Terms hold letters and digits only, so they need no escaping. Spark makes long lists hash sets.
-    listed = ", ".join(f"'{value}'" for value in sorted(values))
-    return f"{tested} in ({listed})" if values else "false"
-
-
 def vocabulary_filter(vocabulary: DataFrame, stem: bool, limit: int = INLINE_TERMS) -> Column | None:
     """The tokens of column ``tokens`` that can become a term of ``vocabulary``.
 
@@ -43,9 +35,9 @@ def vocabulary_filter(vocabulary: DataFrame, stem: bool, limit: int = INLINE_TER
         for term in terms:
             prefix = shared_prefix(term)[:_LONGEST_PREFIX]
             by_size.setdefault(len(prefix), set()).add(prefix)
-        tests = [_one_of("tokens", f"substring(t, 1, {n})", found) for n, found in by_size.items()]
+        tests = [one_of(f"substring(t, 1, {n})", found) for n, found in by_size.items()]
     else:
-        tests = [_one_of("tokens", "t", set(terms))]
+        tests = [one_of("t", terms)]
     return F.expr(f"filter(tokens, t -> {' or '.join(tests) or 'false'})")
 
 
@@ -57,14 +49,12 @@ def article_bags(articles: DataFrame, kept: Column | None = None) -> DataFrame:
     so that all of one length become one row, which still counts in the statistics.
     """
     tokens = article_tokens(articles)
-    matched = tokens.select(
+    bags = tokens.select(
         "id",
         "title",
         F.size("tokens").alias("length"),
-        F.array_sort(F.col("tokens") if kept is None else kept).alias("matched"),
+        counted(F.col("tokens") if kept is None else kept).alias("bag"),
     )
-    started = matched.withColumn("starts", run_starts(F.col("matched")))
-    bags = started.withColumn("bag", run_lengths(F.col("starts"), F.size("matched")))
     can_match = F.size("bag") > 0
     return (
         bags.select(

@@ -88,10 +88,7 @@ def corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _user_postings(spark: SparkSession, sf: str) -> DataFrame:
-    vocabulary = query_vocabulary(spark, sf)
-    kept = bags.vocabulary_filter(vocabulary, stem=False)
-    mapped = None if kept is not None else vocabulary.select(F.col("term").alias("token"), "term")
-    return bags.postings(bags.article_bags(_articles(spark, sf), kept), token_terms=mapped)
+    return Corpus(_user_queries(spark, sf), _articles(spark, sf), EXACT).postings()
 
 
 def postings(spark: SparkSession, sf: str) -> DataFrame:

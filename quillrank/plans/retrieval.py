@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,17 +39,26 @@ class Corpus:
     """What the articles look like to one set of queries. Articles are read once, here."""
 
     def __init__(self, queries: DataFrame, articles: DataFrame, options: Options):
+        self._ratio = options.ratio
         self.term_rows = checkpointed(analysis.query_term_rows(queries, options.stem))
         vocabulary = analysis.query_vocabulary(self.term_rows)
         kept = bags.vocabulary_filter(vocabulary, options.stem, options.inline_terms)
         self.bags = checkpointed_as_partitioned(bags.article_bags(articles, kept))
-        self.token_terms = self._token_terms(vocabulary, options.stem, kept is not None)
         self.stats = bags.corpus_stats(self.bags)
+        self.token_terms = self._token_terms(vocabulary, options.stem, kept is not None)
+
+    @cached_property
+    def weights(self) -> DataFrame:
+        """Every term of every query that the corpus has, with what scoring needs to know of it."""
         frequencies = bags.term_frequencies(self.postings())
         counts = analysis.query_term_counts(self.term_rows)
-        weights = scoring.term_weights(counts, frequencies, self.stats, options.ratio).where("cf > 0")
-        self.weights = checkpointed(weights)
-        self._small_weights = _small(self.weights, "term", _WEIGHT_ROWS, _WEIGHT_BYTES)
+        return checkpointed(
+            scoring.term_weights(counts, frequencies, self.stats, self._ratio).where("cf > 0")
+        )
+
+    @cached_property
+    def _small_weights(self) -> DataFrame:
+        return _small(self.weights, "term", _WEIGHT_ROWS, _WEIGHT_BYTES)
 
     def _token_terms(self, vocabulary: DataFrame, stem: bool, filtered: bool) -> DataFrame | None:
         if stem:
