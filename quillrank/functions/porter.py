@@ -9,6 +9,7 @@ import sys
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The suffix rules of the paper, in its order.
 STEP_2 = """
@@ -122,7 +123,7 @@ def shared_prefix(stem: str) -> str:
     return stem[: max(1, len(stem) - 2)]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def porter_stems(tokens: pd.Series) -> pd.Series:
     return tokens.map(porter_stem)
 

@@ -15,7 +15,7 @@ from quillrank.operators.analysis import article_tokens
 CANDIDATE = ["id", "title", "length", "bag"]
 
 # A vocabulary of up to this many terms is tested for inside the row; beyond it, by a join.
-INLINE_TERMS = 4096
+INLINE_TERMS = 20_000
 
 _LONGEST_PREFIX = 4
 
@@ -78,23 +78,30 @@ def corpus_stats(bags: DataFrame) -> DataFrame:
     return totals.withColumn("avg_len", F.when(F.col("n_docs") > 0, mean))
 
 
-def postings(
-    bags: DataFrame,
-    keys: list[str] = CANDIDATE,
-    token_terms: DataFrame | None = None,
-) -> DataFrame:
-    """(keys, copies, term, tf): one row per candidate and term.
+def postings(bags: DataFrame, keys: list[str] = CANDIDATE) -> DataFrame:
+    """(keys, copies, term, tf): one row per candidate and term."""
+    return bags.select(*keys, "copies", F.explode("bag").alias("entry")).select(
+        *keys, "copies", F.col("entry.token").alias("term"), F.col("entry.tf").cast("bigint").alias("tf")
+    )
+
+
+def in_terms(bags: DataFrame, token_terms: DataFrame) -> DataFrame:
+    """``bags`` with terms for tokens, as ``token_terms`` maps them; tokens it lacks are dropped.
 
-    ``token_terms`` maps tokens to terms and drops the tokens it does not hold. A broadcast map
-    leaves the partitioning of ``bags`` as it is, and then the sum over the tokens of a term needs
-    no shuffle.
+    Articles left with nothing are gone, so statistics must come from ``bags``. With a broadcast
+    map and ``bags`` partitioned by candidate, the bags are rebuilt in place, and only what is
+    left of them is shuffled.
     """
-    rows = bags.select(*keys, "copies", F.explode("bag").alias("entry")).select(
-        *keys, "copies", F.col("entry.token").alias("token"), F.col("entry.tf").cast("bigint").alias("tf")
+    rows = postings(bags).withColumnRenamed("term", "token").join(token_terms, "token")
+    entries = rows.groupBy(*CANDIDATE, "copies", "term").agg(F.sum("tf").cast("int").alias("tf"))
+    rebuilt = entries.groupBy(*CANDIDATE, "copies").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("term").alias("token"), "tf"))).alias("terms")
+    )
+    return (
+        rebuilt.select("id", "title", "length", F.col("terms").alias("bag"), "copies")
+        .groupBy(*CANDIDATE)
+        .agg(F.sum("copies").alias("copies"))
     )
-    if token_terms is None:
-        return rows.withColumnRenamed("token", "term")
-    return rows.join(token_terms, "token").groupBy(*keys, "copies", "term").agg(F.sum("tf").alias("tf"))
 
 
 def bag_tokens(bags: DataFrame) -> DataFrame:

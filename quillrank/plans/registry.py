@@ -11,7 +11,7 @@ from quillrank.operators import analysis, assembly, bags, scoring
 from quillrank.plans.retrieval import Corpus, Options, rank_documents
 from quillrank.schema import QUERY
 from quillrank.sources import files, tables
-from quillrank.storage import scratch_folder
+from quillrank.storage import broadcast_if_small, checkpointed, scratch_folder
 
 # Queries put to the documents table.
 DOCUMENT_QUERIES = [
@@ -120,7 +120,8 @@ def title_distances(spark: SparkSession, sf: str) -> DataFrame:
     """Every scored hit against the best hit of its query."""
     corpus = Corpus(_document_queries(spark), _articles(spark, sf), EXACT)
     hits = corpus.hits().select("query_id", "id", "title", "score")
-    best = hits.groupBy("query_id").agg(F.max(F.struct("score", "id", "title")).alias("best"))
+    best = checkpointed(hits.groupBy("query_id").agg(F.max(F.struct("score", "id", "title")).alias("best")))
+    best = broadcast_if_small(best, F.length("best.title") * 4 + 64, 100_000, 64 << 20)
     return hits.join(best, "query_id").select(
         "query_id", "id", F.round(title_distance(F.col("best.title"), F.col("title")), 6).alias("distance")
     )

@@ -45,7 +45,15 @@ class Corpus:
         kept = bags.vocabulary_filter(vocabulary, options.stem, options.inline_terms)
         self.bags = checkpointed_as_partitioned(bags.article_bags(articles, kept))
         self.stats = bags.corpus_stats(self.bags)
-        self.token_terms = self._token_terms(vocabulary, options.stem, kept is not None)
+        if options.stem:
+            stems = analysis.stem_map(bags.bag_tokens(self.bags))
+            self._to_terms(stems.join(vocabulary, "term", "left_semi"))
+        elif kept is None:
+            self._to_terms(vocabulary.select(F.col("term").alias("token"), "term"))
+
+    def _to_terms(self, token_terms: DataFrame) -> None:
+        token_terms = _small(checkpointed(token_terms), "token", _WEIGHT_ROWS, _WEIGHT_BYTES)
+        self.bags = checkpointed_as_partitioned(bags.in_terms(self.bags, token_terms))
 
     @cached_property
     def weights(self) -> DataFrame:
@@ -60,18 +68,8 @@ class Corpus:
     def _small_weights(self) -> DataFrame:
         return _small(self.weights, "term", _WEIGHT_ROWS, _WEIGHT_BYTES)
 
-    def _token_terms(self, vocabulary: DataFrame, stem: bool, filtered: bool) -> DataFrame | None:
-        if stem:
-            stems = analysis.stem_map(bags.bag_tokens(self.bags))
-            mapped = checkpointed(stems.join(vocabulary, "term", "left_semi"))
-        elif filtered:
-            return None
-        else:
-            mapped = checkpointed(vocabulary.select(F.col("term").alias("token"), "term"))
-        return _small(mapped, "token", _WEIGHT_ROWS, _WEIGHT_BYTES)
-
-    def postings(self, of: DataFrame | None = None, keys: list[str] = bags.CANDIDATE) -> DataFrame:
-        return bags.postings(self.bags if of is None else of, keys, self.token_terms)
+    def postings(self) -> DataFrame:
+        return bags.postings(self.bags)
 
     def hits(
         self,
@@ -85,13 +83,12 @@ class Corpus:
             weights = weights.join(queries, "query_id", "left_semi")
         if self._small_weights is not self.weights:
             weights = F.broadcast(weights)  # part of a table whose size was checked
-        return scoring.scored_hits(self.postings(of, keys), weights, keys)
+        postings = bags.postings(self.bags if of is None else of, keys)
+        return scoring.scored_hits(postings, weights, keys)
 
     def candidates(self) -> DataFrame:
         """The articles that have a term of any query."""
-        if self.token_terms is None:
-            return self.bags.where(F.size("bag") > 0)
-        return self.postings().select(*bags.CANDIDATE, "copies").distinct()
+        return self.bags.where(F.size("bag") > 0)
 
 
 def _small(df: DataFrame, text: str, rows: int, size: int) -> DataFrame:
@@ -110,16 +107,15 @@ def _choose_zeros(corpus: Corpus, choice: DataFrame, options: Options) -> tuple[
     short = True
     while short and start <= total:
         end = min(start + size - 1, total)
-        block = candidates.where(F.col("number").between(start, end))
-        if size <= _BLOCK_ROWS:
-            width = F.length("title") * 4 + F.size("bag") * 32 + 128
-            block = broadcast_if_small(checkpointed(block), width, _BLOCK_ROWS, _BLOCK_BYTES)
+        block = checkpointed(candidates.where(F.col("number").between(start, end)))
+        width = F.length("title") * 4 + F.size("bag") * 32 + 128
+        small_block = broadcast_if_small(block, width, _BLOCK_ROWS, _BLOCK_BYTES)
 
-        def zeros(queries: DataFrame, block=block, start=start, end=end) -> DataFrame:
+        def zeros(queries: DataFrame, block=block, small_block=small_block, start=start, end=end) -> DataFrame:
             scored = corpus.hits(queries, block, keys).where("score <> 0").select("query_id", "number")
             numbers = queries.select("query_id", F.explode(F.sequence(F.lit(start), F.lit(end))).alias("number"))
             unscored = numbers.join(scored, ["query_id", "number"], "left_anti")
-            return unscored.join(block, "number").withColumn("score", F.lit(0.0))
+            return unscored.join(small_block, "number").withColumn("score", F.lit(0.0))
 
         choice = selection.next_stretch(choice, options.k)
         choice, short = selection.choose(choice, zeros, options.k, options.dedup, options.prefix)
