@@ -11,13 +11,15 @@ from quillrank.functions.porter import shared_prefix
 from quillrank.functions.tokens import counted, one_of
 from quillrank.operators.analysis import article_tokens
 
-# What tells one candidate from another. Ids need not be unique.
-CANDIDATE = ["id", "title", "length", "bag"]
+# What tells one candidate from another. Ids need not be unique. The fingerprint is a hash of the
+# bag, which keeps whole bags out of grouping keys; it only has to tell apart the few articles that
+# agree in id, title and length.
+CANDIDATE = ["id", "title", "length", "fingerprint"]
 
 # A vocabulary of up to this many terms is tested for inside the row; beyond it, by a join.
 INLINE_TERMS = 20_000
 
-_LONGEST_PREFIX = 4
+_LONGEST_PREFIX = 6
 
 
 def vocabulary_filter(vocabulary: DataFrame, stem: bool, limit: int = INLINE_TERMS) -> Column | None:
@@ -42,7 +44,7 @@ def vocabulary_filter(vocabulary: DataFrame, stem: bool, limit: int = INLINE_TER
 
 
 def article_bags(articles: DataFrame, kept: Column | None = None) -> DataFrame:
-    """(id, title, length, bag, copies): every usable article, equal ones together.
+    """(id, title, length, fingerprint, bag, copies): every usable article, equal ones together.
 
     ``length`` counts all tokens of the article, ``bag`` holds (token, tf) of those that ``kept``
     selects, sorted by token. Articles with an empty bag cannot be found; they lose id and title,
@@ -56,15 +58,23 @@ def article_bags(articles: DataFrame, kept: Column | None = None) -> DataFrame:
         counted(F.col("tokens") if kept is None else kept).alias("bag"),
     )
     can_match = F.size("bag") > 0
-    return (
+    return _merged(
         bags.select(
             F.when(can_match, F.col("id")).alias("id"),
             F.when(can_match, F.col("title")).alias("title"),
             "length",
             "bag",
-        )
+        ),
+        F.count("*"),
+    )
+
+
+def _merged(bags: DataFrame, copies: Column) -> DataFrame:
+    """One row per candidate; ``copies`` is the aggregate that counts the merged articles."""
+    return (
+        bags.withColumn("fingerprint", F.xxhash64("bag"))
         .groupBy(*CANDIDATE)
-        .agg(F.count("*").alias("copies"))
+        .agg(F.any_value("bag").alias("bag"), copies.alias("copies"))
     )
 
 
@@ -97,10 +107,8 @@ def in_terms(bags: DataFrame, token_terms: DataFrame) -> DataFrame:
     rebuilt = entries.groupBy(*CANDIDATE, "copies").agg(
         F.array_sort(F.collect_list(F.struct(F.col("term").alias("token"), "tf"))).alias("terms")
     )
-    return (
-        rebuilt.select("id", "title", "length", F.col("terms").alias("bag"), "copies")
-        .groupBy(*CANDIDATE)
-        .agg(F.sum("copies").alias("copies"))
+    return _merged(
+        rebuilt.select("id", "title", "length", F.col("terms").alias("bag"), "copies"), F.sum("copies")
     )
 
 

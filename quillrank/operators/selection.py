@@ -41,7 +41,9 @@ def new_choice(term_rows: DataFrame) -> DataFrame:
 
 
 def _near_a_kept(kept: Column, title: Column) -> Column:
-    return F.exists(kept, lambda hit: is_near_duplicate(hit["title"], title))
+    # Most near duplicates are plain copies: look for those before measuring any distance.
+    copy = (title != "") & F.exists(kept, lambda hit: hit["title"] == title)
+    return copy | F.exists(kept, lambda hit: is_near_duplicate(hit["title"], title))
 
 
 def _first_hits(hits: DataFrame, count: int) -> DataFrame:
@@ -80,7 +82,9 @@ def _advance(choice: DataFrame, hits: DataFrame, k: int, prefix: int, dedup: boo
         hits = hits.where(F.col("last").isNull() | (F.struct(*_PLACE) > F.col("last")))
         if dedup:
             hits = hits.where(~_near_a_kept(F.col("kept"), F.col("title")))
-    first = _first_hits(hits, prefix)
+    # Edit distances take long for the few bytes they read, so partitions must not be merged by size.
+    partitions = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = _first_hits(hits, prefix).repartition(partitions, "query_id")
     prefixes = first.groupBy("query_id").agg(
         F.array_sort(F.collect_list(F.struct(*_PLACE, "copies", "score"))).alias("prefix")
     )
@@ -121,7 +125,7 @@ def next_stretch(choice: DataFrame, k: int) -> DataFrame:
     """``choice`` at the start of a new stretch: every query short of ``k`` wants more."""
     nowhere = ", ".join(f"{name}: {kind}" for name, kind in [
         (_DEMERIT, "double"), ("id", "string"), ("title", "string"), ("length", "int"),
-        ("bag", "array<struct<token: string, tf: int>>"),
+        ("fingerprint", "bigint"),
     ])
     return choice.select(
         "query_id", "kept", (F.size("kept") < k).alias("more"),
