@@ -16,6 +16,7 @@ _TERM_BYTES = 64  # a row of numbers around a term
 _WEIGHT_ROWS = 1_000_000
 _WEIGHT_BYTES = 64 << 20
 _FIRST_BLOCK = 256
+_SLICE = 4096  # candidates that share a join key
 _BLOCK_ROWS = 200_000
 _BLOCK_BYTES = 64 << 20
 
@@ -98,8 +99,8 @@ def _small(df: DataFrame, text: str, rows: int, size: int) -> DataFrame:
 def _choose_zeros(corpus: Corpus, choice: DataFrame, options: Options) -> tuple[DataFrame, bool]:
     """Fill up with candidates of score 0, lowest ids first, in blocks of growing size.
 
-    A block meets only the queries that are still short, one row per article of the block, and
-    its articles are scored anew to leave out those with another score.
+    A block meets only the queries that are still short, and its articles are scored anew to leave
+    out those with another score.
     """
     candidates, total = numbered(corpus.candidates(), bags.CANDIDATE)
     keys = [*bags.CANDIDATE, "number"]
@@ -107,15 +108,19 @@ def _choose_zeros(corpus: Corpus, choice: DataFrame, options: Options) -> tuple[
     short = True
     while short and start <= total:
         end = min(start + size - 1, total)
-        block = checkpointed(candidates.where(F.col("number").between(start, end)))
+        numbers = F.col("number").between(start, end)
+        slice_of = F.call_function("div", F.col("number"), F.lit(_SLICE))
+        block = checkpointed(candidates.where(numbers).withColumn("slice", slice_of))
         width = F.length("title") * 4 + F.size("bag") * 32 + 128
         small_block = broadcast_if_small(block, width, _BLOCK_ROWS, _BLOCK_BYTES)
 
-        def zeros(queries: DataFrame, block=block, small_block=small_block, start=start, end=end) -> DataFrame:
+        slices = F.sequence(*[F.lit(n // _SLICE).cast("bigint") for n in (start, end)])
+
+        def zeros(queries: DataFrame, block=block, small_block=small_block, slices=slices) -> DataFrame:
             scored = corpus.hits(queries, block, keys).where("score <> 0").select("query_id", "number")
-            numbers = queries.select("query_id", F.explode(F.sequence(F.lit(start), F.lit(end))).alias("number"))
-            unscored = numbers.join(scored, ["query_id", "number"], "left_anti")
-            return unscored.join(small_block, "number").withColumn("score", F.lit(0.0))
+            offered = queries.select("query_id", F.explode(slices).alias("slice")).join(small_block, "slice")
+            unscored = offered.join(scored, ["query_id", "number"], "left_anti")
+            return unscored.withColumn("score", F.lit(0.0))
 
         choice = selection.next_stretch(choice, options.k)
         choice, short = selection.choose(choice, zeros, options.k, options.dedup, options.prefix)
