@@ -8,6 +8,7 @@ import pytest
 import model
 from builders import article, articles, queries, ranked
 from quillrank import Options, rank_documents
+from quillrank.plans import retrieval
 
 PLAIN = Options(stem=False)
 
@@ -101,7 +102,8 @@ def test_a_long_run_of_near_duplicates_takes_more_rounds(spark):
     same(plain, expected(rows, texts, dedup=False))
 
 
-def test_padding_goes_through_blocks_of_near_duplicates(spark):
+def test_padding_goes_through_blocks_of_near_duplicates(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "_SLICE", 64)
     # Six hundred candidates with one title and the lowest ids, then distinct ones.
     rows = [article(f"a{i:04d}", "the very same headline", f"red number{i}") for i in range(600)]
     rows += [article(f"b{i:02d}", chr(98 + i) * 9, "red") for i in range(12)]
