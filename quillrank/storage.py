@@ -66,3 +66,37 @@ def scratch_folder(spark: SparkSession) -> str:
     """A new folder path, on the storage that checkpoints use."""
     _prepare_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
+
+
+class Scratch:
+    """A folder for intermediate tables, on the storage that checkpoints use, removed on exit.
+
+    What leaves the ``with`` block must not read from it: checkpoint the result before.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self.folder = scratch_folder(spark)
+        self._tables = 0
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_) -> None:
+        remove(self._spark, self.folder)
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` as parquet and read it back: lineage is cut, columns can be pruned."""
+        path = self.path()
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def path(self) -> str:
+        self._tables += 1
+        return f"{self.folder}/{self._tables}"
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder through Spark's file systems."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
