@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillrank.llm import exactdedup, forcedbpe, html, packing, sharding, tokenfiles
+import corpus_pipeline
+from quillrank.llm import exactdedup, forcedbpe, html, oddsketch, packing, pii, pivots, quality, sharding, tokenfiles
 from quillrank.sources.tables import read_table
 from quillrank.storage import Scratch, checkpointed
 
@@ -32,6 +33,12 @@ def op1_token_files(spark: SparkSession, sf: str) -> DataFrame:
         return checkpointed(read.select("doc_id", "start", "n_tokens", F.col("summary").alias("ids_crc32")))
 
 
+def op2_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    with Scratch(spark) as scratch:
+        replaced = pii.with_surrogates(read_table(spark, sf, "documents"), scratch)
+        return checkpointed(replaced.select("doc_id", "text", "n_entities"))
+
+
 def op3_forced_bpe(spark: SparkSession, sf: str) -> DataFrame:
     encoded = forcedbpe.encode_documents(read_table(spark, sf, "documents"))
     return encoded.select(
@@ -42,6 +49,23 @@ def op3_forced_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_pivot_links(spark: SparkSession, sf: str) -> DataFrame:
+    with Scratch(spark) as scratch:
+        return checkpointed(pivots.nearest_links(read_table(spark, sf, "embeddings"), scratch, cosine=0.98))
+
+
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    documents = read_table(spark, sf, "documents")
+    with Scratch(spark) as scratch:
+        model = quality.fit(documents, read_table(spark, sf, "labels"), scratch)
+    return quality.scored(documents.select("doc_id", "text"), model).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.REJECT_BELOW).cast("int").alias("predicted"),
+    )
+
+
 def op6_feistel_shards(spark: SparkSession, sf: str) -> DataFrame:
     with Scratch(spark) as scratch:
         placed = sharding.shard(read_table(spark, sf, "documents"), scratch, shards=40, seed=6)
@@ -67,13 +91,27 @@ def op9_lexical_packing(spark: SparkSession, sf: str) -> DataFrame:
         ))
 
 
+def op10_odd_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    with Scratch(spark) as scratch:
+        return checkpointed(oddsketch.near_groups(read_table(spark, sf, "documents"), scratch, percent=85))
+
+
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_surrogates": op2_surrogates,
     "op3_forced_bpe": op3_forced_bpe,
+    "op4_pivot_links": op4_pivot_links,
+    "op5_quality": op5_quality,
     "op6_feistel_shards": op6_feistel_shards,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_html_text": op8_html_text,
     "op9_lexical_packing": op9_lexical_packing,
+    "op10_odd_sketches": op10_odd_sketches,
+    "pipeline": pipeline,
 }
 
 LLM_ORACLES: dict[str, str] = {
