@@ -3,10 +3,11 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillrank.llm import exactdedup, oddsketch, packing, pii, quality
 from quillrank.sources.tables import read_table
-from quillrank.storage import Scratch, checkpointed
+from quillrank.storage import Scratch, broadcast_if_small, checkpointed
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,7 +31,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Of documents that near copies join the one with the least doc_id."""
     with Scratch(spark) as scratch:
         gone = oddsketch.near_groups(docs, scratch, percent=80).where("not kept").select("doc_id").distinct()
-        gone = checkpointed(gone)
+        gone = broadcast_if_small(checkpointed(gone), F.lit(16), 1_000_000, 16 << 20)
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

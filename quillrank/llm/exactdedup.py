@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from quillrank.llm.cuckoo import CuckooIndex
 from quillrank.llm.ids import NO_ID, id_or_mark
+from quillrank.storage import broadcast_if_small, checkpointed
 
 LIVE = 500_000  # digests a folding index may hold before it is sent on and emptied
+_DROPPED_ROWS, _DROPPED_BYTES = 500_000, 64
 _FIELDS = "digest binary, keep_id bigint, copies bigint"
 
 
@@ -118,12 +120,12 @@ def exact_groups(documents: DataFrame) -> DataFrame:
 def without_copies(documents: DataFrame) -> DataFrame:
     """``documents`` without the rows whose text a larger doc_id has too; all columns stay as they are.
 
-    Texts do not travel: each row meets the id its text keeps through the digest join on narrow rows, and a
-    row goes if a (doc_id, digest) of its own is among the dropped.
+    The rows to drop are told by id and digest. They are broadcast if they are few enough; else the join shuffles.
     """
     groups = exact_groups(documents)
-    dropped = groups.where("not kept").select(
+    dropped = checkpointed(groups.where("not kept").select(
         F.col("doc_id").alias("dropped_id"), F.unhex("text_sha256").alias("dropped_digest")
-    )
-    same = (documents["doc_id"] .eqNullSafe(F.col("dropped_id"))) & (digest() == F.col("dropped_digest"))
-    return documents.join(dropped, same, "left_anti")
+    ))
+    few = broadcast_if_small(dropped, F.lit(_DROPPED_BYTES), _DROPPED_ROWS, _DROPPED_ROWS * _DROPPED_BYTES)
+    same = documents["doc_id"].eqNullSafe(few["dropped_id"]) & (digest() == few["dropped_digest"])
+    return documents.join(few, same, "left_anti")

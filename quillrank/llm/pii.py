@@ -271,16 +271,17 @@ def with_surrogates(documents: DataFrame, scratch: Scratch, key: str = KEY) -> D
     found = scratch.stored(_found(documents))
     redrawn = surrogates(found, scratch, key).where("attempt > 0").select("kind", "normal", "surrogate")
     redrawn = scratch.stored(redrawn)
-    rows = documents.drop("n_entities")
+    # The row travels whole, so its columns may have any names.
+    rows = documents.select(F.struct("*").alias("row"), "text", F.xxhash64("text").alias("text_key"))
     if redrawn.isEmpty():
-        rows = rows.withColumn("_redrawn", F.lit(None).cast("array<struct<kind:string,normal:string,surrogate:string>>"))
+        rows = rows.withColumn("redrawn", F.lit(None).cast("array<struct<kind:string,normal:string,surrogate:string>>"))
     else:
         by_text = scratch.stored(
             found.distinct().join(redrawn, ["kind", "normal"]).groupBy("text_key")
-            .agg(F.collect_list(F.struct("kind", "normal", "surrogate")).alias("_redrawn"))
+            .agg(F.collect_list(F.struct("kind", "normal", "surrogate")).alias("redrawn"))
         )
-        by_text = broadcast_if_small(by_text, F.size("_redrawn") * 256, _REDRAWN_ROWS, _REDRAWN_BYTES)
-        rows = rows.withColumn("text_key", F.xxhash64("text")).join(by_text, "text_key", "left").drop("text_key")
+        by_text = broadcast_if_small(by_text, F.size("redrawn") * 256, _REDRAWN_ROWS, _REDRAWN_BYTES)
+        rows = rows.join(by_text, "text_key", "left")
 
     @F.pandas_udf("struct<text:string,n:int>")
     def exchange(texts: pd.Series, redrawn: pd.Series) -> pd.DataFrame:
@@ -290,10 +291,10 @@ def with_surrogates(documents: DataFrame, scratch: Scratch, key: str = KEY) -> D
             out.append(replaced(text, names, key))
         return pd.DataFrame(out, columns=["text", "n"])
 
-    new = rows.withColumn("_new", exchange("text", "_redrawn"))
-    columns = [c for c in documents.columns if c != "n_entities"]
-    changed = {"text": F.col("_new.text").alias("text")}
+    new = rows.select("row", exchange("text", "redrawn").alias("new"))
+    columns = {c: F.col(f"row.`{c}`") for c in documents.columns if c != "n_entities"}
+    columns["text"] = F.col("new.text")
     if "n_chars" in columns:
-        length = F.when(F.col("_new.n") > 0, F.length("_new.text")).otherwise(F.col("n_chars"))
-        changed["n_chars"] = length.cast(documents.schema["n_chars"].dataType).alias("n_chars")
-    return new.select(*[changed.get(c, F.col(f"`{c}`")) for c in columns], F.col("_new.n").alias("n_entities"))
+        length = F.when(F.col("new.n") > 0, F.length("new.text")).otherwise(columns["n_chars"])
+        columns["n_chars"] = length.cast(documents.schema["n_chars"].dataType)
+    return new.select(*[column.alias(name) for name, column in columns.items()], F.col("new.n").alias("n_entities"))
