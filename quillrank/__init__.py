@@ -1,5 +1,6 @@
 """Batch ranked retrieval over large text collections, written as Spark DataFrame jobs."""
 
+from quillrank.operators.assembly import document_rankings
 from quillrank.plans.retrieval import Options, rank_documents
 
-__all__ = ["Options", "rank_documents"]
+__all__ = ["Options", "document_rankings", "rank_documents"]

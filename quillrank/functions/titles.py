@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 NEAR_DUPLICATE_BELOW = 0.5
 
 
+# Titles longer than this are compared by how often they have these characters before any distance is taken.
+_LONG = 256
+_COUNTED = " eaionrstlducmh"
+
+
 def _longer(left: Column, right: Column) -> Column:
     return F.greatest(F.length(left), F.length(right))
 
@@ -20,11 +25,21 @@ def title_distance(left: Column, right: Column) -> Column:
     return F.when(longer == 0, F.lit(float("nan"))).otherwise(F.levenshtein(left, right) / longer)
 
 
+def _fewest_edits_doubled(left: Column, right: Column) -> Column:
+    """At most twice the edit distance: one edit changes the counts of two characters by one at most."""
+    total = F.lit(0)
+    for character in _COUNTED:
+        count = lambda text: F.length(text) - F.length(F.replace(text, F.lit(character)))  # noqa: B023, E731
+        total = total + F.abs(count(left) - count(right))
+    return total
+
+
 def is_near_duplicate(left: Column, right: Column) -> Column:
     """``title_distance(left, right) < 0.5``, without a full distance where less settles it.
 
     Equal titles are near unless empty. The distance is at least the difference in length, so
-    titles of very different lengths never are. What remains needs fewer than half as many edits
+    titles of very different lengths never are, nor are long titles with very different counts of frequent
+    characters. What remains needs fewer than half as many edits
     as the longer title has characters, which bounds the band the edit distance has to look at.
     """
     longer = _longer(left, right)
@@ -32,5 +47,6 @@ def is_near_duplicate(left: Column, right: Column) -> Column:
     return (
         F.when(left == right, longer > 0)
         .when(F.abs(F.length(left) - F.length(right)) > most_edits, F.lit(False))
+        .when((longer > _LONG) & (_fewest_edits_doubled(left, right) > 2 * most_edits), F.lit(False))
         .otherwise(F.call_function("levenshtein", left, right, most_edits) >= 0)
     )

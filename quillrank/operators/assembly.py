@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillrank.schema import ARTICLE
-from quillrank.storage import broadcast_if_small
+from quillrank.storage import broadcast_if_small, checkpointed
 
 _IDS = 1_000_000
 _ID_BYTES = 64 << 20
@@ -17,7 +17,7 @@ def result_ids(hits: DataFrame) -> DataFrame:
 
 def result_articles(hits: DataFrame, articles: DataFrame) -> DataFrame:
     """The articles that are a hit of any query, all rows of each."""
-    ids = broadcast_if_small(result_ids(hits), F.length("id") * 4 + 32, _IDS, _ID_BYTES)
+    ids = broadcast_if_small(checkpointed(result_ids(hits)), F.length("id") * 4 + 32, _IDS, _ID_BYTES)
     return articles.join(ids, "id", "left_semi")
 
 

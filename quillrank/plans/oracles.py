@@ -37,11 +37,27 @@ articles AS (
            lambda block: {_unescaped(_BLOCK)}) AS paragraphs
   FROM pages)"""
 
+_MIXED = """
+blocks AS (
+  SELECT conv_id, list(CASE WHEN length(text) % 5 <> 0 THEN text END ORDER BY turn) FILTER (
+           role IN ('user', 'assistant') AND length(text) % 5 <> 0) AS paragraphs,
+         max(text) FILTER (turn = 3) AS title
+  FROM conversations GROUP BY conv_id),
+articles AS (
+  SELECT CAST(conv_id AS VARCHAR) AS id, title, NULL AS source, coalesce(paragraphs, []) AS paragraphs
+  FROM blocks WHERE title IS NOT NULL)"""
+
+# A query file holds one line per query.
+_LINE_QUERIES = (
+    "queries AS (SELECT row_number() OVER () AS query_id, regexp_replace(text, '[\\r\\n]+', ' ', 'g') AS query "
+    "FROM conversations WHERE role = 'user')"
+)
+
 _FIXED_QUERIES = "queries(query_id, query) AS (VALUES {})".format(
     ", ".join(f"(CAST({number} AS BIGINT), {_quoted(text)})" for number, text in DOCUMENT_QUERIES)
 )
 _USER_QUERIES = (
-    "queries AS (SELECT conv_id * 100000 + turn AS query_id, text AS query FROM conversations WHERE role = 'user')"
+    "queries AS (SELECT conv_id * 4294967296 + turn AS query_id, text AS query FROM conversations WHERE role = 'user')"
 )
 _BENCHMARK_QUERIES = "queries AS (SELECT item_id AS query_id, text AS query FROM benchmark)"
 
@@ -222,6 +238,19 @@ ORACLES: dict[str, str] = {
     "json_article_source": _with(
         _DOCUMENTS, select="SELECT id, title, source, array_to_string(paragraphs, chr(10)) AS body FROM articles"
     ),
+    "parsed_article_source": _with(
+        _DOCUMENTS, select="SELECT id, title, source, array_to_string(paragraphs, chr(10)) AS body FROM articles"
+    ),
+    "text_query_source": _with(
+        _LINE_QUERIES, _QUERY_TERMS,
+        select="""SELECT query, coalesce(terms, '') AS terms, count(*) AS queries
+        FROM queries LEFT JOIN (
+          SELECT query_id, string_agg(term, ' ' ORDER BY pos) AS terms FROM term_rows GROUP BY query_id) USING (query_id)
+        GROUP BY ALL""",
+    ),
+    "mixed_article_text": _with(_MIXED, _TEXTS, select="SELECT id, title, text FROM texts"),
+    "mixed_corpus_stats": _with(_MIXED, _LENGTHS, select="SELECT n_docs, total_len, avg_len FROM stats"),
+    "rendered_sink": _on_chosen(f"SELECT query_id, query, rank, id, {_ROUNDED}, title FROM chosen"),
     "ranking_sink": _on_chosen(
         f"SELECT query_id, replace(query, ' ', '_') AS file_name, rank, id, title, {_ROUNDED} FROM chosen"
     ),

@@ -11,7 +11,7 @@ from quillrank.operators import analysis, assembly, bags, scoring
 from quillrank.plans.retrieval import Corpus, Options, rank_documents
 from quillrank.schema import QUERY
 from quillrank.sources import files, tables
-from quillrank.storage import broadcast_if_small, checkpointed, scratch_folder
+from quillrank.storage import Scratch, broadcast_if_small, checkpointed
 
 # Queries put to the documents table.
 DOCUMENT_QUERIES = [
@@ -182,21 +182,72 @@ def rendered_ranking(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def json_article_source(spark: SparkSession, sf: str) -> DataFrame:
-    folder = scratch_folder(spark)
-    _articles(spark, sf).write.json(folder)
-    return files.read_articles(spark, folder).select(
-        "id", "title", "source", F.array_join(F.col("contents.content"), "\n").alias("body")
-    )
+    with Scratch(spark) as scratch:
+        folder = scratch.path()
+        _articles(spark, sf).write.json(folder)
+        return checkpointed(files.read_articles(spark, folder).select(
+            "id", "title", "source", F.array_join(F.col("contents.content"), "\n").alias("body")
+        ))
+
+
+def parsed_article_source(spark: SparkSession, sf: str) -> DataFrame:
+    """The articles as JSON lines of text, read line by line and parsed."""
+    with Scratch(spark) as scratch:
+        folder = scratch.path()
+        _articles(spark, sf).select(F.to_json(F.struct("*")).alias("value")).write.text(folder)
+        return checkpointed(files.parse_articles(files.read_lines(spark, folder)).select(
+            "id", "title", "source", F.array_join(F.col("contents.content"), "\n").alias("body")
+        ))
+
+
+def text_query_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Queries as lines of text, read back; line numbers depend on the files, so equal queries are counted."""
+    with Scratch(spark) as scratch:
+        folder = scratch.path()
+        _user_queries(spark, sf).select(F.regexp_replace("query", "[\r\n]+", " ").alias("value")).write.text(folder)
+        analysed = analysis.analysed_queries(files.read_queries(spark, folder), stem=False)
+        return checkpointed(
+            analysed.groupBy("query", F.array_join("terms", " ").alias("terms")).agg(F.count("*").alias("queries"))
+        )
+
+
+def _mixed_articles(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.conversations_as_articles(tables.read_table(spark, sf, "conversations"))
+
+
+def mixed_article_text(spark: SparkSession, sf: str) -> DataFrame:
+    return analysis.article_text(_mixed_articles(spark, sf))
+
+
+def mixed_corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return bags.corpus_stats(bags.article_bags(_mixed_articles(spark, sf), F.array().cast("array<string>")))
+
+
+def rendered_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """The rendered files read back: the first line of a file is the query, every other one a hit."""
+    hit = r"^  (\d+):(\S*) (\S+) (.*)$"
+    with Scratch(spark) as scratch:
+        folder = scratch.path()
+        sinks.write_rendered(_document_hits(spark, sf, EXACT), folder)
+        written = spark.read.text(folder, wholetext=True)
+        lines = written.select(
+            F.col("query_id").cast("bigint").alias("query_id"), F.split("value", "\n").alias("lines")
+        ).select("query_id", F.get("lines", F.lit(0)).alias("query"), F.explode(F.filter("lines", lambda x, i: (i > 0) & (x != ""))).alias("line"))
+        part = lambda n: F.regexp_extract("line", hit, n)
+        return checkpointed(lines.select(
+            "query_id", "query", part(1).cast("int").alias("rank"), part(2).alias("id"),
+            F.round(part(3).cast("double"), 6).alias("score"), part(4).alias("title"),
+        ))
 
 
 def ranking_sink(spark: SparkSession, sf: str) -> DataFrame:
-    folder = scratch_folder(spark)
-    sinks.write_hits(_document_hits(spark, sf, EXACT), folder)
-    written = spark.read.parquet(folder)
-    return written.select(
-        F.col("query_id").cast("bigint").alias("query_id"), "file_name", "rank", "id", "title",
-        F.round("score", 6).alias("score"),
-    )
+    with Scratch(spark) as scratch:
+        folder = scratch.path()
+        sinks.write_hits(_document_hits(spark, sf, EXACT), folder)
+        return checkpointed(spark.read.parquet(folder).select(
+            F.col("query_id").cast("bigint").alias("query_id"), "file_name", "rank", "id", "title",
+            F.round("score", 6).alias("score"),
+        ))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -225,6 +276,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "document_ranking": document_ranking,
     "rendered_ranking": rendered_ranking,
     "json_article_source": json_article_source,
+    "parsed_article_source": parsed_article_source,
+    "text_query_source": text_query_source,
+    "mixed_article_text": mixed_article_text,
+    "mixed_corpus_stats": mixed_corpus_stats,
     "ranking_sink": ranking_sink,
+    "rendered_sink": rendered_sink,
     "stemmed_ranking": _ranking(Options()),
 }

@@ -11,6 +11,7 @@ HTML_HIDDEN = r"(?is)<(?:script|style)[^>]*>.*?</(?:script|style)>"
 HTML_PARAGRAPH_START = r"(?i)<p(?:\s[^>]*)?>"
 HTML_PARAGRAPH_END = r"(?is)(?:</p>|</article>|</body>).*"
 HTML_TAG = r"(?s)<[^>]*>"
+TURN_BITS = 32
 HTML_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&amp;": "&"}
 
 
@@ -72,10 +73,33 @@ def pages_as_articles(pages: DataFrame) -> DataFrame:
     )
 
 
+def conversations_as_articles(conversations: DataFrame) -> DataFrame:
+    """A conversation is an article; its turn 3, if there is one, is the title, and every turn a block.
+
+    Turns of users and assistants are paragraphs, others keep their role as subtype. A text whose length is
+    a multiple of five has null content. So there are null titles, other subtypes, null contents and more
+    than five paragraphs.
+    """
+    given = {
+        "content": lambda turn: F.when(F.length(turn["text"]) % 5 != 0, turn["text"]),
+        "subtype": lambda turn: F.when(turn["role"].isin("user", "assistant"), "paragraph").otherwise(turn["role"]),
+    }
+    blocks = lambda turn: F.struct(*[
+        given.get(name, lambda _: F.lit(None))(turn).cast("string").alias(name) for name in CONTENT_ITEM.fieldNames()
+    ])
+    grouped = conversations.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"),
+        F.max(F.when(F.col("turn") == 3, F.col("text"))).alias("title"),
+    )
+    return _as_articles(
+        grouped, id=F.col("conv_id"), title=F.col("title"), contents=F.transform("turns", blocks)
+    )
+
+
 def user_turns_as_queries(conversations: DataFrame) -> DataFrame:
-    """Every turn of a user is a query."""
+    """Every turn of a user is a query; its number has the conversation above ``TURN_BITS``, the turn below."""
     return conversations.where(F.col("role") == "user").select(
-        (F.col("conv_id") * 100000 + F.col("turn")).alias("query_id"),
+        (F.shiftleft("conv_id", TURN_BITS) + F.col("turn")).alias("query_id"),
         F.col("text").alias("query"),
     )
 
