@@ -1,13 +1,13 @@
 """Packing documents into windows of tokens, next to their lexical neighbours.
 
-Documents are dealt by a lexical key and cut into shards of bounded size. Each shard has a BM25
+Documents are dealt by the rarest token they hold and cut into shards of bounded size. Each shard has a BM25
 inverted index over its token ids, with document frequencies and the mean length of the whole corpus. The first
 document of a window is its seed: the index returns the unused documents nearest to it, and these
 fill the window greedily. What does not fit goes on in the next window, so windows are always full; the
 rest at the end of a task is cut into powers of two, so nothing is padded at all.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,17 +30,20 @@ _IDS = 1 << 16
 _ROWS = 10_000
 
 
-def lexical_key(ids: np.ndarray) -> int:
-    """The token that stands out most: frequent here, rare in general (merged late, so of high id)."""
-    if not len(ids):
-        return -1
-    counts = np.bincount(ids)
-    terms = np.flatnonzero(counts)
-    return int(terms[np.argmax(np.log1p(counts[terms]) * np.log1p(terms))])
+def _entries(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, term, count) of every distinct token of every document, sorted; one sort for all of them."""
+    sizes = [len(ids) for ids in documents]
+    tagged = np.sort((np.repeat(np.arange(len(documents), dtype=np.uint32), sizes) << 16) | np.concatenate(documents))
+    first = np.flatnonzero(np.diff(tagged, prepend=~tagged[0]))
+    counts = np.diff(first, append=len(tagged))
+    return (tagged[first] >> 16).astype(np.int64), (tagged[first] & (_IDS - 1)).astype(np.uint16), counts
 
 
 def _tokenized(documents: DataFrame, end_id: int, vocabulary: str) -> DataFrame:
-    """(key, doc_id, ids, df): a row per document; and a row per task with the documents per token id."""
+    """(key, doc_id, ids, df): a row per document; and a row per task with the documents per token id.
+
+    The key is the rarest token of a document: of the highest id, because a vocabulary merges frequent ones first.
+    """
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = byte_encoder(vocabulary, _WIDTH)
@@ -50,18 +53,17 @@ def _tokenized(documents: DataFrame, end_id: int, vocabulary: str) -> DataFrame:
         for frame in frames:
             packed = [encode(text) + end for text in frame["text"]]
             keys = []
-            for ids in packed:
-                array = np.frombuffer(ids, dtype=_DTYPE)
-                keys.append(lexical_key(array[:-1]))
-                present = np.zeros(_IDS, dtype=bool)
-                present[array] = True
-                frequency += present
-                total += len(array)
+            for at in range(0, len(packed), SHARD_DOCS):
+                some = [np.frombuffer(ids, dtype=_DTYPE) for ids in packed[at : at + SHARD_DOCS]]
+                of, terms, _ = _entries(some)
+                frequency += np.bincount(terms, minlength=_IDS)
+                total += sum(map(len, some))
+                keys += terms[np.flatnonzero(np.diff(of, append=len(some)))].tolist()
             documents += len(packed)
             yield pd.DataFrame({"key": keys, "doc_id": frame["doc_id"], "ids": packed, "df": None})
         if documents:
             counts = np.concatenate((frequency, [documents, total]))
-            yield pd.DataFrame({"key": [-2], "doc_id": [0], "ids": [None], "df": [counts]})
+            yield pd.DataFrame({"key": [-1], "doc_id": [0], "ids": [None], "df": [counts]})
 
     return documents.select(id_or_mark("doc_id"), "text").mapInPandas(
         rows, "key int, doc_id bigint, ids binary, df array<bigint>"
@@ -84,11 +86,8 @@ class Shard:
     """A BM25 index of a few documents, and which of them are still unused."""
 
     def __init__(self, documents: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        pairs = [np.unique(ids, return_counts=True) for ids in documents]
-        sizes = np.array([len(terms) for terms, _ in pairs])
-        terms = np.concatenate([terms for terms, _ in pairs]).astype(np.int64)
-        tf = np.concatenate([counts for _, counts in pairs]).astype(np.float32)
-        docs = np.repeat(np.arange(len(documents)), sizes)
+        docs, terms, tf = _entries(documents)
+        sizes = np.bincount(docs, minlength=len(documents))
         lengths = np.array([len(ids) for ids in documents], dtype=np.float32)
         norm = K1 * (1 - B + B * lengths / mean_length)
         weights = (idf[terms] * tf * (K1 + 1) / (tf + norm[docs])).astype(np.float32)
@@ -97,7 +96,7 @@ class Shard:
         # Postings: the same entries by term.
         order = np.argsort(terms, kind="stable")
         self._posting_docs, self._posting_weights = docs[order], weights[order]
-        self._postings = np.concatenate(([0], np.cumsum(np.bincount(terms, minlength=_IDS))))
+        self._postings = np.concatenate(([0], np.cumsum(np.bincount(terms, minlength=_IDS)))).tolist()
         self.unused = np.ones(len(documents), dtype=bool)
         self._next = 0
 
@@ -117,7 +116,7 @@ class Shard:
         terms, weights = self._terms[own], self._weights[own]
         if len(terms) > QUERY_TERMS:
             terms = terms[np.argpartition(weights, -QUERY_TERMS)[-QUERY_TERMS:]]
-        spans = [slice(self._postings[t], self._postings[t + 1]) for t in terms]
+        spans = [slice(self._postings[t], self._postings[t + 1]) for t in terms.tolist()]
         docs = np.concatenate([self._posting_docs[s] for s in spans])
         scores = np.bincount(docs, np.concatenate([self._posting_weights[s] for s in spans]), len(self.unused))
         found = np.flatnonzero((scores > 0) & self.unused)
@@ -175,11 +174,19 @@ class _Packer:
 _COLUMNS = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
 
-def pack(documents: DataFrame, scratch: Scratch, end_id: int = 1, window: int = WINDOW, vocabulary: str = BYTE_BPE) -> DataFrame:
+def pack(
+    documents: DataFrame,
+    scratch: Scratch,
+    end_id: int = 1,
+    window: int = WINDOW,
+    vocabulary: str = BYTE_BPE,
+    summary: Callable[[bytes], int] | None = None,
+) -> DataFrame:
     """Pieces of ``documents`` (doc_id, text) in sequences of at most ``window`` ids.
 
     Columns: doc_id, start (ids of the document before the piece), length, doc_tokens (all its ids,
-    with the end id), sequence_id, offset (in the sequence), ids (packed). A null text is empty: its
+    with the end id), sequence_id, offset (in the sequence), ids (packed in 16 bits). With ``summary``, a function
+    of packed ids, its result comes as ``summary`` in their place. A null text is empty: its
     document is the end id. A null doc_id stays null. Repeated rows are packed each. Other columns
     are not read. No documents give no pieces. The pieces read from ``scratch``.
 
@@ -198,6 +205,13 @@ def pack(documents: DataFrame, scratch: Scratch, end_id: int = 1, window: int =
         held: list[tuple[int, bytes]] = []
         size = 0
 
+        def shown(rows: list[tuple]) -> Iterator[pd.DataFrame]:
+            for at in range(0, len(rows), _ROWS):
+                frame = pd.DataFrame(rows[at : at + _ROWS], columns=_COLUMNS)
+                if summary:
+                    frame["summary"] = [summary(ids) for ids in frame.pop("ids")]
+                yield frame
+
         def shard_rows() -> list[tuple]:
             index = Shard([np.frombuffer(ids, dtype=_DTYPE) for _, ids in held], shared.value, mean_length)
             rows, ranked = [], None
@@ -219,11 +233,8 @@ def pack(documents: DataFrame, scratch: Scratch, end_id: int = 1, window: int =
                 size += len(ids) // _WIDTH
                 if len(held) >= SHARD_DOCS or size >= SHARD_IDS:
                     rows, held, size = shard_rows(), [], 0
-                    for at in range(0, len(rows), _ROWS):
-                        yield pd.DataFrame(rows[at : at + _ROWS], columns=_COLUMNS)
-        rows = (shard_rows() if held else []) + packer.rest()
-        for at in range(0, len(rows), _ROWS):
-            yield pd.DataFrame(rows[at : at + _ROWS], columns=_COLUMNS)
+                    yield from shown(rows)
+        yield from shown((shard_rows() if held else []) + packer.rest())
 
     ordered = (
         tokenized.where("ids is not null").select("key", "doc_id", "ids")
@@ -231,6 +242,7 @@ def pack(documents: DataFrame, scratch: Scratch, end_id: int = 1, window: int =
     )
     pieces = ordered.mapInPandas(
         packed,
-        "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary",
+        "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, "
+        + ("summary bigint" if summary else "ids binary"),
     )
     return pieces.withColumn("doc_id", id_or_null("doc_id"))

@@ -4,10 +4,8 @@ import zlib
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 import corpus_pipeline
 from quillrank.llm import exactdedup, forcedbpe, html, oddsketch, packing, pii, pivots, quality, sharding, tokenfiles
@@ -15,10 +13,9 @@ from quillrank.sources.tables import read_table
 from quillrank.storage import Scratch, checkpointed
 
 
-@F.pandas_udf(T.LongType())
-def _crc32(packed: pd.Series) -> pd.Series:
+def _crc32(packed: bytes) -> int:
     """The checksum of ids packed in 16 bits, as if in 32."""
-    return packed.map(lambda ids: zlib.crc32(np.frombuffer(ids, dtype="<u2").astype("<u4").tobytes()))
+    return zlib.crc32(np.frombuffer(packed, dtype="<u2").astype("<u4").tobytes())
 
 
 def _sha256(column: str) -> Column:
@@ -85,10 +82,8 @@ def op8_html_text(spark: SparkSession, sf: str) -> DataFrame:
 
 def op9_lexical_packing(spark: SparkSession, sf: str) -> DataFrame:
     with Scratch(spark) as scratch:
-        pieces = packing.pack(read_table(spark, sf, "documents"), scratch, end_id=1)
-        return checkpointed(pieces.select(
-            "doc_id", "start", "length", _crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
-        ))
+        pieces = packing.pack(read_table(spark, sf, "documents"), scratch, end_id=1, summary=_crc32)
+        return checkpointed(pieces.withColumnRenamed("summary", "ids_crc32"))
 
 
 def op10_odd_sketches(spark: SparkSession, sf: str) -> DataFrame:
