@@ -114,22 +114,6 @@ def porter_stem(token: str) -> str:
     return _tidy(word)
 
 
-def shared_prefix(stem: str) -> str:
-    """A prefix that every token with this stem must have.
-
-    The rules only ever rewrite an ending. What is new in a stem is at most a last ``i`` (for y), a
-    last ``e`` (as in ``at`` -> ``ate``, ``abli`` -> ``able``), or the ``le`` or ``l`` of ``ble``
-    for ``biliti``; all before that is the token's own. The first letter always stays.
-    """
-    if stem.endswith("le"):
-        own = stem[:-2]
-    elif stem.endswith(("e", "i", "l")):
-        own = stem[:-1]
-    else:
-        own = stem
-    return own or stem[0]
-
-
 @F.pandas_udf(T.StringType())
 def porter_stems(tokens: pd.Series) -> pd.Series:
     return tokens.map(porter_stem)

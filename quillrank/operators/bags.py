@@ -1,81 +1,75 @@
 """Term bags of articles, and the corpus statistics that follow from them.
 
-A bag is counted inside its own row, so the corpus is read and analysed once and its tokens are
-never shuffled. What is shuffled is one short row per article that can be a candidate.
+Tokens are counted inside the row of their article and meet the vocabulary in the stage that reads the
+corpus, so what is shuffled are matches only: one short row per article and term. Articles travel once
+more, as a row without text each, to meet their bags.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.functions.porter import shared_prefix
-from quillrank.functions.tokens import counted, one_of
+from quillrank.functions.tokens import counted
 from quillrank.operators.analysis import article_tokens
 
-# What tells one candidate from another. Ids need not be unique. The fingerprint is a hash of the
-# bag, which keeps whole bags out of grouping keys; it only has to tell apart the few articles that
-# agree in id, title and length.
+# What tells one candidate from another. Ids need not be unique. The fingerprint is a sha256 of id,
+# title and all tokens, so equal articles, and only they, share it.
 CANDIDATE = ["id", "title", "length", "fingerprint"]
 
-# A vocabulary of up to this many terms is tested for inside the row; beyond it, by a join.
-INLINE_TERMS = 20_000
+_BAG = "array<struct<token: string, tf: bigint>>"
 
-_LONGEST_PREFIX = 6
 
+def _fingerprint() -> Column:
+    # Lengths in front make the parts unambiguous; tokens hold no spaces.
+    parts = [F.length("id").cast("string"), F.col("id"), F.length("title").cast("string"), F.col("title")]
+    return F.unhex(F.sha2(F.concat_ws(" ", *parts, F.array_join("tokens", " ")), 256))
 
-def vocabulary_filter(vocabulary: DataFrame, stem: bool, limit: int = INLINE_TERMS) -> Column | None:
-    """The tokens of column ``tokens`` that can become a term of ``vocabulary``.
 
-    Without stemming these are the terms themselves. With stemming they are the tokens that share
-    with some term the prefix its tokens must have: a superset, for the stem map to thin out.
-    None if the vocabulary is over ``limit``: then every token is kept and a join decides.
+def _fingerprinted(articles: DataFrame) -> DataFrame:
+    return article_tokens(articles).withColumn("fingerprint", _fingerprint())
+
+
+def article_lengths(articles: DataFrame) -> DataFrame:
+    """(length, copies): how many usable articles have how many tokens."""
+    lengths = article_tokens(articles).select(F.size("tokens").alias("length"))
+    return lengths.groupBy("length").agg(F.count("*").alias("copies"))
+
+
+def corpus_tokens(articles: DataFrame) -> DataFrame:
+    """The distinct tokens of all usable articles, in column ``token``."""
+    return article_tokens(articles).select(F.explode("tokens").alias("token")).distinct()
+
+
+def matches(articles: DataFrame, token_terms: DataFrame | None) -> DataFrame:
+    """(fingerprint, term, tf): the terms of every article, once for equal articles.
+
+    ``token_terms`` (token, term) tells which tokens count, and as what; None counts every token as itself. It joins
+    before the shuffle if it is hinted to be broadcast.
     """
-    terms = [row["term"] for row in vocabulary.limit(limit + 1).collect()]
-    if len(terms) > limit:
-        return None
-    if stem:
-        by_size: dict[int, set[str]] = {}
-        for term in terms:
-            prefix = shared_prefix(term)[:_LONGEST_PREFIX]
-            by_size.setdefault(len(prefix), set()).add(prefix)
-        tests = [one_of(f"substring(t, 1, {n})", found) for n, found in by_size.items()]
-    else:
-        tests = [one_of("t", terms)]
-    return F.expr(f"filter(tokens, t -> {' or '.join(tests) or 'false'})")
-
-
-def article_bags(articles: DataFrame, kept: Column | None = None) -> DataFrame:
+    entries = _fingerprinted(articles).select("fingerprint", F.explode(counted(F.col("tokens"))).alias("entry"))
+    rows = entries.select("fingerprint", F.col("entry.token").alias("token"), F.col("entry.tf").cast("bigint").alias("tf"))
+    if token_terms is None:
+        return rows.groupBy("fingerprint", F.col("token").alias("term")).agg(F.max("tf").alias("tf"))
+    # Equal articles have equal counts, so the largest stands for all copies.
+    once = rows.join(token_terms, "token").groupBy("fingerprint", "token", "term").agg(F.max("tf").alias("tf"))
+    return once.groupBy("fingerprint", "term").agg(F.sum("tf").alias("tf"))
+
+
+def article_bags(articles: DataFrame, found: DataFrame) -> DataFrame:
     """(id, title, length, fingerprint, bag, copies): every usable article, equal ones together.
 
-    ``length`` counts all tokens of the article, ``bag`` holds (token, tf) of those that ``kept``
-    selects, sorted by token. Articles with an empty bag cannot be found; they lose id and title,
-    so that all of one length become one row, which still counts in the statistics.
+    ``length`` counts all tokens of the article, ``bag`` holds (token, tf) of its matches ``found``, sorted by
+    term. Articles with an empty bag cannot be found; they lose id and title, and only count in the statistics.
+    The result is partitioned by fingerprint.
     """
-    tokens = article_tokens(articles)
-    bags = tokens.select(
-        "id",
-        "title",
-        F.size("tokens").alias("length"),
-        counted(F.col("tokens") if kept is None else kept).alias("bag"),
+    rows = _fingerprinted(articles).select("id", "title", F.size("tokens").alias("length"), "fingerprint")
+    distinct = rows.groupBy(*CANDIDATE).agg(F.count("*").alias("copies")).repartition("fingerprint")
+    bags = found.groupBy("fingerprint").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("term").alias("token"), "tf"))).alias("bag")
     )
+    joined = distinct.join(bags, "fingerprint", "left").withColumn("bag", F.coalesce("bag", F.array().cast(_BAG)))
     can_match = F.size("bag") > 0
-    return _merged(
-        bags.select(
-            F.when(can_match, F.col("id")).alias("id"),
-            F.when(can_match, F.col("title")).alias("title"),
-            "length",
-            "bag",
-        ),
-        F.count("*"),
-    )
-
-
-def _merged(bags: DataFrame, copies: Column) -> DataFrame:
-    """One row per candidate; ``copies`` is the aggregate that counts the merged articles."""
-    return (
-        bags.withColumn("fingerprint", F.xxhash64("bag"))
-        .groupBy(*CANDIDATE)
-        .agg(F.any_value("bag").alias("bag"), copies.alias("copies"))
-    )
+    named = {name: F.when(can_match, F.col(name)).alias(name) for name in ("id", "title")}
+    return joined.select(*[named.get(name, F.col(name)) for name in [*CANDIDATE, "bag", "copies"]])
 
 
 def corpus_stats(bags: DataFrame) -> DataFrame:
@@ -95,28 +89,6 @@ def postings(bags: DataFrame, keys: list[str] = CANDIDATE) -> DataFrame:
     )
 
 
-def in_terms(bags: DataFrame, token_terms: DataFrame) -> DataFrame:
-    """``bags`` with terms for tokens, as ``token_terms`` maps them; tokens it lacks are dropped.
-
-    Articles left with nothing are gone, so statistics must come from ``bags``. With a broadcast
-    map and ``bags`` partitioned by candidate, the bags are rebuilt in place, and only what is
-    left of them is shuffled.
-    """
-    rows = postings(bags).withColumnRenamed("term", "token").join(token_terms, "token")
-    entries = rows.groupBy(*CANDIDATE, "copies", "term").agg(F.sum("tf").cast("int").alias("tf"))
-    rebuilt = entries.groupBy(*CANDIDATE, "copies").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("term").alias("token"), "tf"))).alias("terms")
-    )
-    return _merged(
-        rebuilt.select("id", "title", "length", F.col("terms").alias("bag"), "copies"), F.sum("copies")
-    )
-
-
-def bag_tokens(bags: DataFrame) -> DataFrame:
-    """The distinct tokens of all bags."""
-    return bags.select(F.explode("bag.token").alias("token")).distinct()
-
-
 def term_frequencies(postings: DataFrame) -> DataFrame:
     """(term, cf): occurrences of each term in the whole corpus."""
     return postings.groupBy("term").agg(F.sum(F.col("tf") * F.col("copies")).alias("cf"))

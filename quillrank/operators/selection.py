@@ -125,7 +125,7 @@ def next_stretch(choice: DataFrame, k: int) -> DataFrame:
     """``choice`` at the start of a new stretch: every query short of ``k`` wants more."""
     nowhere = ", ".join(f"{name}: {kind}" for name, kind in [
         (_DEMERIT, "double"), ("id", "string"), ("title", "string"), ("length", "int"),
-        ("fingerprint", "bigint"),
+        ("fingerprint", "binary"),
     ])
     return choice.select(
         "query_id", "kept", (F.size("kept") < k).alias("more"),

@@ -84,7 +84,7 @@ def page_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return bags.corpus_stats(bags.article_bags(_articles(spark, sf), F.array().cast("array<string>")))
+    return bags.corpus_stats(bags.article_lengths(_articles(spark, sf)))
 
 
 def _user_postings(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,7 +220,7 @@ def mixed_article_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mixed_corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return bags.corpus_stats(bags.article_bags(_mixed_articles(spark, sf), F.array().cast("array<string>")))
+    return bags.corpus_stats(bags.article_lengths(_mixed_articles(spark, sf)))
 
 
 def rendered_sink(spark: SparkSession, sf: str) -> DataFrame:

@@ -33,28 +33,29 @@ class Options:
     pad_zero: bool = True
     dedup: bool = True
     prefix: int = selection.PREFIX
-    inline_terms: int = bags.INLINE_TERMS
 
 
 class Corpus:
-    """What the articles look like to one set of queries. Articles are read once, here."""
+    """What the articles look like to one set of queries.
+
+    The corpus is read once for the matches and once for the articles; with stems once more before, for
+    its distinct tokens, because only they go through the stemmer.
+    """
 
     def __init__(self, queries: DataFrame, articles: DataFrame, options: Options):
         self._ratio = options.ratio
         self.term_rows = checkpointed(analysis.query_term_rows(queries, options.stem))
         vocabulary = analysis.query_vocabulary(self.term_rows)
-        kept = bags.vocabulary_filter(vocabulary, options.stem, options.inline_terms)
-        self.bags = checkpointed_as_partitioned(bags.article_bags(articles, kept))
-        self.stats = bags.corpus_stats(self.bags)
         if options.stem:
-            stems = analysis.stem_map(bags.bag_tokens(self.bags))
-            self._to_terms(stems.join(vocabulary, "term", "left_semi"))
-        elif kept is None:
-            self._to_terms(vocabulary.select(F.col("term").alias("token"), "term"))
-
-    def _to_terms(self, token_terms: DataFrame) -> None:
+            stems = analysis.stem_map(bags.corpus_tokens(articles))
+            token_terms = stems.join(vocabulary, "term", "left_semi")
+        else:
+            token_terms = vocabulary.select(F.col("term").alias("token"), "term")
         token_terms = _small(checkpointed(token_terms), "token", _WEIGHT_ROWS, _WEIGHT_BYTES)
-        self.bags = checkpointed_as_partitioned(bags.in_terms(self.bags, token_terms))
+        # Adaptive execution may split frequent tokens here, if they do not fit a broadcast.
+        found = checkpointed(bags.matches(articles, token_terms))
+        self.bags = checkpointed_as_partitioned(bags.article_bags(articles, found))
+        self.stats = bags.corpus_stats(self.bags)
 
     @cached_property
     def weights(self) -> DataFrame:

@@ -12,7 +12,7 @@ def texts(spark, rows):
 
 
 def stats(spark, rows):
-    return bags.corpus_stats(bags.article_bags(articles(spark, rows))).first().asDict()
+    return bags.corpus_stats(bags.article_lengths(articles(spark, rows))).first().asDict()
 
 
 def test_only_the_first_five_usable_paragraphs_count(spark):
@@ -43,37 +43,41 @@ def test_no_articles(spark):
     assert stats(spark, []) == {"n_docs": 0, "total_len": 0, "avg_len": None}
 
 
+def bags_of(spark, rows, token_terms=None):
+    df = articles(spark, rows)
+    if token_terms is not None:
+        token_terms = spark.createDataFrame(token_terms, "token string, term string")
+    return bags.article_bags(df, bags.matches(df, token_terms))
+
+
 def test_articles_without_a_query_term_count_but_cannot_be_found(spark):
     rows = [article("a", "red blue red"), article("b", "green"), article("c", "black"), article("d", "black green pink")]
-    kept = bags.vocabulary_filter(spark.createDataFrame([("red",)], "term string"), stem=False)
-    found = bags.article_bags(articles(spark, rows), kept)
+    found = bags_of(spark, rows, [("red", "red")])
     assert bags.corpus_stats(found).first().asDict() == {"n_docs": 4, "total_len": 8, "avg_len": 2.0}
     assert sorted((r["id"] or "", r["length"], r["copies"]) for r in found.collect()) == [
-        ("", 1, 2), ("", 3, 1), ("a", 3, 1)]
+        ("", 1, 1), ("", 1, 1), ("", 3, 1), ("a", 3, 1)]
     assert [tuple(r) for r in bags.postings(found, ["id"]).collect()] == [("a", 1, "red", 2)]
 
 
 def test_equal_articles_become_one_row(spark):
     rows = [article("a", "red", "blue")] * 3 + [article("a", "red", "green")]
-    found = bags.article_bags(articles(spark, rows))
+    found = bags_of(spark, rows)
     assert sorted(r["copies"] for r in found.collect()) == [1, 3]
     cf = {r["term"]: r["cf"] for r in bags.term_frequencies(bags.postings(found)).collect()}
     assert cf == {"red": 4, "blue": 3, "green": 1}
 
 
+def test_articles_that_differ_in_anything_stay_apart(spark):
+    rows = [article("a", "b c", "d"), article("a b", "c", "d"), article("a", "b", "c d"), article("a", "b c", "d", "e")]
+    assert [r["copies"] for r in bags_of(spark, rows).collect()] == [1, 1, 1, 1]
+
+
 def test_stemmed_bags_add_up_the_tokens_of_a_term(spark):
-    rows = [article("a", "running runs run runner"), article("b", "rung")]
-    vocabulary = spark.createDataFrame([("run",)], "term string")
-    surface = bags.article_bags(articles(spark, rows), bags.vocabulary_filter(vocabulary, stem=True))
-    stems = analysis.stem_map(bags.bag_tokens(surface)).join(vocabulary, "term", "left_semi")
-    found = bags.in_terms(surface, stems).collect()
-    assert [(r["id"], [tuple(e) for e in r["bag"]], r["length"]) for r in found] == [("a", [("run", 3)], 4)]
-
-
-def test_vocabulary_over_the_limit_is_left_to_a_join(spark):
-    vocabulary = spark.createDataFrame([("a",), ("b",)], "term string")
-    assert bags.vocabulary_filter(vocabulary, stem=False, limit=1) is None
-    assert bags.vocabulary_filter(vocabulary, stem=False, limit=2) is not None
+    rows = [article("a", "running runs run runner")] * 2 + [article("b", "rung")]
+    stems = analysis.stem_map(bags.corpus_tokens(articles(spark, rows))).where("term = 'run'")
+    found = bags_of(spark, rows, [tuple(r) for r in stems.select("token", "term").collect()]).collect()
+    assert [(r["id"], [tuple(e) for e in r["bag"]], r["length"], r["copies"]) for r in found if r["id"]] == [
+        ("a", [("run", 3)], 4, 2)]
 
 
 def test_query_terms(spark):

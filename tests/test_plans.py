@@ -46,31 +46,49 @@ def test_later_rounds_drop_near_duplicates_before_the_shuffle(corpora):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_only_stemming_leaves_the_jvm(spark, corpora):
-    tokens = bags.bag_tokens(corpora[1].bags)
-    assert "ArrowEvalPython" in plan_of(analysis.stem_map(tokens))
+def test_only_stemming_leaves_the_jvm(spark):
     rows = articles(spark, [article("a", "title")])
-    kept = bags.vocabulary_filter(spark.createDataFrame([("red",)], "term string"), stem=True)
-    assert "Python" not in plan_of(bags.article_bags(rows, kept))
+    assert "ArrowEvalPython" in plan_of(analysis.stem_map(bags.corpus_tokens(rows)))
+    found = bags.matches(rows, spark.createDataFrame([("red", "red")], "token string, term string"))
+    assert "Python" not in plan_of(found)
+    assert "Python" not in plan_of(bags.article_bags(rows, found))
 
 
-def test_bags_take_one_shuffle_and_read_two_columns(spark, tmp_path):
+@pytest.fixture
+def stored_documents(spark, tmp_path):
     path = str(tmp_path / "documents.parquet")
     spark.createDataFrame(
         [(1, "a\nb", "en", "s", 3)], "doc_id long, text string, lang string, source string, n_chars long"
     ).write.parquet(path)
-    plan = plan_of(bags.article_bags(tables.documents_as_articles(spark.read.parquet(path))))
-    assert plan.count("Exchange") == 1
+    return tables.documents_as_articles(spark.read.parquet(path))
+
+
+def test_the_vocabulary_is_met_before_the_shuffle(spark, stored_documents):
+    words = spark.createDataFrame([("red", "red")], "token string, term string")
+    plan = plan_of(bags.matches(stored_documents, F.broadcast(words)))
+    assert "BroadcastHashJoin" in plan[plan.rindex("Exchange hashpartitioning"):]
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
     assert "PushedFilters: [IsNotNull(doc_id), IsNotNull(text)]" in plan
-    # The corpus is analysed once, not once per use of its tokens.
-    assert plan.count("regexp_extract_all") == 1
+    assert "SortAggregate" not in plan and plan.count("regexp_extract_all") == 1
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_a_large_vocabulary_takes_a_join_that_can_be_split(spark, stored_documents):
+    words = spark.createDataFrame([("red", "red")], "token string, term string").hint("merge")
+    plan = plan_of(bags.matches(stored_documents, words))
+    assert "SortMergeJoin" in plan and plan.startswith("AdaptiveSparkPlan")
+
+
+def test_bags_use_no_sort_aggregate_and_read_two_columns(spark, stored_documents):
+    plan = plan_of(bags.article_bags(stored_documents, bags.matches(stored_documents, None)))
+    assert "SortAggregate" not in plan
+    assert plan.count("ReadSchema: struct<doc_id:bigint,text:string>") == 2
 
 
 def test_json_articles_decode_only_what_is_indexed(spark, tmp_path):
     path = tmp_path / "a.jl"
     path.write_text('{"id": "a", "title": "t", "contents": []}')
-    plan = plan_of(bags.article_bags(files.read_articles(spark, str(path))))
+    plan = plan_of(bags.matches(files.read_articles(spark, str(path)), None))
     scan = plan[plan.index("ReadSchema"):]
     assert "author" not in scan and "published_date" not in scan and "bio" not in scan
 

@@ -140,13 +140,13 @@ def random_rows(seed, count):
     (3, {"pad_zero": False}),
     (4, {"ratio": "real", "k": 3}),
     (5, {"dedup": False}),
-    (6, {"stem": True, "inline_terms": 1}),
-    (7, {"inline_terms": 1, "prefix": 10}),
+    (6, {"stem": True, "ratio": "real"}),
+    (7, {"prefix": 10}),
     (8, {"stem": True, "pad_zero": False, "ratio": "real", "prefix": 10}),
 ])
 def test_random_corpora_rank_as_the_plain_model_does(spark, seed, options):
     rows = random_rows(seed, 60)
     texts = ["red", "blue green red", "running running beta", "élan", "gamma 7", "the", "absent"]
-    known = {name: value for name, value in options.items() if name not in ("inline_terms", "prefix")}
+    known = {name: value for name, value in options.items() if name != "prefix"}
     found = run(spark, rows, texts, Options(**{"stem": False, **options}))
     same(found, expected(rows, texts, **known))
