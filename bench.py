@@ -62,6 +62,8 @@ def main() -> None:
         "corpus_stats": lambda: registry.corpus_stats(spark, SF_DIR),
         "query_scores": lambda: registry.query_scores(spark, SF_DIR),
         "user_query_scores": lambda: registry.user_query_scores(spark, SF_DIR),
+        "user_query_top10": lambda: registry.user_query_top10(spark, SF_DIR),
+        "stemmed_ranking": lambda: registry.QUERIES["stemmed_ranking"](spark, SF_DIR),
         "deduplicated_top10": lambda: registry.QUERIES["deduplicated_top10"](spark, SF_DIR),
         "document_ranking": lambda: registry.document_ranking(spark, SF_DIR),
     }

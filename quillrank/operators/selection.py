@@ -20,6 +20,11 @@ from quillrank.storage import broadcast_if_small, checkpointed
 # Hits in one prefix. More means fewer rounds for queries with many near duplicates.
 PREFIX = 100
 
+# Spark plans a cut before the shuffle for window ranks up to its own limit of 1000.
+LONGEST_PREFIX = 1000
+
+_CUTS = 32
+
 # A table of per-query state up to these sizes is broadcast.
 STATE_ROWS = 1_000_000
 STATE_BYTES = 64 << 20
@@ -47,9 +52,16 @@ def _near_a_kept(kept: Column, title: Column) -> Column:
 
 
 def _first_hits(hits: DataFrame, count: int) -> DataFrame:
-    """The best ``count`` hits of each query; Spark cuts them per task before the shuffle."""
-    order = Window.partitionBy("query_id").orderBy(*_PLACE)
-    return hits.withColumn("position", F.row_number().over(order)).where(F.col("position") <= count)
+    """The best ``count`` hits of each query, in two cuts.
+
+    Spark cuts both per task before their shuffles. The first goes by query and a number that all rows of a
+    task share, so that however many tasks there are, the last one of a query sorts ``_CUTS`` times ``count`` rows.
+    """
+    dealt = hits.withColumn("cut", F.pmod(F.spark_partition_id(), F.lit(_CUTS)))
+    for keys in (["query_id", "cut"], ["query_id"]):
+        order = Window.partitionBy(*keys).orderBy(*_PLACE)
+        dealt = dealt.withColumn("position", F.row_number().over(order)).where(F.col("position") <= count)
+    return dealt.drop("cut")
 
 
 def _fold(kept: Column, prefix: Column, k: int, dedup: bool) -> Column:
@@ -111,7 +123,7 @@ def choose(
     ``hits_of(queries)`` gives the hits of the stretch for those queries, or for all if None.
     The second value tells whether any query still has fewer than ``k``.
     """
-    prefix = max(prefix, k)
+    prefix = min(max(prefix, k), LONGEST_PREFIX)
     queries = choice.where("more").select("query_id") if "last" in choice.columns else None
     while True:
         choice = checkpointed(_advance(choice, hits_of(queries), k, prefix, dedup))

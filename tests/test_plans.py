@@ -30,11 +30,13 @@ def test_scoring_neither_shuffles_nor_leaves_the_jvm(corpora):
         assert "BroadcastHashJoin" in plan
 
 
-def test_best_hits_are_cut_before_the_shuffle(corpora):
+@pytest.mark.parametrize("prefix", [100, selection.LONGEST_PREFIX])
+def test_best_hits_are_cut_before_the_shuffle(corpora, prefix):
     for corpus in corpora:
         choice = selection.new_choice(corpus.term_rows)
-        plan = plan_of(selection._advance(choice, corpus.hits(), 10, 100, True))
-        assert plan.count("WindowGroupLimit") == 2
+        plan = plan_of(selection._advance(choice, corpus.hits(), 10, prefix, True))
+        # Two cuts, each before and after its shuffle.
+        assert plan.count("WindowGroupLimit") == 4
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 

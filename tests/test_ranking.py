@@ -8,6 +8,7 @@ import pytest
 import model
 from builders import article, articles, queries, ranked
 from quillrank import Options, rank_documents
+from quillrank.operators import selection
 from quillrank.plans import retrieval
 
 PLAIN = Options(stem=False)
@@ -142,9 +143,13 @@ def random_rows(seed, count):
     (5, {"dedup": False}),
     (6, {"stem": True, "ratio": "real"}),
     (7, {"prefix": 10}),
+    (9, {"k": 30, "longest": 7}),
+    (10, {"k": 30, "longest": 7, "dedup": False}),
     (8, {"stem": True, "pad_zero": False, "ratio": "real", "prefix": 10}),
 ])
-def test_random_corpora_rank_as_the_plain_model_does(spark, seed, options):
+def test_random_corpora_rank_as_the_plain_model_does(spark, monkeypatch, seed, options):
+    options = dict(options)
+    monkeypatch.setattr(selection, "LONGEST_PREFIX", options.pop("longest", selection.LONGEST_PREFIX))
     rows = random_rows(seed, 60)
     texts = ["red", "blue green red", "running running beta", "élan", "gamma 7", "the", "absent"]
     known = {name: value for name, value in options.items() if name != "prefix"}
