@@ -1,6 +1,7 @@
 """SQL for another engine (DuckDB) that computes what the named queries must give."""
 
 from quillrank.functions.tokens import STOPWORDS, TOKEN_PATTERN
+from quillrank.plans import porter_sql
 from quillrank.plans.registry import DOCUMENT_QUERIES
 from quillrank.sources import tables
 
@@ -97,6 +98,22 @@ postings AS (
 frequencies AS (SELECT term, CAST(sum(tf) AS BIGINT) AS cf FROM postings GROUP BY term)"""
 
 
+_STEMS = f"""
+all_tokens AS (
+  SELECT token FROM kept UNION
+  SELECT unnest(regexp_extract_all(lower(query), '{TOKEN_PATTERN}')) AS token FROM queries),
+{porter_sql.stems("all_tokens")}"""
+
+_STEMMED_QUERY_TERMS = _QUERY_TERMS.replace(
+    "SELECT query_id, term, pos FROM query_tokens WHERE",
+    "SELECT query_id, stem AS term, pos FROM query_tokens JOIN stems ON token = term WHERE",
+)
+_STEMMED_POSTINGS = _POSTINGS.replace(
+    "SELECT id, length, token AS term, count(*) AS tf\n  FROM kept JOIN lengths USING (id) WHERE token IN",
+    "SELECT id, length, stem AS term, count(*) AS tf\n  FROM kept JOIN stems USING (token) JOIN lengths USING (id) WHERE stem IN",
+)
+
+
 def _scores(ratio: str = "n_docs // cf") -> str:
     grain = 2**40
     return f"""
@@ -238,6 +255,14 @@ ORACLES: dict[str, str] = {
     "json_article_source": _with(
         _DOCUMENTS, select="SELECT id, title, source, array_to_string(paragraphs, chr(10)) AS body FROM articles"
     ),
+    "stemmed_terms": _with(
+        _FIXED_QUERIES, _DOCUMENTS, _LENGTHS, _STEMS,
+        select="SELECT token, stem AS term FROM stems WHERE token IN (SELECT token FROM kept)",
+    ),
+    "stemmed_ranking": _with(
+        _FIXED_QUERIES, _DOCUMENTS, _LENGTHS, _STEMS, _STEMMED_QUERY_TERMS, _STEMMED_POSTINGS, _scores(), _ranking(), _CHOSEN,
+        select=_TOP,
+    ),
     "parsed_article_source": _with(
         _DOCUMENTS, select="SELECT id, title, source, array_to_string(paragraphs, chr(10)) AS body FROM articles"
     ),

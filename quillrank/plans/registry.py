@@ -215,6 +215,11 @@ def _mixed_articles(spark: SparkSession, sf: str) -> DataFrame:
     return tables.conversations_as_articles(tables.read_table(spark, sf, "conversations"))
 
 
+def stemmed_terms(spark: SparkSession, sf: str) -> DataFrame:
+    """The stem of every token of the corpus."""
+    return analysis.stem_map(bags.corpus_tokens(_articles(spark, sf)))
+
+
 def mixed_article_text(spark: SparkSession, sf: str) -> DataFrame:
     return analysis.article_text(_mixed_articles(spark, sf))
 
@@ -282,5 +287,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mixed_corpus_stats": mixed_corpus_stats,
     "ranking_sink": ranking_sink,
     "rendered_sink": rendered_sink,
+    "stemmed_terms": stemmed_terms,
     "stemmed_ranking": _ranking(Options()),
 }
