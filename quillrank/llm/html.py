@@ -161,10 +161,10 @@ def _first_pass(block: _Block) -> bool | None:
 
 
 def _second_pass(blocks: list[_Block]) -> None:
-    """Undecided blocks inherit from the nearest decided neighbours of their section, else of the page.
+    """Undecided blocks inherit from the nearest decided neighbours of their section, if it has any, else of the page.
 
-    At equal distance text wins inside an article, the rest outside. A section of an article without any decided block is text;
-    a page without any is no text outside articles.
+    At equal distance text wins. A section of an article without any decided block is text; a page without any
+    is no text outside articles.
     """
     decided = [block.good for block in blocks]
 
@@ -181,15 +181,16 @@ def _second_pass(blocks: list[_Block]) -> None:
                     if distance < known[0]:
                         found[i] = (distance, value)
                     elif distance == known[0]:
-                        found[i] = (distance, value == known[1] and value or (value != known[1] and blocks[i].in_article))
+                        found[i] = (distance, value or known[1])
         return found
 
     by_section: dict[int, list[int]] = {}
     for i, block in enumerate(blocks):
         by_section.setdefault(block.section, []).append(i)
     near = nearest(list(range(len(blocks))))
-    for members in by_section.values():
-        near |= nearest(members)
+    for section, members in by_section.items():
+        if section:  # what stands in no section of its own has the whole page for neighbours
+            near |= nearest(members)
         if all(decided[i] is None for i in members) and blocks[members[0]].in_article:
             near |= {i: (0, True) for i in members}
     for i, block in enumerate(blocks):

@@ -1,13 +1,17 @@
 """Surrogates: found, consistent, distinct, in format; the rest of a text untouched."""
 
 import re
+import sys
 
 import pytest
 from llm_rows import read_rows
+from pyspark import cloudpickle
 
 from quillrank.llm import pii
 from quillrank.llm.queries import LLM_QUERIES
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # its stand-ins run on workers
+
 SF = "/root/testdata/sf0.01"
 SECRET = re.compile(
     r"[\w.]+@mail\d|\bAKIA[A-Z0-9]{16}|password=\S+|token = \"\w+|\b4\d{15}\b|\(\d{3}\) 555-\d{4}|\b\d{1,3}(?:\.\d{1,3}){3}\b"
