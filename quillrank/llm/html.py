@@ -12,7 +12,6 @@ from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quillrank.llm.ids import id_or_mark, id_or_null
 

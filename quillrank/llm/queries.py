@@ -110,9 +110,49 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 LLM_ORACLES: dict[str, str] = {
+    "op4_pivot_links": """
+        WITH RECURSIVE v AS (
+          SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+          WHERE label IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b
+          FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+        reached(node, root) AS (
+          SELECT vec_id, vec_id FROM embeddings UNION SELECT l.a, r.root FROM reached r JOIN links l ON l.b = r.node),
+        degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT node AS vec_id, coalesce(any_value(n), 0) AS n_links, min(root) AS component_id, node = min(root) AS kept
+        FROM reached LEFT JOIN degrees ON a = node GROUP BY node
+    """,
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op10_odd_sketches": """
+        WITH RECURSIVE split AS (
+          SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+          FROM documents),
+        shingles AS (
+          SELECT DISTINCT doc_id, unnest(CASE
+            WHEN len(words) = 0 THEN CAST([] AS VARCHAR[])
+            WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+            ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle
+          FROM split),
+        sizes AS (SELECT doc_id, count(shingle) AS n FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+        shared AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+          FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+          SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+        reached(node, root) AS (
+          SELECT doc_id, doc_id FROM documents UNION SELECT l.a, r.root FROM reached r JOIN links l ON l.b = r.node)
+        SELECT node AS doc_id, any_value(n) AS n_shingles, min(root) AS component_id, node = min(root) AS kept
+        FROM reached JOIN sizes ON doc_id = node GROUP BY node
+    """,
 }
