@@ -9,7 +9,7 @@ stands beyond it.
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,7 +19,27 @@ from quillrank.llm.encoding import WORD_BPE, byte_letters, load_tokenizer, speci
 from quillrank.llm.ids import id_or_mark, id_or_null
 from quillrank.llm.worker import per_worker
 
-CACHE = 300_000  # remembered parts of texts; beyond it the cache starts afresh, likewise for fragments
+CACHE = 400_000  # parts of texts that a worker remembers
+
+
+class _Parts(dict):
+    """Ids and decoded tokens by part of a text; a missing one is encoded and remembered.
+
+    When half the limit is reached the parts become the old generation; what is used again moves up from there.
+    """
+
+    def __init__(self, encoded: Callable[[str], tuple[bytes, str]]):
+        super().__init__()
+        self._encoded, self._old = encoded, {}
+
+    def __missing__(self, part: str) -> tuple[bytes, str]:
+        found = self._old.get(part) or self._encoded(part)
+        if len(part) < 64:
+            if len(self) >= CACHE // 2:
+                self._old = dict(self)
+                self.clear()
+            self[part] = found
+        return found
 
 
 class ForcedBoundaryEncoder:
@@ -47,7 +67,7 @@ class ForcedBoundaryEncoder:
         library = load_tokenizer(path)
         self._normalizer, self._splitter = library.normalizer, library.pre_tokenizer
         self._letters = byte_letters()
-        self._parts: dict[str, tuple[bytes, str]] = {}
+        self._parts = _Parts(self._encoded)
         self._inner_fragments: dict[str, list[int]] = {}
 
     def _symbols(self, token: str) -> list[str]:
@@ -91,24 +111,13 @@ class ForcedBoundaryEncoder:
             ids = self._word(word)
         elif part[-1] in ".," and self._plain(part[:-1]) is not None:
             # A mark after letters is a word of its own.
-            (ids, text), (mark, mark_text) = self._part(part[:-1]), self._part(part[-1])
+            (ids, text), (mark, mark_text) = self._parts[part[:-1]], self._parts[part[-1]]
             return ids + mark, f"{text} {mark_text}"
         else:
             words = self._splitter.pre_tokenize_str(self._normalizer.normalize_str(part))
             ids = [i for word, _ in words for i in self._word(word)]
         return np.array(ids, dtype="<u4").tobytes(), self.decode(ids)
 
-    def _part(self, part: str) -> tuple[bytes, str]:
-        """Ids and decoded tokens of what stands between two spaces."""
-        found = self._parts.get(part)
-        if found is None:
-            found = self._encoded(part)
-            if len(self._parts) >= CACHE:
-                self._parts.clear()
-            if len(part) < 64:
-                self._parts[part] = found
-        return found
-
     def encode(self, text: str | None) -> tuple[bytes, str]:
         """The ids as little-endian 32-bit integers, and the text decoded from them.
 
@@ -123,12 +132,9 @@ class ForcedBoundaryEncoder:
                 ids.append(np.array([self._specials[piece]], dtype="<u4").tobytes())
                 decoded.append(piece)
                 continue
-            for part in piece.replace("\n", " ").split(" "):
-                if part:
-                    part_ids, part_text = self._part(part)
-                    if part_ids:
-                        ids.append(part_ids)
-                        decoded.append(part_text)
+            found = list(map(self._parts.__getitem__, filter(None, piece.replace("\n", " ").split(" "))))
+            ids += [part_ids for part_ids, _ in found]
+            decoded += [part_text for _, part_text in found if part_text]
         return b"".join(ids), " ".join(decoded)
 
     def decode(self, ids: list[int]) -> str:
