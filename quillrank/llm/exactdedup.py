@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quillrank.llm.cuckoo import CuckooIndex
 from quillrank.llm.ids import NO_ID, id_or_mark
+from quillrank.llm.worker import keep_only
 from quillrank.storage import broadcast_if_small, checkpointed
 
 LIVE = 500_000  # digests a folding index may hold before it is sent on and emptied
@@ -34,6 +35,7 @@ def _folded(limit: int | None):
     """A task that merges rows of equal digests; a ``limit`` lets it send on what it has, to merge later."""
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_only()
         index = CuckooIndex()
         for frame in frames:
             for key, keep, copies in zip(frame["digest"], frame["keep_id"], frame["copies"], strict=True):

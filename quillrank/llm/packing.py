@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from quillrank.llm.encoding import BYTE_BPE, byte_encoder
 from quillrank.llm.ids import id_or_mark, id_or_null
+from quillrank.llm.worker import keep_only
 from quillrank.storage import Scratch
 
 WINDOW = 2048
@@ -46,6 +47,7 @@ def _tokenized(documents: DataFrame, end_id: int, vocabulary: str) -> DataFrame:
     """
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_only("encoder", "tokenizer")
         encode = byte_encoder(vocabulary, _WIDTH)
         end = end_id.to_bytes(_WIDTH, "little")
         frequency = np.zeros(_IDS, dtype=np.int64)

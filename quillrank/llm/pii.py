@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillrank.llm.worker import keep_only
 from quillrank.storage import Scratch, broadcast_if_small
 
 KEY = "quillrank surrogates"  # replace it by a secret of your own
@@ -220,6 +221,7 @@ def _found(documents: DataFrame) -> DataFrame:
     """(text_key, kind, normal): the entities of every row, each once per row."""
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_only()
         for frame in frames:
             found = [
                 (text_key, kind, normal)
@@ -285,6 +287,7 @@ def with_surrogates(documents: DataFrame, scratch: Scratch, key: str = KEY) -> D
 
     @F.pandas_udf("struct<text:string,n:int>")
     def exchange(texts: pd.Series, redrawn: pd.Series) -> pd.DataFrame:
+        keep_only()
         out = []
         for text, other in zip(texts, redrawn, strict=True):
             names = {} if other is None else {(o["kind"], o["normal"]): o["surrogate"] for o in other}

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillrank.llm.words import mixed, segments, span_hashes, tables
+from quillrank.llm.worker import keep_only
 from quillrank.storage import Scratch
 
 SAMPLE = 12_000  # labelled documents that the model is fitted on, at most: the ones of least hash of their id
@@ -187,6 +188,7 @@ def fit(documents: DataFrame, labels: DataFrame, scratch: Scratch, size: int = S
     sample = scratch.stored(_sample(documents, labels, size).repartition(_TASKS))
 
     def contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_only("word_tables")
         sums = context_sums(text for frame in frames for text in frame["text"])
         yield pd.DataFrame({"sums": [sums.tobytes()]})
 
@@ -226,6 +228,7 @@ def score_of(text: str, model: Model) -> Column:
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        keep_only("word_tables")
         if not len(texts):
             return pd.Series([], dtype=float)
         return pd.Series(shared.value.probabilities(np.stack([pooled(t, shared.value.vectors) for t in texts])))

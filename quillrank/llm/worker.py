@@ -18,3 +18,13 @@ def per_worker(key: str, make: Callable[[], Any]) -> Any:
     if key not in home.__dict__:
         home.__dict__[key] = make()
     return home.__dict__[key]
+
+
+def keep_only(*starts: str) -> None:
+    """Forget what this process keeps under keys that start otherwise.
+
+    Workers serve one operator after the other; the next one should not pay for the caches of the last.
+    """
+    home = sys.modules.setdefault(_HOME, types.ModuleType(_HOME))
+    for key in [k for k in home.__dict__ if not k.startswith(("__", *starts))]:
+        del home.__dict__[key]
