@@ -7,7 +7,7 @@ equal, so it drops nearly all candidates that are not. What is left is confirmed
 
 Pairs are never formed within a band bucket. Every member first meets one member, the centre, which joins
 nearly all of a group of copies. Buckets that still hold several components then compare what is not in
-their largest component with all members, in blocks of bounded size, on sketches alone.
+their largest component with all members, in blocks of bounded size, inside the task.
 """
 
 from collections.abc import Iterator
@@ -21,13 +21,15 @@ from pyspark.sql import types as T
 from quillrank.llm.graph import components
 from quillrank.llm.ids import NO_ID, id_or_mark, id_or_null
 from quillrank.llm.words import mixed, set_key, shingles, similar
+from quillrank.llm.worker import keep_only
 from quillrank.storage import Scratch, broadcast_if_small
 
 SAMPLES, ROWS = 128, 4  # a pair at similarity 0.8 shares none of the 32 bands with a chance of 5e-8
 BITS = 512  # of an odd sketch
-SPREAD = 6  # standard deviations of the sketch distance that a linked pair may be off
-BLOCK = 2048  # members of a bucket that are compared at a time
+SPREAD = 5  # standard deviations of the sketch distance that a linked pair may be off
+BLOCK = 512  # members of a bucket that are compared at a time
 _CHUNK = 4096  # shingles sampled at a time
+_ROWS_AT_ONCE = 2_000  # what a task compares in one go, unless one unit has more
 _NEEDED_ROWS, _NEEDED_BYTES = 1_000_000, 16 << 20
 
 _MULTIPLIERS = np.random.default_rng(10).integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -79,6 +81,7 @@ def described(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, key, sketch, bands): key names the shingle set; without words or id, key and the rest are null."""
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_only("word_tables")
         for frame in frames:
             found = []
             for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
@@ -111,6 +114,7 @@ def _whole_texts(documents: DataFrame, ids: DataFrame, keys: DataFrame) -> DataF
 def _agree(percent: int):
     @F.pandas_udf(T.BooleanType())
     def agree(a: pd.Series, b: pd.Series) -> pd.Series:
+        keep_only("word_tables")
         return pd.Series([similar(shingles(x), shingles(y), percent) for x, y in zip(a, b, strict=True)], dtype=bool)
 
     return agree
@@ -127,6 +131,62 @@ def _close(percent: int):
     return close
 
 
+def _whole_units(frames: Iterator[pd.DataFrame], names: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by ``names`` in frames that cut no unit, numbered in column ``unit``."""
+    held: list[pd.DataFrame] = []
+    for frame in _with_end(frames):
+        if frame is not None and not len(frame):
+            continue
+        if held and (frame is None or sum(map(len, held)) >= _ROWS_AT_ONCE):
+            rows = pd.concat(held, ignore_index=True)
+            units = rows.groupby(names, sort=False).ngroup().to_numpy()
+            cut = len(rows) if frame is None else int(np.searchsorted(units, units[-1]))
+            if cut:
+                yield rows[:cut].assign(unit=units[:cut])
+            held = [rows[cut:]] if cut < len(rows) else []
+        if frame is not None:
+            held.append(frame)
+
+
+def _with_end(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
+    yield from frames
+    yield None
+
+
+def _new_links(rows: pd.DataFrame, limit: int, percent: int) -> list[tuple[bytes, bytes]]:
+    """Pairs of keys of a unit, a minor row and another, that are similar and join two components."""
+    minor = rows["minor"].to_numpy()
+    labels = pd.factorize(rows["label"])[0]
+    parent = np.arange(labels.max() + 1)
+
+    def find(label: int) -> int:
+        while parent[label] != label:
+            parent[label] = parent[parent[label]]
+            label = parent[label]
+        return label
+
+    sketches, sizes = _sketches(rows["sketch"]), rows["n_shingles"].to_numpy()
+    keys, sets = rows["key"].to_numpy(), rows["set"].to_numpy()
+    others = np.flatnonzero(~minor)
+    close = []
+    for i in np.flatnonzero(minor):
+        sized = np.minimum(sizes[i], sizes[others]) * 100 >= np.maximum(sizes[i], sizes[others]) * percent
+        js = others[sized & (labels[others] != labels[i])]
+        distance = _distance(sketches[i][None, :], sketches[js])
+        near = distance <= limit
+        close.append(np.stack([distance[near], np.full(near.sum(), i), js[near]], axis=1))
+    links = []
+    if not close:
+        return links
+    pairs = np.concatenate(close)
+    for _, i, j in pairs[np.argsort(pairs[:, 0], kind="stable")].tolist():
+        a, b = find(labels[i]), find(labels[j])
+        if a != b and similar(np.frombuffer(sets[i], np.uint64), np.frombuffer(sets[j], np.uint64), percent):
+            parent[max(a, b)] = min(a, b)
+            links.append((keys[i], keys[j]))
+    return links
+
+
 class _Finder:
     """The steps of one search, on tables in scratch."""
 
@@ -142,14 +202,17 @@ class _Finder:
         """Sets whose sizes differ more cannot be similar enough."""
         return F.least(a, b) * 100 >= F.greatest(a, b) * self._percent
 
+    def _texts_of(self, keys: DataFrame) -> DataFrame:
+        keys = self._scratch.stored(keys)
+        ids = self._scratch.stored(self.sets.select("key", "doc_id").join(keys, "key").select("doc_id").distinct())
+        return self._scratch.stored(_whole_texts(self._documents, ids, keys))
+
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of keys whose full sets are similar enough."""
         pairs = self._scratch.stored(pairs)
-        keys = self._scratch.stored(
+        texts = self._texts_of(
             pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
         )
-        ids = self._scratch.stored(self.sets.select("key", "doc_id").join(keys, "key").select("doc_id").distinct())
-        texts = self._scratch.stored(_whole_texts(self._documents, ids, keys))
         both = pairs.join(texts.toDF("a", "a_text"), "a").join(texts.toDF("b", "b_text"), "b")
         return self._scratch.stored(both.where(_agree(self._percent)("a_text", "b_text")).select("a", "b"))
 
@@ -166,32 +229,45 @@ class _Finder:
         near = near.where(self._sized("a_n", "b_n"))
         return near.where(_close(self._percent)("a_sketch", "b_sketch")).select("a", "b")
 
-    def open_pairs(self, shared: DataFrame, labels: DataFrame, best_only: bool) -> DataFrame | None:
-        """Pairs of close sketches between different components of a bucket; None if no bucket has several.
+    def open_links(self, shared: DataFrame, labels: DataFrame) -> DataFrame | None:
+        """Links between different components of a bucket, enough to join what belongs together; None if no bucket has several.
 
-        ``best_only``: the closest pair of each two components per block.
+        Centres are left out, they have met every member; buckets of the same members are looked at once. Close
+        sketches are confirmed on the full sets inside the task, closest first, unless earlier links of the
+        block already joined the two components. So a task sends fewer links than it has rows, however many pairs are close.
         """
-        members = shared.select("band", "key").join(labels.toDF("key", "label"), "key", "left")
-        members = members.withColumn("label", F.coalesce("label", "key"))
-        parts = members.groupBy("band", "label").agg(F.count("*").alias("part"))
-        several = self._scratch.stored(
+        members = shared.where("key <> centre").select("band", "key")
+        members = members.join(labels.toDF("key", "label"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+        own = F.xxhash64("key").cast("decimal(20,0)")
+        parts = members.groupBy("band", "label").agg(F.count("*").alias("part"), F.sum(own).alias("name"))
+        several = (
             parts.groupBy("band").agg(
                 F.sum("part").alias("n"), F.max("part").alias("largest"), F.max_by("label", "part").alias("major"),
-                F.count("*").alias("parts"),
-            ).where("parts > 1")
+                F.count("*").alias("parts"), F.sum("name").alias("name"),
+            )
+            .where("parts > 1").groupBy("n", "parts", "name").agg(F.min(F.struct("band", "largest", "major")).alias("one"))
         )
+        several = self._scratch.stored(several.select("n", "one.*"))
         if several.isEmpty():
             return None
         blocks = lambda count: F.ceil(count / F.lit(BLOCK)).cast("int")
         numbered = (
             members.join(several, "band")
-            .join(self.sets.select("key", "n_shingles", "sketch"), "key")
             .withColumn("all_blocks", blocks(F.col("n")))
             .withColumn("minor_blocks", blocks(F.col("n") - F.col("largest")))
         )
+        numbered = self._scratch.stored(numbered)
+        texts = self._texts_of(numbered.select("key").distinct())
+
+        @F.pandas_udf(T.BinaryType())
+        def whole_set(column: pd.Series) -> pd.Series:
+            return column.map(lambda text: shingles(text).tobytes())
+
+        sets = self.sets.select("key", "n_shingles", "sketch").join(texts.select("key", whole_set("text").alias("set")), "key")
+        numbered = numbered.join(self._scratch.stored(sets), "key")
         block = lambda count: F.pmod(F.xxhash64("key"), F.col(count)).cast("int")
         every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-        fields = ["band", "key", "label", "n_shingles", "sketch"]
+        fields = ["band", "key", "label", "n_shingles", "sketch", "set"]
         minor = numbered.where("label <> major").select(
             *fields, block("minor_blocks").alias("i"), every("all_blocks").alias("j"), F.lit(True).alias("minor")
         )
@@ -200,47 +276,25 @@ class _Finder:
         )
         limit, percent = most_bits(self._percent), self._percent
 
-        def compared(frame: pd.DataFrame) -> pd.DataFrame:
-            left, right = frame[frame["minor"]], frame[~frame["minor"]]
-            codes = pd.factorize(pd.concat([left["label"], right["label"]]))[0]
-            left_codes, right_codes = codes[: len(left)], codes[len(left) :]
-            left_n, right_n = left["n_shingles"].to_numpy(), right["n_shingles"].to_numpy()
-            found = []
-            if len(left) and len(right):
-                right_sketches = _sketches(right["sketch"])
-                for i, sketch in enumerate(_sketches(left["sketch"])):
-                    distance = _distance(sketch[None, :], right_sketches)
-                    sized = np.minimum(left_n[i], right_n) * 100 >= np.maximum(left_n[i], right_n) * percent
-                    for j in np.flatnonzero((distance <= limit) & (right_codes != left_codes[i]) & sized):
-                        found.append((i, j, distance[j]))
-            if best_only:
-                best: dict[tuple, tuple] = {}
-                for i, j, distance in found:
-                    ends = tuple(sorted((left_codes[i], right_codes[j])))
-                    if ends not in best or distance < best[ends][2]:
-                        best[ends] = (i, j, distance)
-                found = list(best.values())
-            a, b = left["key"].to_numpy(), right["key"].to_numpy()
-            pairs = [(min(a[i], b[j]), max(a[i], b[j])) for i, j, _ in found]
-            return pd.DataFrame(pairs, columns=["a", "b"])
-
-        units = minor.unionByName(others).groupBy("band", "i", "j")
-        return units.applyInPandas(compared, "a binary, b binary").distinct()
+        def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for units in _whole_units(frames, ["band", "i", "j"]):
+                links = []
+                for _, unit in units.groupby("unit", sort=False):
+                    links += _new_links(unit, limit, percent)
+                yield pd.DataFrame(links, columns=["a", "b"])
+
+        units = minor.unionByName(others).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+        return self._scratch.stored(units.mapInPandas(compared, "a binary, b binary"))
 
     def labels(self) -> DataFrame:
         """(node, component) of all sets that are linked with another."""
         shared = self.shared_buckets()
         links = self.confirmed(self.star_pairs(shared))
         labels = components(links, self._scratch)
-        for best_only in (True, False):
-            pairs = self.open_pairs(shared, labels, best_only)
-            if pairs is None:
-                break
-            more = self.confirmed(pairs)
-            if not more.isEmpty():
-                links = links.union(more)
-                labels = components(links, self._scratch)
-        return labels
+        more = self.open_links(shared, labels)
+        if more is None or more.isEmpty():
+            return labels
+        return components(links.union(more), self._scratch)
 
 
 def near_groups(documents: DataFrame, scratch: Scratch, percent: int = 80) -> DataFrame:
