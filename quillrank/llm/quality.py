@@ -1,8 +1,9 @@
 """Quality of documents: random-indexing word vectors, pooled, and a two-layer network with calibrated probabilities.
 
 Every word has a sparse random index vector, which follows from its hash. The vector of a word is the sum of
-the index vectors of the words around it in the fitting sample. A document is the mean and spread of its words' vectors,
-and how far neighbouring words have the same index vector. A small network in numpy tells the probability of
+the index vectors of the words around it in all documents. Words that make up less than one in ``OWN_VECTOR`` of all words
+share vectors by hash. A document is the mean and spread of its words' vectors, and how far neighbouring words are
+the same. A small network in numpy, fitted on a sample of the labels, tells the probability of
 a good document from these; its logits are divided by a temperature fitted on rows it was not trained on.
 """
 
@@ -21,13 +22,17 @@ from quillrank.storage import Scratch
 SAMPLE = 12_000  # labelled documents that the model is fitted on, at most: the ones of least hash of their id
 FOLDS = 5  # rows whose crc32 of the id is divisible by this are held out
 DIM = 32  # of word vectors
-WORDS = 1 << 14  # vectors; rarer words share one by hash
+OWN_VECTOR = 1_000_000  # words that are at least one in so many have a vector of their own, so as many words at most
+WORDS = 1 << 14  # vectors that the rarer words share by hash; as many kinds of index vectors
 NONZERO = 4  # entries of an index vector
 WINDOW = 2  # words to either side that count as context
 HIDDEN = 24
 EPOCHS = 150
 REJECT_BELOW = 0.3
 _TASKS = 12
+_CHUNK = 1 << 17  # words whose contexts are summed at a time
+_HELD = 1 << 20  # words that are counted at a time
+_PART = 10_000  # rows of sums in a frame
 
 
 def held_out(name: str = "doc_id"):
@@ -64,54 +69,144 @@ def index_entries() -> tuple[np.ndarray, np.ndarray]:
     return (drawn % np.uint64(DIM)).astype(np.int64), np.where(drawn >> np.uint64(63), 1, -1)
 
 
-def context_sums(texts: Iterator[str | None]) -> np.ndarray:
-    """For every word number the sum of the index vectors around it, over all texts, as one row of whole numbers."""
+def _row_of(hashes: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The number of the vector of each word: those in ``own``, sorted hashes, come after the shared ones."""
+    shared = (hashes % np.uint64(WORDS)).astype(np.int64)
+    if not len(own):
+        return shared
+    at = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
+    return np.where(own[at] == hashes, WORDS + at, shared)
+
+
+def _index_table() -> np.ndarray:
+    """The index vectors, one per line."""
     places, signs = index_entries()
-    sums = np.zeros(WORDS * DIM)
+    table = np.zeros((WORDS, DIM), dtype=np.int8)
+    for i in range(NONZERO):
+        np.add.at(table, (np.arange(WORDS), places[:, i]), signs[:, i])
+    return table
+
+
+def context_sums(texts: Iterator[str | None], own: np.ndarray | None = None) -> np.ndarray:
+    """For every vector the sum of the index vectors around its words, over all texts, as one row of whole numbers.
+
+    The vectors that words share come first, then those of the words in ``own``, sorted hashes.
+    """
+    own = np.zeros(0, dtype=np.uint64) if own is None else own
+    table = _index_table()
+    sums = np.zeros((WORDS + len(own), DIM), dtype=np.int64)
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
 
     def add() -> None:
-        at = np.concatenate([word for word, _ in held])
-        near = np.concatenate([neighbour for _, neighbour in held])
-        for i in range(NONZERO):
-            sums[:] += np.bincount(at * DIM + places[near, i], signs[near, i], WORDS * DIM)
+        hashes = np.concatenate([h for h, _ in held])
+        order = np.argsort(hashes)
+        ordered = hashes[order]
+        first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        found = np.add.reduceat(np.concatenate([c for _, c in held])[order], first, axis=0, dtype=np.int64)
+        np.add.at(sums, _row_of(ordered[first], own), found)
 
     for text in texts:
-        numbers = _numbers(text)
-        for away in range(1, WINDOW + 1):
-            left, right = numbers[:-away], numbers[away:]
-            held += [(left, right), (right, left)]
-            size += 2 * len(left)
-        if size > 1 << 20:
-            add()
-            held, size = [], 0
+        hashes = words(text)
+        for at in range(0, len(hashes), _CHUNK):
+            # With the words on either side of the chunk, which are context but have none here.
+            start, end = max(at - WINDOW, 0), min(at + _CHUNK + WINDOW, len(hashes))
+            index = table[(hashes[start:end] % np.uint64(WORDS)).astype(np.int64)]
+            around = np.zeros_like(index)
+            for away in range(1, WINDOW + 1):
+                around[away:] += index[:-away]
+                around[:-away] += index[away:]
+            part = slice(at, at + _CHUNK)
+            held.append((hashes[part], around[at - start : at - start + _CHUNK]))
+            size += len(held[-1][0])
+            if size >= _CHUNK:
+                add()
+                held, size = [], 0
     if held:
         add()
-    return sums.astype(np.int64)
+    return sums.reshape(-1)
 
 
-def _numbers(text: str | None) -> np.ndarray:
-    return (words(text) % np.uint64(WORDS)).astype(np.int64)
+def _word_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(word, n) of the words of all texts, each word once per about ``_HELD`` words."""
+    keep_only("word_tables")
+    held, size = [], 0
 
+    def counted() -> pd.DataFrame:
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        return pd.DataFrame({"word": found.view(np.int64), "n": n})
 
-def pooled(text: str | None, vectors: np.ndarray) -> np.ndarray:
+    for frame in frames:
+        for text in frame["text"]:
+            held.append(words(text))
+            size += len(held[-1])
+            if size >= _HELD:
+                yield counted()
+                held, size = [], 0
+    if size:
+        yield counted()
+
+
+@dataclass
+class Vectors:
+    own: np.ndarray  # sorted hashes of the words with a vector of their own
+    rows: np.ndarray  # the vectors: first the shared ones, then those of ``own``
+
+
+def word_vectors(documents: DataFrame, scratch: Scratch) -> Vectors:
+    """The vectors of the words of all ``documents``; the driver gets those alone, at most ``OWN_VECTOR + WORDS``."""
+    counts = scratch.stored(
+        documents.select("text").mapInPandas(_word_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    )
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # Packed where they are, because a frame of them as Python numbers would be far larger.
+    packed = counts.where(F.col("n") * OWN_VECTOR >= total).select("word").mapInPandas(
+        lambda frames: (pd.DataFrame({"words": [f["word"].to_numpy(np.int64).tobytes()]}) for f in frames), "words binary"
+    ).collect()
+    own = np.sort(np.frombuffer(b"".join(r["words"] for r in packed), dtype=np.uint64))
+    shared = documents.sparkSession.sparkContext.broadcast(own)
+    names = [f"s{i}" for i in range(DIM)]
+
+    def contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_only("word_tables")
+        sums = context_sums((text for frame in frames for text in frame["text"]), shared.value).reshape(-1, DIM)
+        met = np.flatnonzero(sums.any(axis=1))
+        for at in range(0, len(met), _PART):
+            part = met[at : at + _PART]
+            yield pd.DataFrame(sums[part], columns=names).assign(row=part)
+
+    def unit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sums = frame[names].to_numpy(np.float32)
+            sums /= np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1)
+            yield pd.DataFrame({"at": [frame["row"].to_numpy(np.int64).tobytes()], "vectors": [sums.tobytes()]})
+
+    # Whole numbers, so the order of the tasks does not matter.
+    summed = documents.select("text").mapInPandas(contexts, ", ".join(f"{n} bigint" for n in names) + ", row bigint")
+    summed = summed.groupBy("row").agg(*[F.sum(n).alias(n) for n in names])
+    rows = np.zeros((WORDS + len(own), DIM), dtype=np.float32)
+    for part in summed.mapInPandas(unit, "at binary, vectors binary").collect():
+        rows[np.frombuffer(part["at"], dtype=np.int64)] = np.frombuffer(part["vectors"], dtype=np.float32).reshape(-1, DIM)
+    return Vectors(own, rows)
+
+
+def pooled(text: str | None, vectors: Vectors) -> np.ndarray:
     """The features of a document; an empty one has zeros only."""
-    numbers = _numbers(text)
-    if not len(numbers):
+    hashes = words(text)
+    if not len(hashes):
         return np.zeros(2 * DIM + 2, dtype=np.float32)
-    distinct, counts = np.unique(numbers, return_counts=True)
-    share = (counts / len(numbers)).astype(np.float32)
-    own = vectors[distinct]
+    distinct, counts = np.unique(hashes, return_counts=True)
+    share = (counts / len(hashes)).astype(np.float32)
+    own = vectors.rows[_row_of(distinct, vectors.own)]
     mean = share @ own
     spread = np.sqrt(np.maximum(share @ own**2 - mean**2, 0))
-    repeated = np.mean(numbers[1:] == numbers[:-1]) if len(numbers) > 1 else 0.0
-    return np.concatenate((mean, spread, [repeated, len(distinct) / len(numbers)])).astype(np.float32)
+    repeated = np.mean(hashes[1:] == hashes[:-1]) if len(hashes) > 1 else 0.0
+    return np.concatenate((mean, spread, [repeated, len(distinct) / len(hashes)])).astype(np.float32)
 
 
 @dataclass
 class Model:
-    vectors: np.ndarray
+    vectors: Vectors
     center: np.ndarray
     scale: np.ndarray
     layers: list[np.ndarray]  # weights and biases of both layers; empty if there was one class only
@@ -182,21 +277,11 @@ def _sample(documents: DataFrame, labels: DataFrame, size: int) -> DataFrame:
 def fit(documents: DataFrame, labels: DataFrame, scratch: Scratch, size: int = SAMPLE) -> Model:
     """A model from ``documents`` (doc_id, text) and ``labels`` (doc_id, quality).
 
-    It learns from at most ``size`` labelled documents whose texts alone it sees; the driver holds their
-    features, ``size`` times 66 numbers. Without rows of both classes the model is the share of class 1, or one half.
+    Word vectors come from all ``documents``. The network learns from at most ``size`` labelled documents; the driver
+    holds their features, ``size`` times 66 numbers. Without rows of both classes the model is the share of class 1, or one half.
     """
     sample = scratch.stored(_sample(documents, labels, size).repartition(_TASKS))
-
-    def contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keep_only("word_tables")
-        sums = context_sums(text for frame in frames for text in frame["text"])
-        yield pd.DataFrame({"sums": [sums.tobytes()]})
-
-    # Whole numbers, so the order of the tasks, of which there are few, does not matter.
-    parts = sample.select("text").mapInPandas(contexts, "sums binary").toLocalIterator()
-    vectors = sum((np.frombuffer(p["sums"], dtype=np.int64) for p in parts), np.zeros(WORDS * DIM, dtype=np.int64))
-    vectors = vectors.reshape(WORDS, DIM).astype(np.float32)
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1)
+    vectors = word_vectors(documents, scratch)
     shared = documents.sparkSession.sparkContext.broadcast(vectors)
 
     def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

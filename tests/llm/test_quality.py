@@ -72,6 +72,31 @@ def test_context_sums_are_sums_of_index_vectors():
     assert len(quality.words("Ab, cd!! e1\n")) == 6
 
 
+def test_word_vectors_come_from_all_documents(spark, scratch, monkeypatch):
+    """A word that no labelled document holds has the vector of its own contexts, which no other word shares."""
+    texts = ["red green blue red", "unseen words stand here", "unseen words stay", None, ""]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(0, 1)], "doc_id bigint, quality int")
+    vectors = quality.fit(documents, labels, scratch).vectors
+    distinct = np.unique(np.concatenate([quality.words(t) for t in texts]))
+    assert (vectors.own == distinct).all() and not vectors.rows[: quality.WORDS].any()
+    index = quality._index_table()[(quality.words("words stand words stay") % np.uint64(quality.WORDS)).astype(int)].astype(int)
+    wanted = index.sum(axis=0)
+    found = vectors.rows[quality.WORDS + np.searchsorted(vectors.own, quality.words("unseen"))[0]]
+    assert np.allclose(found, wanted / max(np.linalg.norm(wanted), 1), atol=1e-6)
+    # Words under one in two share by hash.
+    monkeypatch.setattr(quality, "OWN_VECTOR", 2)
+    few = quality.word_vectors(spark.createDataFrame([(1, "a a a b"), (2, "c a")], "doc_id bigint, text string"), scratch)
+    assert (few.own == quality.words("a")).all() and few.rows[quality.words("b")[0] % quality.WORDS].any()
+
+
+def test_chunks_do_not_change_sums(monkeypatch):
+    text = "a b c b ! a d e f a b " * 5
+    whole = quality.context_sums(iter([text, "x y"]), np.sort(quality.words("a b")))
+    monkeypatch.setattr(quality, "_CHUNK", 3)
+    assert (quality.context_sums(iter([text, "x y"]), np.sort(quality.words("a b"))) == whole).all()
+
+
 def test_temperature_lowers_the_loss():
     rng = np.random.default_rng(2)
     y = (rng.random(4000) < 0.5).astype(float)
