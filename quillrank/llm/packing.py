@@ -1,7 +1,7 @@
 """Packing documents into windows of tokens, next to their lexical neighbours.
 
 Documents are dealt by the rarest token they hold and cut into shards of bounded size. Each shard has a BM25
-inverted index over its token ids, with document frequencies and the mean length of the whole corpus. The first
+index over its token ids, with document frequencies and the mean length of the whole corpus. The first
 document of a window is its seed: the index returns the unused documents nearest to it, and these
 fill the window greedily. What does not fit goes on in the next window, so windows are always full; the
 rest at the end of a task is cut into powers of two, so nothing is padded at all.
@@ -23,7 +23,6 @@ from quillrank.storage import Scratch
 WINDOW = 2048
 SHARD_DOCS = 1024  # documents of an index
 SHARD_IDS = 4 << 20  # and its ids, unless one document alone has more
-QUERY_TERMS = 16  # a seed asks for its terms of most weight
 K1, B = 1.2, 0.75
 _WIDTH = 2
 _DTYPE = "<u2"
@@ -95,12 +94,17 @@ class Shard:
         weights = (idf[terms] * tf * (K1 + 1) / (tf + norm[docs])).astype(np.float32)
         self._starts = np.concatenate(([0], np.cumsum(sizes)))
         self._terms, self._weights = terms, weights
-        # Postings: the same entries by term.
-        order = np.argsort(terms, kind="stable")
-        self._posting_docs, self._posting_weights = docs[order], weights[order]
-        self._postings = np.concatenate(([0], np.cumsum(np.bincount(terms, minlength=_IDS)))).tolist()
         self.unused = np.ones(len(documents), dtype=bool)
         self._next = 0
+        self._narrow()
+
+    def _narrow(self) -> None:
+        """Only the entries of unused documents are searched from now on."""
+        self._searched = np.flatnonzero(self.unused)
+        sizes = np.diff(self._starts)
+        kept = np.repeat(self.unused, sizes)
+        self._searched_terms, self._searched_weights = self._terms[kept].astype(np.intp), self._weights[kept]
+        self._searched_starts = np.concatenate(([0], np.cumsum(sizes[self._searched])))[:-1]
 
     def take(self, document: int) -> int:
         self.unused[document] = False
@@ -113,16 +117,21 @@ class Shard:
         return self._next if self._next < len(self.unused) else None
 
     def neighbours(self, seed: int) -> list[int]:
-        """Unused documents that share a query term with the seed, best first; equal scores in shard order."""
-        own = slice(self._starts[seed], self._starts[seed + 1])
-        terms, weights = self._terms[own], self._weights[own]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(weights, -QUERY_TERMS)[-QUERY_TERMS:]]
-        spans = [slice(self._postings[t], self._postings[t + 1]) for t in terms.tolist()]
-        docs = np.concatenate([self._posting_docs[s] for s in spans])
-        scores = np.bincount(docs, np.concatenate([self._posting_weights[s] for s in spans]), len(self.unused))
-        found = np.flatnonzero((scores > 0) & self.unused)
-        return found[np.argsort(-scores[found], kind="stable")].tolist()
+        """Unused documents that share a token with the seed, best first; equal scores in shard order.
+
+        The seed asks with all its distinct tokens.
+        """
+        if 4 * np.count_nonzero(self.unused) <= 3 * len(self._searched):
+            self._narrow()
+        if not len(self._searched):
+            return []
+        asked = np.zeros(_IDS, dtype=np.float32)
+        asked[self._terms[self._starts[seed] : self._starts[seed + 1]]] = 1
+        parts = asked[self._searched_terms]
+        parts *= self._searched_weights
+        scores = np.add.reduceat(parts, self._searched_starts, dtype=np.float64)
+        found = np.flatnonzero((scores > 0) & self.unused[self._searched])
+        return self._searched[found[np.argsort(-scores[found], kind="stable")]].tolist()
 
 
 class _Packer:

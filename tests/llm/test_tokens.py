@@ -164,3 +164,19 @@ def test_index_ranks_by_bm25():
     assert shard.neighbours(0) == sorted((i for i in (1, 2) if scores[i]), key=lambda i: -scores[i])
     shard.take(1)
     assert shard.neighbours(0) == [2]
+
+
+def test_a_seed_asks_with_all_its_tokens():
+    """The best neighbour shares 30 light tokens, none of them among the heaviest; used documents are left out."""
+    heavy, light = np.arange(100, 120, dtype=np.uint16), np.arange(200, 230, dtype=np.uint16)
+    filler = np.arange(300, 329, dtype=np.uint16)
+    docs = [np.concatenate((heavy, light)), np.concatenate((heavy[:1], filler)), light, filler]
+    idf = np.zeros(1 << 16, dtype=np.float32)
+    idf[heavy], idf[light], idf[filler] = 2, 1, 1
+    shard = packing.Shard(docs, idf, 30.0)
+    shard.take(0)
+    assert shard.neighbours(0) == [2, 1]
+    shard.take(2)
+    assert shard.neighbours(0) == [1]
+    shard.take(1)
+    assert shard.neighbours(0) == []
