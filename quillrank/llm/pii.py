@@ -7,6 +7,7 @@ and draws again for these, until all are distinct; only these few travel back to
 """
 
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -31,21 +32,31 @@ _GENDER = {title.lower(): gender for gender, titles in TITLES.items() for title
 _TITLE = "|".join(sorted(map(re.escape, (t for titles in TITLES.values() for t in titles.split())), key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 
+_HEX = r"[0-9A-Fa-f]{1,4}"
+_COUNTRY = re.compile(r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
+_DATE_AT = r"\d\d(?P<between>[./-])\d\d(?P=between)\d{4}(?!\d)"
+# Digits in any groups, as many as there are: how many is checked afterwards.
+_GROUPS = r"(?:(?:[ ]?\(\d{1,4}\)[ ]?|[ ./-]?)\d)"
+
 _ENTITY = re.compile(
     rf"""
     (?P<email>(?<![\w.+-])\w(?:[\w.%+-]*[\w%+-])?@(?:[^\W_](?:[\w-]*[^\W_])?\.)+[^\W\d_]{{2,}})
   | (?P<ip>(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\w]|\.\d))
+  | (?P<ip6>(?<![\w:.])(?:(?:{_HEX}:){{7}}{_HEX}|{_HEX}(?::{_HEX}){{0,6}}::(?:{_HEX}(?::{_HEX}){{0,6}})?|::{_HEX}(?::{_HEX}){{1,6}})(?![\w:]|\.\d))
   | (?P<key>\b(?:AKIA|ASIA)[A-Z0-9]{{16}}\b|\bgh[pousr]_[A-Za-z0-9]{{36,}}|\bsk-[A-Za-z0-9_-]{{20,}})
   | (?P<secret>(?<![\w])(?i:password|passwd|pwd|secret|token|api[_-]?key)(?:\s*[=:]\s*)["']?(?P<value>[^\s"',;]{{6,}}))
   | (?P<iban>\b[A-Z]{{2}}\d{{2}}(?:[ ]?[A-Z0-9]{{4}}){{2,7}}(?:[ ]?[A-Z0-9]{{1,3}})?\b)
   | (?P<ssn>(?<![\w-])\d{{3}}-\d{{2}}-\d{{4}}(?![\w-]))
   | (?P<card>(?<![\w.-])\d(?:[ -]?\d){{12,18}}(?![\w-]))
-  | (?P<phone>(?<![\w.])(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)[ ]?|\d{{2,4}}[ .-])\d{{3,4}}[ .-]\d{{3,4}}(?![\w-])|(?<![\w.])\+\d{{8,15}}(?![\w-]))
+  | (?P<phone>(?<![\w.])(?:\+|00(?=[1-9]))\(?\d\)?{_GROUPS}{{7,}}+(?![\w-])
+      |(?<![\w.+/-])(?!{_DATE_AT})\(?0[1-9]\d{{0,3}}\)?{_GROUPS}{{4,}}+(?![\w-])
+      |(?<![\w.+/-])[6-9]\d\d(?:[ .-]\d\d){{3}}(?![\w-]|[ .-]\d)
+      |(?<![\w.])(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)[ ]?|\d{{2,4}}[ .-])\d{{3,4}}[ .-]\d{{3,4}}(?![\w-])|(?<![\w.])\+\d{{8,15}}(?![\w-]))
   | (?P<name>\b(?P<title>{_TITLE})\.?[ ](?P<who>[^\W\d_a-z]\w+(?:[ -][^\W\d_a-z]\w+)?))
     """,
     re.X,
 )
-_MAY_HOLD = re.compile(rf"[0-9@]|(?i:passw|pwd|secret|token|api.?key)|\b(?:{_TITLE})\.?[ ]")
+_MAY_HOLD = re.compile(rf"[0-9@]|\bA[KS]IA[A-Z]|\bgh[pousr]_|\bsk-|(?i:passw|pwd|secret|token|api.?key)|\b(?:{_TITLE})\.?[ ]")
 
 # What made-up names consist of, by script: consonants, vowels, female and male endings.
 _SYLLABLES = {
@@ -120,6 +131,11 @@ def draft(kind: str, normal: str, attempt: int, key: str = KEY) -> str:
         # The reserved block 240.0.0.0/4 for public addresses, 10.0.0.0/8 for private ones.
         private = re.match(r"10\.|192\.168\.|172\.(?:1[6-9]|2\d|3[01])\.", normal)
         return ".".join(map(str, [10 if private else 240 + stream.below(15), *(stream.below(254) + 1 for _ in range(3))]))
+    if kind == "ip6":
+        # The block for documentation; no group is zero, so this is the normal form.
+        return "2001:db8:" + ":".join(f"{stream.below(0xFFFF) + 1:x}" for _ in range(6))
+    if kind == "phone":
+        return stream.of("6789" if normal[0] in "6789" else "123456789") + _like(normal[1:], stream)
     if kind == "card":
         digits = normal[0] + "".join(stream.of("0123456789") for _ in normal[1:-1])
         return digits + _luhn_digit(digits)
@@ -133,7 +149,7 @@ def draft(kind: str, normal: str, attempt: int, key: str = KEY) -> str:
     if kind == "name":
         gender, script, who = normal.split(":", 2)
         return _made_up(gender, script, 1 + (" " in who), stream)
-    return _like(normal, stream)  # phone, ssn: digits; secret: as it looks
+    return _like(normal, stream)  # ssn: digits; secret: as it looks
 
 
 def _script(text: str) -> str:
@@ -156,9 +172,23 @@ def _normal(found: re.Match) -> tuple[str, str, str] | None:
     if kind == "card":
         if digits[-1] == _luhn_digit(digits[:-1]):
             return kind, digits, text
-        return None
+        if not text.startswith("0"):
+            return None
+        kind = "phone"
     if kind == "phone":
-        return ("phone", digits[-10:], text) if len(digits) >= 7 else None
+        # Without country code and leading zeros, so that both spellings are one number.
+        abroad = text.startswith(("+", "00"))
+        if not (8 if abroad or re.match(r"\(?0", text) else 7) <= len(digits.lstrip("0") if abroad else digits) <= 15:
+            return None
+        plain = digits.lstrip("0")
+        if abroad:
+            plain = plain[_COUNTRY.match(plain).end() :].lstrip("0")
+        return ("phone", plain, text) if plain else None
+    if kind == "ip6":
+        try:
+            return (kind, ipaddress.IPv6Address(text).compressed, text) if re.search(r"\d", text) else None
+        except ValueError:
+            return None
     if kind == "ssn":
         return kind, digits, text
     if kind == "name":

@@ -117,3 +117,37 @@ def test_odd_rows(spark, scratch, odd_documents, no_documents):
     (mail,) = [r for r in rows if r.n_entities]
     assert mail.n_entities == 2 and mail.n_chars == len(mail.text) and "x.org" not in mail.text
     assert pii.with_surrogates(no_documents, scratch).isEmpty()
+
+
+@pytest.mark.parametrize("text", [
+    "+33 1 23 45 67 89", "01 23 45 67 89", "+49 30 1234567", "+49 89 12345678", "612 34 56 78", "+49 (0)30 1234567",
+    "0033 1 23 45 67 89", "030/1234567", "+34 612 34 56 78",
+])
+def test_phones_in_any_grouping(text):
+    assert [(a, b, kind) for a, b, kind, _ in pii.entities(f"call {text}, please")] == [(5, 5 + len(text), "phone")]
+    new, count = pii.replaced(text, {})
+    assert count == 1 and new != text and re.sub(r"\d", "9", new) == re.sub(r"\d", "9", text)
+    assert [kind for _, _, kind, _ in pii.entities(new)] == ["phone"]
+
+
+def test_spellings_of_a_phone_are_one_number():
+    for one, other in (("+33 1 23 45 67 89", "01 23 45 67 89"), ("+49 (0)30 1234567", "030/1234567"), ("+1 988 555 2485", "(988) 555-2485")):
+        assert len({normal for _, _, _, normal in pii.entities(f"{one}; {other}")}) == 1
+
+
+def test_dates_and_long_numbers_are_no_phones():
+    assert not values("01.02.2020 and 05/06/2021, 2020-01-02, 0.12345678, +1234 and 01234567890123456789")
+
+
+def test_ipv6():
+    for text in ("2001:db8:85a3::8a2e:370:7334", "fe80::1", "2001:0db8:0:0:0:0:0:1"):
+        assert values(f"from {text}.") == [text]
+        new, _ = pii.replaced(text, {})
+        assert values(new) == [new] != [text]
+    assert len({n for *_, n in pii.entities("fe80::1 FE80:0:0:0:0:0:0:1")}) == 1
+    assert not values("std::cout, a::b, ::, 12:34:56")
+
+
+@pytest.mark.parametrize("text", ["sk-" + "abcde" * 5, "ghp_" + "abcdef" * 7, "AKIA" + "ABCDEFGH" * 2])
+def test_keys_without_digits(text):
+    assert values(f"use {text} here") == [text]
