@@ -32,6 +32,9 @@ _GENDER = {title.lower(): gender for gender, titles in TITLES.items() for title
 _TITLE = "|".join(sorted(map(re.escape, (t for titles in TITLES.values() for t in titles.split())), key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 
+_UPPER = "".join(c for c in map(chr, range(0x2000)) if c.isupper() or c.istitle())
+# A part of a name: an initial, or a word with capitals after apostrophes.
+_PART = rf"(?:[{_UPPER}](?:\.|(?=[ ][{_UPPER}])|(?:['’](?=[{_UPPER}])|\w)+))"
 _HEX = r"[0-9A-Fa-f]{1,4}"
 _COUNTRY = re.compile(r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
 _DATE_AT = r"\d\d(?P<between>[./-])\d\d(?P=between)\d{4}(?!\d)"
@@ -52,7 +55,7 @@ _ENTITY = re.compile(
       |(?<![\w.+/-])(?!{_DATE_AT})\(?0[1-9]\d{{0,3}}\)?{_GROUPS}{{4,}}+(?![\w-])
       |(?<![\w.+/-])[6-9]\d\d(?:[ .-]\d\d){{3}}(?![\w-]|[ .-]\d)
       |(?<![\w.])(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)[ ]?|\d{{2,4}}[ .-])\d{{3,4}}[ .-]\d{{3,4}}(?![\w-])|(?<![\w.])\+\d{{8,15}}(?![\w-]))
-  | (?P<name>\b(?P<title>{_TITLE})\.?[ ](?P<who>[^\W\d_a-z]\w+(?:[ -][^\W\d_a-z]\w+)?))
+  | (?P<name>\b(?P<title>{_TITLE})\.?[ ](?P<who>{_PART}(?:(?:[ -]|(?<=\.))(?!(?:{_TITLE})\b){_PART})*|[^\W\d_a-z]\w+(?:[ -][^\W\d_a-z]\w+)?))
     """,
     re.X,
 )
@@ -117,7 +120,7 @@ def _made_up(gender: str, script: str, words: int, stream: _Stream) -> str:
     syllables = lambda n: "".join(stream.of(consonants) + stream.of(vowels) for _ in range(n))
     ending = stream.of({"f": female, "m": male}.get(gender, ["is", "an"] if script == "LATIN" else vowels))
     first = syllables(2) + stream.of(consonants) + ending
-    return " ".join([first, syllables(3) + stream.of(consonants)][:words]) if words > 1 else first
+    return " ".join([first, *(syllables(3) + stream.of(consonants) for _ in range(words - 1))])
 
 
 def draft(kind: str, normal: str, attempt: int, key: str = KEY) -> str:
@@ -148,7 +151,7 @@ def draft(kind: str, normal: str, attempt: int, key: str = KEY) -> str:
         return f"{normal[:2]}{check:02d}{body}"
     if kind == "name":
         gender, script, who = normal.split(":", 2)
-        return _made_up(gender, script, 1 + (" " in who), stream)
+        return _made_up(gender, script, len(who.split()), stream)
     return _like(normal, stream)  # ssn: digits; secret: as it looks
 
 
@@ -157,6 +160,9 @@ def _script(text: str) -> str:
     return name.split()[0] if name.split()[0] in _SYLLABLES else "LATIN"
 
 
+_NAME_PART = re.compile(r"[^ .-]+\.?")
+
+
 def _normal(found: re.Match) -> tuple[str, str, str] | None:
     """(kind, normal form, the part of the text that is replaced), or None if it only looks like an entity."""
     kind, text = found.lastgroup, found[0]
@@ -194,7 +200,7 @@ def _normal(found: re.Match) -> tuple[str, str, str] | None:
     if kind == "name":
         gender = _GENDER[found["title"].lower()]
         who = found["who"]
-        return kind, f"{gender}:{_script(who)}:{re.sub('[ -]', ' ', who).lower()}", who
+        return kind, f"{gender}:{_script(who)}:{' '.join(_NAME_PART.findall(who)).lower()}", who
     return kind, text, text
 
 
@@ -209,9 +215,15 @@ def _shown(kind: str, surrogate: str, original: str) -> str:
     if kind == "email":
         return surrogate.upper() if original.isupper() else surrogate
     if kind == "name":
-        joint = "-" if "-" in original and " " not in original else " "
-        words = surrogate.split(" ")
-        return joint.join(w.upper() if original.isupper() else w.capitalize() for w in words)
+        words = iter(surrogate.split(" "))
+
+        def part(old: re.Match) -> str:
+            new = next(words)
+            if len(old[0].rstrip(".")) == 1:
+                return new[0].upper() + old[0][1:]
+            return new.upper() if original.isupper() else new.capitalize()
+
+        return _NAME_PART.sub(part, original)
     return surrogate
 
 
@@ -230,7 +242,7 @@ def entities(text: str | None) -> Iterator[tuple[int, int, str, str]]:
                 at += 1
             continue
         kind, normal, part = what
-        start = text.index(part, found.start("value") if kind == "secret" else found.start())
+        start = text.index(part, found.start({"secret": "value", "name": "who"}.get(kind, 0)))
         yield start, start + len(part), kind, normal
 
 

@@ -151,3 +151,19 @@ def test_ipv6():
 @pytest.mark.parametrize("text", ["sk-" + "abcde" * 5, "ghp_" + "abcdef" * 7, "AKIA" + "ABCDEFGH" * 2])
 def test_keys_without_digits(text):
     assert values(f"use {text} here") == [text]
+
+
+@pytest.mark.parametrize(("title", "who"), [
+    ("Mrs", "Anna Maria Schmidt"), ("Mr", "Jean-Paul Sartre"), ("Mr", "J. Smith"), ("Mr", "O'Neil"), ("Mr", "J.R. Tolkien"),
+    ("Mr", "M."), ("Г-жа", "Анна Мария Котова"), ("Mr", "J Smith"),
+])
+def test_names_are_taken_whole(title, who):
+    text = f"{title} {who} went, "
+    assert values(text) == [who]
+    new, count = pii.replaced(text, {})
+    assert count == 1 and new.startswith(title + " ") and new.endswith(" went, ") and values(new) != [who]
+    assert re.sub(r"\w", "", values(new)[0]) == re.sub(r"[\w']", "", who)
+
+
+def test_a_run_of_parts_ends():
+    assert values("Mr Smith's house, Mr Smith Mrs Jones, Г-жа Анна Котова пришла домой") == ["Smith", "Smith", "Jones", "Анна Котова"]
