@@ -1,5 +1,6 @@
 """A cuckoo filter over digests, with the stored keys that make its answers exact."""
 
+import hashlib
 from collections.abc import Iterator
 
 _SLOTS = 4  # fingerprints of a bucket
@@ -13,14 +14,17 @@ class CuckooIndex:
     The filter holds a 16-bit fingerprint per digest in one of two buckets. A lookup that finds no
     fingerprint is a sure miss. A hit is verified against the content kept for that bucket, the whole digests,
     so false positives never count. An insertion moves fingerprints between their two buckets to make room;
-    when that fails, or the table is nearly full, it is doubled and filled again from the stored keys.
+    when that fails, or the table is nearly full, the table is filled again from the stored keys: with twice the
+    buckets if it is over half full, else with fingerprints and buckets drawn anew, because then digests
+    that share both are in each other's way and more room would not part them.
     """
 
     def __init__(self, buckets: int = 1 << 8):
+        self._salt = 0
         self._grow_to(buckets, [])
 
     def _grow_to(self, buckets: int, items: list[tuple[bytes, object]]) -> None:
-        """Start afresh with ``buckets`` buckets, or more if the items do not fit."""
+        """Start afresh with ``buckets`` buckets, or more if the items need them."""
         while True:
             self._mask = buckets - 1
             self._table: list[list[int]] = [[] for _ in range(buckets)]
@@ -28,14 +32,22 @@ class CuckooIndex:
             self._count = 0
             if all(self._place(digest, value) for digest, value in items):
                 return
-            buckets *= 2
+            if 2 * len(items) > _SLOTS * buckets:
+                buckets *= 2
+            else:
+                self._salt += 1
 
-    @staticmethod
-    def _print(digest: bytes) -> int:
-        return int.from_bytes(digest[8:10], "little") or 1
+    def _drawn(self, digest: bytes) -> bytes:
+        """The bits that fingerprint and buckets come from; under a later salt they depend on the whole digest."""
+        if not self._salt:
+            return digest[8:18]
+        return hashlib.blake2b(digest, digest_size=10, salt=self._salt.to_bytes(8, "little")).digest()
+
+    def _print(self, digest: bytes) -> int:
+        return int.from_bytes(self._drawn(digest)[:2], "little") or 1
 
     def _home(self, digest: bytes) -> int:
-        return int.from_bytes(digest[10:18], "little") & self._mask
+        return int.from_bytes(self._drawn(digest)[2:], "little") & self._mask
 
     def _other(self, bucket: int, fingerprint: int) -> int:
         return (bucket ^ (fingerprint * 0x5BD1E995)) & self._mask
@@ -65,8 +77,10 @@ class CuckooIndex:
             if digest in bucket:
                 bucket[digest] = value
                 return
-        if self._count + 1 > _LOAD * _SLOTS * (self._mask + 1) or not self._place(digest, value):
+        if self._count + 1 > _LOAD * _SLOTS * (self._mask + 1):
             self._grow_to(2 * (self._mask + 1), [*self.items(), (digest, value)])
+        elif not self._place(digest, value):
+            self._grow_to(self._mask + 1, [*self.items(), (digest, value)])
 
     def _place(self, digest: bytes, value: object) -> bool:
         fingerprint, bucket = self._print(digest), self._home(digest)

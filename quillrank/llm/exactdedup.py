@@ -17,6 +17,7 @@ from quillrank.llm.worker import keep_only
 from quillrank.storage import broadcast_if_small, checkpointed
 
 LIVE = 500_000  # digests a folding index may hold before it is sent on and emptied
+SHARD = 250_000  # folded rows of a shard; an index of as many digests takes about 100 MB
 _DROPPED_ROWS, _DROPPED_BYTES = 500_000, 64
 _FIELDS = "digest binary, keep_id bigint, copies bigint"
 
@@ -54,14 +55,13 @@ def _folded(limit: int | None):
 def live_digests(documents: DataFrame) -> DataFrame:
     """(digest, keep_id, copies): one row per distinct text; keep_id is the largest doc_id that has it.
 
-    A shard's index is as large as its distinct digests: choose ``spark.sql.shuffle.partitions`` for some
-    million per partition at most.
+    Shards follow from the count of folded rows, ``SHARD`` each, so the memory of a task does not depend on a setting.
     """
     rows = documents.select(digest().alias("digest"), id_or_mark("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("copies"))
-    return (
-        rows.mapInPandas(_folded(LIVE), _FIELDS)
-        .repartition("digest").mapInPandas(_folded(None), _FIELDS)
-    )
+    folded = checkpointed(rows.mapInPandas(_folded(LIVE), _FIELDS))
+    given = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(given, -(-folded.count() // SHARD))
+    return folded.repartition(shards, "digest").mapInPandas(_folded(None), _FIELDS)
 
 
 def updated(live: DataFrame, inserted: DataFrame, deleted: DataFrame) -> DataFrame:

@@ -80,6 +80,16 @@ def test_cuckoo_hits_with_one_fingerprint_are_verified():
     assert index.get(first) == "first" and [index.get(d) for d in others] == list(range(29))
 
 
+def test_cuckoo_table_grows_with_its_digests_only():
+    index = CuckooIndex()
+    for i in range(5000):
+        index.put(i.to_bytes(4, "little") + bytes(28), i)  # one fingerprint and one pair of buckets for all
+    assert len(index) == 5000 and index.get((77).to_bytes(4, "little") + bytes(28)) == 77
+    assert len(index._table) * 4 <= 4 * 5000
+    assert all(index.delete(i.to_bytes(4, "little") + bytes(28)) for i in range(0, 5000, 2))
+    assert dict(index.items()) == {i.to_bytes(4, "little") + bytes(28): i for i in range(1, 5000, 2)}
+
+
 def test_updates_of_a_living_index(spark):
     digest = lambda i: hashlib.sha256(str(i).encode()).digest()
     fields = "digest binary, keep_id bigint"
@@ -102,6 +112,14 @@ def test_exact_groups_of_odd_rows(odd_documents):
     assert sorted(map(repr, map(tuple, exactdedup.exact_groups(odd_documents).collect()))) == sorted(map(repr, wanted))
 
 
+def test_shards_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(exactdedup, "SHARD", 100)
+    rows = spark.range(3000).selectExpr("id as doc_id", "cast(id % 1000 as string) as text")
+    live = exactdedup.live_digests(rows)
+    assert live.rdd.getNumPartitions() >= 10
+    assert sorted((r.keep_id, r.copies) for r in live.collect()) == [(i, 3) for i in range(2000, 3000)]
+
+
 def test_without_copies_keeps_columns(odd_documents, no_documents):
     left = exactdedup.without_copies(odd_documents)
     assert left.columns == odd_documents.columns
