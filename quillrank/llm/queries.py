@@ -202,7 +202,7 @@ LLM_ORACLES: dict[str, str] = {
         levels AS (
           SELECT a.source, a.s, a.weight,
                  2 * sum(least(2 * b.s * a.weight, b.weight * 2 * a.s)) <= 3 * sum(b.s) * a.weight AS capped
-          FROM sources a, sources b GROUP BY ALL),
+          FROM sources a, sources b GROUP BY a.source, a.s, a.weight),
         sums AS (
           SELECT sum(s) AS all_sizes, coalesce(sum(s) FILTER (capped), 0) AS capped_sizes,
                  sum(weight) FILTER (NOT capped) AS open_weights FROM levels),
