@@ -1,15 +1,13 @@
-"""Porter's suffix stripper (M. F. Porter, "An algorithm for suffix stripping", 1980).
+"""Porter's suffix stripper (M. F. Porter, "An algorithm for suffix stripping", 1980) as column expressions.
 
-It runs as one pandas UDF over distinct tokens only, never over documents.
+A word is a stem and an ending, and most rules ask how often vowels turn into consonants in the stem. A ``y`` is a vowel after a
+consonant only; consonantal ones are written ``Y`` while the steps run, so that one pattern each tells the rest. An ending changes
+nothing before it, so the marks stay right from step to step. Each step is a projection of its own: it names the word often, and
+stays one expression because Spark does not merge projections that would compute it more than once.
 """
 
-import re
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The suffix rules of the paper, in its order.
 STEP_2 = """
@@ -20,104 +18,82 @@ aliti al, iviti ive, biliti ble
 STEP_3 = "icate ic, ative, alize al, iciti ic, ical ic, ful, ness"
 STEP_4 = "al, ance, ence, er, ic, able, ible, ant, ement, ment, ent, ion, ou, ism, ate, iti, ous, ive, ize"
 
-
-def _rules(text: str) -> dict[str, str]:
-    pairs = [rule.split() for rule in text.split(",")]
-    return {pair[0]: "".join(pair[1:]) for pair in pairs}
-
-
-_STEP_2, _STEP_3, _STEP_4 = _rules(STEP_2), _rules(STEP_3), _rules(STEP_4)
-
-
-def _shape(word: str) -> str:
-    """The word as c's and v's; y is a vowel after a consonant."""
-    shape = ""
-    for i, letter in enumerate(word):
-        vowel = letter in "aeiou" or (letter == "y" and i > 0 and shape[-1] == "c")
-        shape += "v" if vowel else "c"
-    return shape
-
-
-def _measure(stem: str) -> int:
-    return len(re.findall("v+c+", _shape(stem)))
-
-
-def _has_vowel(stem: str) -> bool:
-    return "v" in _shape(stem)
-
-
-def _doubled_consonant(stem: str) -> bool:
-    return len(stem) > 1 and stem[-1] == stem[-2] and _shape(stem)[-1] == "c"
-
-
-def _short_syllable(stem: str) -> bool:
-    return _shape(stem).endswith("cvc") and stem[-1] not in "wxy"
-
-
-def _replace_longest(word: str, rules: dict[str, str], least_measure: int) -> str:
-    """Apply the rule with the longest matching suffix, if the stem before it is long enough."""
-    for size in range(min(7, len(word)), 0, -1):
-        suffix = word[-size:]
-        if suffix in rules:
-            stem = word[:-size]
-            if suffix == "ion" and rules is _STEP_4 and not stem.endswith(("s", "t")):
-                return word
-            return stem + rules[suffix] if _measure(stem) >= least_measure else word
-    return word
-
-
-def _plural(word: str) -> str:
-    if word.endswith(("sses", "ies")):
-        return word[:-2]
-    if word.endswith("s") and not word.endswith("ss"):
-        return word[:-1]
-    return word
-
-
-def _past_or_gerund(word: str) -> str:
-    if word.endswith("eed"):
-        return word[:-1] if _measure(word[:-3]) > 0 else word
-    ending = next((e for e in ("ed", "ing") if word.endswith(e)), None)
-    if ending is None or not _has_vowel(word[: -len(ending)]):
-        return word
-    stem = word[: -len(ending)]
-    if stem.endswith(("at", "bl", "iz")):
-        return stem + "e"
-    if _doubled_consonant(stem) and stem[-1] not in "lsz":
-        return stem[:-1]
-    if _measure(stem) == 1 and _short_syllable(stem):
-        return stem + "e"
-    return stem
-
-
-def _tidy(word: str) -> str:
-    if word.endswith("e"):
-        stem = word[:-1]
-        measure = _measure(stem)
-        if measure > 1 or (measure == 1 and not _short_syllable(stem)):
-            word = stem
-    if word.endswith("ll") and _measure(word) > 1:
-        word = word[:-1]
-    return word
-
-
-def porter_stem(token: str) -> str:
-    """The stem of one lower-case token; tokens of one or two letters stay as they are."""
-    if len(token) < 3:
-        return token
-    word = _past_or_gerund(_plural(token))
-    if word.endswith("y") and _has_vowel(word[:-1]):
-        word = word[:-1] + "i"
-    word = _replace_longest(word, _STEP_2, 1)
-    word = _replace_longest(word, _STEP_3, 1)
-    word = _replace_longest(word, _STEP_4, 2)
-    return _tidy(word)
-
-
-@F.pandas_udf(T.StringType())
-def porter_stems(tokens: pd.Series) -> pd.Series:
-    return tokens.map(porter_stem)
-
-
-# Executors get this module with the plan and need not have the package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+_V, _C = "[aeiouy]", "[^aeiouy]"
+_MEASURE_1 = f"^{_C}*{_V}+{_C}"  # one turn from vowels to consonants, or more
+_MEASURE_2 = f"^{_C}*{_V}+{_C}+{_V}+{_C}"
+_SHORT_END = f"{_C}{_V}[^aeiouywxY]$"
+_WORD = "term"
+_SHORTEST = 3  # shorter tokens stay as they are
+
+
+def _cut(word: Column, letters: int | Column) -> Column:
+    """The word without its last letters."""
+    return F.substring(word, F.lit(1), F.length(word) - letters)
+
+
+def _marked(token: Column) -> Column:
+    """Consonantal y as Y: at the start, after a vowel, and every second one of a run."""
+    return F.regexp_replace(F.regexp_replace(token, "(^|[aeiou])y", "$1Y"), "yy", "yY")
+
+
+def _without_plural(word: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(word, "(ss|i)es$", "$1"), "([^s])s$", "$1")
+
+
+def _mended(stem: Column) -> Column:
+    """What is left after ``ed`` or ``ing`` went, with the ending it needs."""
+    doubled = stem.rlike(r"([^aeiouylszY])\1$|yY$")
+    short = stem.rlike(f"^{_C}+{_V}[^aeiouywxY]$")  # one turn, and a short end
+    return (
+        F.when(stem.rlike("(at|bl|iz)$"), F.concat(stem, F.lit("e")))
+        .when(doubled, _cut(stem, 1))
+        .when(short, F.concat(stem, F.lit("e")))
+        .otherwise(stem)
+    )
+
+
+def _without_past(words: DataFrame) -> DataFrame:
+    word = F.col(_WORD)
+    ended = words.withColumn("stem", F.regexp_extract(word, f"^(.*{_V}.*)(?:ed|ing)$", 1))
+    return ended.withColumn(
+        _WORD,
+        F.when(word.endswith("eed"), F.when(word.rlike(f"{_MEASURE_1}.*eed$"), _cut(word, 1)).otherwise(word))
+        .when(F.col("stem") == "", word)
+        .otherwise(_mended(F.col("stem"))),
+    ).drop("stem")
+
+
+def _without_longest(words: DataFrame, rules: str, measure: str) -> DataFrame:
+    """Exchange the longest ending that a rule names, if the measure of the stem before it allows."""
+    pairs = dict((rule.split() + [""])[:2] for rule in rules.split(","))
+    # Of all endings the pattern finds the one that starts first.
+    found = words.withColumn("ending", F.regexp_extract(_WORD, f"(?:{'|'.join(pairs)})$", 0))
+    found = found.withColumn("stem", _cut(F.col(_WORD), F.length("ending")))
+    by = F.create_map(*[F.lit(text) for pair in pairs.items() for text in pair])
+    allowed = F.col("stem").rlike(measure) & ((F.col("ending") != "ion") | F.col("stem").rlike("[st]$"))
+    replaced = F.concat("stem", F.element_at(by, F.col("ending")))
+    return found.withColumn(
+        _WORD, F.when((F.col("ending") != "") & allowed, replaced).otherwise(F.col(_WORD))
+    ).drop("ending", "stem")
+
+
+def _without_last_e(word: Column) -> Column:
+    stem = _cut(word, 1)
+    silent = stem.rlike(_MEASURE_2) | (stem.rlike(_MEASURE_1) & ~stem.rlike(_SHORT_END))
+    return F.when(word.endswith("e") & silent, stem).otherwise(word)
+
+
+def with_stems(tokens: DataFrame) -> DataFrame:
+    """(token, term): each row of ``tokens`` (token), lower case, with its stem. Tokens of one or two letters keep theirs."""
+    word = F.col(_WORD)
+    words = tokens.select("token", _marked(F.col("token")).alias(_WORD))
+    words = _without_past(words.withColumn(_WORD, _without_plural(word)))
+    words = words.withColumn(_WORD, F.regexp_replace(word, f"^(.*{_V}.*)[yY]$", "$1i"))
+    words = _without_longest(words, STEP_2, _MEASURE_1)
+    words = _without_longest(words, STEP_3, _MEASURE_1)
+    words = _without_longest(words, STEP_4, _MEASURE_2)
+    words = words.withColumn(_WORD, _without_last_e(word))
+    words = words.withColumn(_WORD, F.when(word.endswith("ll") & word.rlike(_MEASURE_2), _cut(word, 1)).otherwise(word))
+    stem = F.when(F.length("token") < _SHORTEST, F.col("token")).otherwise(F.translate(word, "Y", "y"))
+    # Conditions on the stem stop at the explode; written out in terms of the token they would be too long to plan.
+    return words.select("token", F.explode(F.array(stem)).alias(_WORD))

@@ -25,28 +25,33 @@ def title_distance(left: Column, right: Column) -> Column:
     return F.when(longer == 0, F.lit(float("nan"))).otherwise(F.levenshtein(left, right) / longer)
 
 
+def title_profile(title: Column) -> Column:
+    """How often a title has each of some frequent characters, as an array: taken once per title, compared per pair."""
+    return F.array(*[F.length(title) - F.length(F.replace(title, F.lit(c), F.lit(""))) for c in _COUNTED])
+
+
 def _fewest_edits_doubled(left: Column, right: Column) -> Column:
-    """At most twice the edit distance: one edit changes the counts of two characters by one at most."""
-    total = F.lit(0)
-    for character in _COUNTED:
-        count = lambda text: F.length(text) - F.length(F.replace(text, F.lit(character)))  # noqa: B023, E731
-        total = total + F.abs(count(left) - count(right))
-    return total
+    """At most twice the edit distance of titles with these profiles: one edit changes the counts of two characters by one at most."""
+    apart = F.zip_with(left, right, lambda a, b: F.abs(a - b))
+    return F.aggregate(apart, F.lit(0), lambda total, n: total + n)
 
 
-def is_near_duplicate(left: Column, right: Column) -> Column:
+def is_near_duplicate(
+    left: Column, right: Column, left_profile: Column | None = None, right_profile: Column | None = None
+) -> Column:
     """``title_distance(left, right) < 0.5``, without a full distance where less settles it.
 
     Equal titles are near unless empty. The distance is at least the difference in length, so
     titles of very different lengths never are, nor are long titles with very different counts of frequent
-    characters. What remains needs fewer than half as many edits
+    characters, as their profiles tell; give those if a title meets many others. What remains needs fewer than half as many edits
     as the longer title has characters, which bounds the band the edit distance has to look at.
     """
     longer = _longer(left, right)
     most_edits = F.floor((longer - 1) / 2).cast("int")
+    profiles = (left_profile, right_profile) if left_profile is not None else (title_profile(left), title_profile(right))
     return (
         F.when(left == right, longer > 0)
         .when(F.abs(F.length(left) - F.length(right)) > most_edits, F.lit(False))
-        .when((longer > _LONG) & (_fewest_edits_doubled(left, right) > 2 * most_edits), F.lit(False))
+        .when((longer > _LONG) & (_fewest_edits_doubled(*profiles) > 2 * most_edits), F.lit(False))
         .otherwise(F.call_function("levenshtein", left, right, most_edits) >= 0)
     )

@@ -3,9 +3,10 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.functions.porter import porter_stems
+from quillrank.functions.porter import with_stems
 from quillrank.functions.tokens import tokens_of, without_stopwords
 from quillrank.schema import CONTENT_ITEM
+from quillrank.storage import spread
 
 # Fixed value: how many paragraphs of an article are indexed, after its title.
 PARAGRAPHS = 5
@@ -35,15 +36,17 @@ def article_text(articles: DataFrame) -> DataFrame:
 
 
 def article_tokens(articles: DataFrame) -> DataFrame:
-    """(id, title, tokens): the indexed tokens of every usable article, stopwords removed."""
-    tokens = article_text(articles).select("id", "title", tokens_of(F.col("text")).alias("tokens"))
+    """(id, title, tokens): the indexed tokens of every usable article, stopwords removed.
+
+    Splitting texts is the work of a ranking, so few large files are dealt to all cores before.
+    """
+    tokens = spread(article_text(articles)).select("id", "title", tokens_of(F.col("text")).alias("tokens"))
     return tokens.select("id", "title", without_stopwords("tokens").alias("tokens"))
 
 
 def stem_map(tokens: DataFrame) -> DataFrame:
     """(token, term): each distinct token of column ``token`` with its stem."""
-    distinct = tokens.select("token").distinct()
-    return distinct.select("token", porter_stems("token").alias("term"))
+    return with_stems(tokens.select("token").distinct())
 
 
 def query_term_rows(queries: DataFrame, stem: bool) -> DataFrame:

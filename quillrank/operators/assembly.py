@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillrank.operators.bloom import may_have_partner
 from quillrank.schema import ARTICLE
 from quillrank.storage import broadcast_if_small, checkpointed
 
@@ -16,9 +17,16 @@ def result_ids(hits: DataFrame) -> DataFrame:
 
 
 def result_articles(hits: DataFrame, articles: DataFrame) -> DataFrame:
-    """The articles that are a hit of any query, all rows of each."""
-    ids = broadcast_if_small(checkpointed(result_ids(hits)), F.length("id") * 4 + 32, _IDS, _ID_BYTES)
-    return articles.join(ids, "id", "left_semi")
+    """The articles that are a hit of any query, all rows of each.
+
+    Beyond the size that is broadcast the ids meet the articles by shuffle; a Bloom filter of the ids then drops nearly all other
+    articles in the scan, so that little more than the result is shuffled.
+    """
+    ids = checkpointed(result_ids(hits))
+    few = broadcast_if_small(ids, F.length("id") * 4 + 32, _IDS, _ID_BYTES)
+    if few is ids:
+        articles = may_have_partner(articles, ids, "id")
+    return articles.join(few, "id", "left_semi")
 
 
 def one_per_id(articles: DataFrame) -> DataFrame:

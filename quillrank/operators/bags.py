@@ -1,8 +1,9 @@
-"""Term bags of articles, and the corpus statistics that follow from them.
+"""The token store of a corpus, term bags of its articles, and the statistics that follow from them.
 
-Tokens are counted inside the row of their article and meet the vocabulary in the stage that reads the
-corpus, so what is shuffled are matches only: one short row per article and term. Articles travel once
-more, as a row without text each, to meet their bags.
+Articles are read and analysed once, into a stored row each: what names it, its length, and its tokens with their counts. All
+else reads columns of that store: the vocabulary its tokens, statistics its lengths, matches its tokens again. Tokens meet the
+vocabulary in the stage that reads them, so what is shuffled are matches only: one short row per article and term. Articles travel
+as a row without tokens each, to meet their bags.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -15,37 +16,40 @@ from quillrank.operators.analysis import article_tokens
 # title and all tokens, so equal articles, and only they, share it.
 CANDIDATE = ["id", "title", "length", "fingerprint"]
 
-_BAG = "array<struct<token: string, tf: bigint>>"
-
-
 def _fingerprint() -> Column:
     # Lengths in front make the parts unambiguous; tokens hold no spaces.
     parts = [F.length("id").cast("string"), F.col("id"), F.length("title").cast("string"), F.col("title")]
     return F.unhex(F.sha2(F.concat_ws(" ", *parts, F.array_join("tokens", " ")), 256))
 
 
-def _fingerprinted(articles: DataFrame) -> DataFrame:
-    return article_tokens(articles).withColumn("fingerprint", _fingerprint())
+def token_store(articles: DataFrame) -> DataFrame:
+    """(fingerprint, id, title, length, entries): every usable article with its distinct tokens, as (token, tf) each.
+
+    ``length`` counts all tokens. Copies of an article are rows of their own.
+    """
+    return article_tokens(articles).select(
+        _fingerprint().alias("fingerprint"), "id", "title", F.size("tokens").alias("length"),
+        counted(F.col("tokens")).alias("entries"),
+    )
 
 
-def article_lengths(articles: DataFrame) -> DataFrame:
-    """(length, copies): how many usable articles have how many tokens."""
-    lengths = article_tokens(articles).select(F.size("tokens").alias("length"))
-    return lengths.groupBy("length").agg(F.count("*").alias("copies"))
+def article_lengths(rows: DataFrame) -> DataFrame:
+    """(length, copies): how many rows of a token store have how many tokens."""
+    return rows.groupBy("length").agg(F.count("*").alias("copies"))
 
 
-def corpus_tokens(articles: DataFrame) -> DataFrame:
-    """The distinct tokens of all usable articles, in column ``token``."""
-    return article_tokens(articles).select(F.explode("tokens").alias("token")).distinct()
+def corpus_tokens(store: DataFrame) -> DataFrame:
+    """The distinct tokens of a token store, in column ``token``."""
+    return store.select(F.explode("entries.token").alias("token")).distinct()
 
 
-def matches(articles: DataFrame, token_terms: DataFrame | None) -> DataFrame:
-    """(fingerprint, term, tf): the terms of every article, once for equal articles.
+def matches(store: DataFrame, token_terms: DataFrame | None) -> DataFrame:
+    """(fingerprint, term, tf): the terms of every article of a token store, once for equal articles.
 
     ``token_terms`` (token, term) tells which tokens count, and as what; None counts every token as itself. It joins
     before the shuffle if it is hinted to be broadcast.
     """
-    entries = _fingerprinted(articles).select("fingerprint", F.explode(counted(F.col("tokens"))).alias("entry"))
+    entries = store.select("fingerprint", F.explode("entries").alias("entry"))
     rows = entries.select("fingerprint", F.col("entry.token").alias("token"), F.col("entry.tf").cast("bigint").alias("tf"))
     if token_terms is None:
         return rows.groupBy("fingerprint", F.col("token").alias("term")).agg(F.max("tf").alias("tf"))
@@ -54,27 +58,23 @@ def matches(articles: DataFrame, token_terms: DataFrame | None) -> DataFrame:
     return once.groupBy("fingerprint", "term").agg(F.sum("tf").alias("tf"))
 
 
-def article_bags(articles: DataFrame, found: DataFrame) -> DataFrame:
-    """(id, title, length, fingerprint, bag, copies): every usable article, equal ones together.
+def article_bags(store: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, title, length, fingerprint, bag, copies): every article that has matches, equal ones together.
 
-    ``length`` counts all tokens of the article, ``bag`` holds (token, tf) of its matches ``found``, sorted by
-    term. Articles with an empty bag cannot be found; they lose id and title, and only count in the statistics.
-    The result is partitioned by fingerprint.
+    ``bag`` holds (token, tf) of its matches ``found``, sorted by term. The result is dealt by fingerprint.
     """
-    rows = _fingerprinted(articles).select("id", "title", F.size("tokens").alias("length"), "fingerprint")
-    distinct = rows.groupBy(*CANDIDATE).agg(F.count("*").alias("copies")).repartition("fingerprint")
-    bags = found.groupBy("fingerprint").agg(
+    partitions = int(store.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = found.repartition(partitions, "fingerprint")
+    bags = dealt.groupBy("fingerprint").agg(
         F.array_sort(F.collect_list(F.struct(F.col("term").alias("token"), "tf"))).alias("bag")
     )
-    joined = distinct.join(bags, "fingerprint", "left").withColumn("bag", F.coalesce("bag", F.array().cast(_BAG)))
-    can_match = F.size("bag") > 0
-    named = {name: F.when(can_match, F.col(name)).alias(name) for name in ("id", "title")}
-    return joined.select(*[named.get(name, F.col(name)) for name in [*CANDIDATE, "bag", "copies"]])
+    distinct = store.select(*CANDIDATE).groupBy(*CANDIDATE).agg(F.count("*").alias("copies"))
+    return bags.join(distinct, "fingerprint").select(*CANDIDATE, "bag", "copies")
 
 
-def corpus_stats(bags: DataFrame) -> DataFrame:
-    """One row: documents, their total length, and the mean length with its fraction cut off."""
-    totals = bags.agg(
+def corpus_stats(lengths: DataFrame) -> DataFrame:
+    """One row from ``lengths`` (length, copies): documents, their total length, and the mean length with its fraction cut off."""
+    totals = lengths.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("n_docs"),
         F.coalesce(F.sum(F.col("copies") * F.col("length")), F.lit(0)).alias("total_len"),
     )

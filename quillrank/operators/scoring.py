@@ -1,6 +1,6 @@
 """Scores of candidates: postings meet query terms on the term, never queries on documents."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.functions.relevance import dph, rarity
@@ -22,11 +22,14 @@ def term_weights(terms: DataFrame, frequencies: DataFrame, stats: DataFrame, rat
     )
 
 
+def term_score() -> Column:
+    """The score of a term in an article, from the columns that postings and weights bring."""
+    return dph(F.col("tf"), F.col("length"), F.col("avg_len"), F.col("rarity"))
+
+
 def term_scores(postings: DataFrame, weights: DataFrame) -> DataFrame:
     """``postings`` joined with ``weights`` on the term, with the score of the term in the article."""
-    return postings.join(weights, "term").withColumn(
-        "term_score", dph(F.col("tf"), F.col("length"), F.col("avg_len"), F.col("rarity"))
-    )
+    return postings.join(weights, "term").withColumn("term_score", term_score())
 
 
 def scored_hits(postings: DataFrame, weights: DataFrame, keys: list[str] = CANDIDATE) -> DataFrame:

@@ -5,6 +5,9 @@ already kept, until ``k`` are kept. The walk is sequential, but it goes by short
 prefix keeps is enough to drop, in parallel and before any shuffle, every later hit near it. The
 first hit left is then always kept, so a query needs at most ``k`` prefixes whatever share of its
 hits are near duplicates, and no task ever holds more than one prefix of a query.
+
+Articles are scored once for the best hits of every query, some prefixes of them, which are held in a stored table. Only
+queries that use up what is held have articles scored for them again.
 """
 
 from collections.abc import Callable
@@ -13,13 +16,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillrank.functions.relevance import merit
-from quillrank.functions.titles import is_near_duplicate
+from quillrank.functions.titles import is_near_duplicate, title_profile
 from quillrank.operators.bags import CANDIDATE
-from quillrank.storage import broadcast_if_small, checkpointed
+from quillrank.storage import Scratch, broadcast_if_small
 
 # Hits in one prefix. More means fewer rounds for queries with many near duplicates.
 PREFIX = 100
 
+# Prefixes of a query that are held once its hits are scored.
+HELD_PREFIXES = 4
+
 # Spark plans a cut before the shuffle for window ranks up to its own limit of 1000.
 LONGEST_PREFIX = 1000
 
@@ -29,7 +35,7 @@ _CUTS = 32
 STATE_ROWS = 1_000_000
 STATE_BYTES = 64 << 20
 
-_KEPT = "array<struct<id: string, title: string, score: double>>"
+_KEPT = "array<struct<id: string, title: string, score: double, profile: array<int>>>"
 
 # Hits are ranked by score, then by id. The rest of the candidate settles what order is left.
 _DEMERIT = "demerit"
@@ -45,10 +51,16 @@ def new_choice(term_rows: DataFrame) -> DataFrame:
     )
 
 
-def _near_a_kept(kept: Column, title: Column) -> Column:
+def _near_a_kept(kept: Column, title: Column, profile: Column) -> Column:
     # Most near duplicates are plain copies: look for those before measuring any distance.
     copy = (title != "") & F.exists(kept, lambda hit: hit["title"] == title)
-    return copy | F.exists(kept, lambda hit: is_near_duplicate(hit["title"], title))
+    return copy | F.exists(kept, lambda hit: is_near_duplicate(hit["title"], title, hit["profile"], profile))
+
+
+def prefix_lengths(k: int, prefix: int) -> tuple[int, int]:
+    """Hits in one prefix, and hits that are held per query, for ``k`` wanted ones."""
+    first = min(max(prefix, k), LONGEST_PREFIX)
+    return first, min(HELD_PREFIXES * first, LONGEST_PREFIX)
 
 
 def _first_hits(hits: DataFrame, count: int) -> DataFrame:
@@ -64,73 +76,134 @@ def _first_hits(hits: DataFrame, count: int) -> DataFrame:
     return dealt.drop("cut")
 
 
+def _placed(hits: DataFrame) -> DataFrame:
+    return hits.withColumn(_DEMERIT, -merit(F.col("score")))
+
+
+def best_hits(hits: DataFrame, count: int) -> DataFrame:
+    """The best ``count`` hits of each query with their ``position``, from 1, and the profile of their titles.
+
+    ``hits`` may have a ``floor``: these are the ones that a query has at that score or above, others are left out. ``whole``
+    tells whether these are all hits of the query.
+    """
+    if "floor" in hits.columns:
+        hits = hits.where(F.col("floor").isNull() | (merit(F.col("score")) >= F.col("floor")))
+    else:
+        hits = hits.withColumn("floor", F.lit(None).cast("double"))
+    best = _first_hits(_placed(hits), count).withColumn("profile", title_profile(F.col("title")))
+    held = F.count("*").over(Window.partitionBy("query_id"))
+    return best.withColumn("whole", F.col("floor").isNull() & (held < count)).drop("floor")
+
+
 def _fold(kept: Column, prefix: Column, k: int, dedup: bool) -> Column:
     """``kept`` after walking down ``prefix``."""
 
     def step(so_far: Column, hit: Column) -> Column:
         wanted = F.size(so_far) < k
         if dedup:
-            wanted = wanted & ~_near_a_kept(so_far, hit["title"])
+            wanted = wanted & ~_near_a_kept(so_far, hit["title"], hit["profile"])
         return F.when(wanted, F.concat(so_far, F.array(hit))).otherwise(so_far)
 
     def copies_of(hit: Column) -> Column:
         # A copy with a title is a near duplicate of the first one, whether that was kept or not.
         useful = F.least(hit["copies"], F.lit(k)).cast("int")
         repeats = F.when(hit["title"] == "", useful).otherwise(1) if dedup else useful
-        return F.array_repeat(F.struct(hit["id"], hit["title"], hit["score"]), repeats)
+        return F.array_repeat(F.struct(hit["id"], hit["title"], hit["score"], hit["profile"]), repeats)
 
     walked = F.flatten(F.transform(prefix, copies_of)).cast(_KEPT)
     return F.aggregate(F.coalesce(walked, F.array().cast(_KEPT)), kept, step)
 
 
-def _advance(choice: DataFrame, hits: DataFrame, k: int, prefix: int, dedup: bool) -> DataFrame:
-    """Walk one more prefix of ``hits`` for every query of ``choice`` that wants more."""
-    hits = hits.withColumn(_DEMERIT, -merit(F.col("score")))
-    resumed = "last" in choice.columns
-    if resumed:
-        width = F.lit(64) + F.aggregate("kept", F.lit(0), lambda n, hit: n + F.length(hit["title"]) * 4)
-        wanting = choice.where("more").drop("more")
-        hits = hits.join(broadcast_if_small(wanting, width, STATE_ROWS, STATE_BYTES), "query_id")
-        hits = hits.where(F.col("last").isNull() | (F.struct(*_PLACE) > F.col("last")))
-        if dedup:
-            hits = hits.where(~_near_a_kept(F.col("kept"), F.col("title")))
+def _still_wanted(choice: DataFrame, hits: DataFrame, dedup: bool) -> DataFrame:
+    """``hits`` of the queries that want more, beyond where those stand and not near what they kept."""
+    width = F.lit(64) + F.aggregate("kept", F.lit(0), lambda n, hit: n + F.length(hit["title"]) * 4 + 64)
+    wanting = broadcast_if_small(choice.where("more").drop("more"), width, STATE_ROWS, STATE_BYTES)
+    found = hits.join(wanting, "query_id").where(F.col("last").isNull() | (F.struct(*_PLACE) > F.col("last")))
+    if dedup:
+        found = found.where(~_near_a_kept(F.col("kept"), F.col("title"), F.col("profile")))
+    return found.drop("kept", "last")
+
+
+def _walked(choice: DataFrame, hits: DataFrame, k: int, dedup: bool, full: Column | None = None) -> DataFrame:
+    """``choice`` after every query walked down its ``hits``, a prefix at most.
+
+    ``full`` tells from ``prefix``, an array of hits or null, whether there may be more to walk.
+    """
     # Edit distances take long for the few bytes they read, so partitions must not be merged by size.
     partitions = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = _first_hits(hits, prefix).repartition(partitions, "query_id")
-    prefixes = first.groupBy("query_id").agg(
-        F.array_sort(F.collect_list(F.struct(*_PLACE, "copies", "score"))).alias("prefix")
+    prefixes = hits.repartition(partitions, "query_id").groupBy("query_id").agg(
+        F.array_sort(F.collect_list(F.struct(*_PLACE, "copies", "score", "profile"))).alias("prefix")
     )
-    walked = choice.drop("last").join(prefixes, "query_id", "left")
     kept = _fold(F.col("kept"), F.col("prefix"), k, dedup)
     end = F.get("prefix", F.size("prefix") - 1)
+    more = F.lit(False) if full is None else F.coalesce(full, F.lit(False))
+    walked = choice.drop("last", "more").join(prefixes, "query_id", "left")
     return walked.select("query_id", kept.alias("kept"), "prefix", end.alias("end")).select(
         "query_id",
         "kept",
-        ((F.size("kept") < k) & (F.coalesce(F.size("prefix"), F.lit(0)) == prefix)).alias("more"),
+        ((F.size("kept") < k) & more).alias("more"),
         F.struct(*[F.col("end")[name].alias(name) for name in _PLACE]).alias("last"),
     )
 
 
+def _state(choice: DataFrame, k: int) -> tuple[bool, bool]:
+    """Whether any query wants to go on, and whether any has fewer than ``k`` hits."""
+    left = choice.agg(F.max("more").alias("more"), F.max(F.size("kept") < k).alias("short")).first()
+    return bool(left["more"]), bool(left["short"])
+
+
+def choose_held(
+    choice: DataFrame, held: DataFrame, k: int, prefix: int, dedup: bool, scratch: Scratch
+) -> tuple[DataFrame, bool]:
+    """Carry ``choice`` through the hits that are ``held``, a prefix of each query first, then the others.
+
+    ``held`` is what ``best_hits`` gave, or the part of it in one stretch of the ranking. The second value tells whether any query
+    still has fewer than ``k``.
+    """
+    going = "last" in choice.columns
+    if not going:
+        first, _ = prefix_lengths(k, prefix)
+        walked = _walked(choice, held.where(F.col("position") <= first), k, dedup, F.size("prefix") == first)
+        choice = scratch.stored(walked)
+        going, short = _state(choice, k)
+    if going:
+        choice = scratch.stored(_walked(choice, _still_wanted(choice, held, dedup), k, dedup))
+        _, short = _state(choice, k)
+    return choice, short
+
+
+def beyond_held(choice: DataFrame, held: DataFrame, used_up: Column, k: int) -> DataFrame:
+    """``choice`` with what is wanted beyond the hits held: by queries that have more hits, where the last one held is ``used_up``."""
+    end = F.struct(*_PLACE)
+    ends = held.where("not whole").groupBy("query_id").agg(F.max(end).alias("last"), F.max_by("score", end).alias("score"))
+    ends = ends.where(used_up).select("query_id", "last")
+    return choice.drop("last", "more").join(ends, "query_id", "left").withColumn(
+        "more", (F.size("kept") < k) & F.col("last").isNotNull()
+    )
+
+
 def choose(
     choice: DataFrame,
-    hits_of: Callable[[DataFrame | None], DataFrame],
+    hits_of: Callable[[DataFrame], DataFrame],
     k: int,
     dedup: bool,
+    scratch: Scratch,
     prefix: int = PREFIX,
 ) -> tuple[DataFrame, bool]:
-    """Carry ``choice`` through all hits of one stretch of the ranking.
+    """Carry ``choice`` through all hits of one stretch of the ranking, by prefixes that are scored when they are wanted.
 
-    ``hits_of(queries)`` gives the hits of the stretch for those queries, or for all if None.
-    The second value tells whether any query still has fewer than ``k``.
+    ``hits_of(queries)`` gives the hits of the stretch for those queries. The second value tells whether any query still has
+    fewer than ``k``.
     """
-    prefix = min(max(prefix, k), LONGEST_PREFIX)
-    queries = choice.where("more").select("query_id") if "last" in choice.columns else None
-    while True:
-        choice = checkpointed(_advance(choice, hits_of(queries), k, prefix, dedup))
-        left = choice.agg(F.max("more").alias("more"), F.max(F.size("kept") < k).alias("short")).first()
-        if not left["more"]:
-            return choice, bool(left["short"])
-        queries = choice.where("more").select("query_id")
+    first, _ = prefix_lengths(k, prefix)
+    choice = scratch.stored(choice)
+    more, short = _state(choice, k)
+    while more:
+        hits = _placed(hits_of(choice.where("more").select("query_id"))).withColumn("profile", title_profile(F.col("title")))
+        best = _first_hits(_still_wanted(choice, hits, dedup), first)
+        choice = scratch.stored(_walked(choice, best, k, dedup, F.size("prefix") == first))
+        more, short = _state(choice, k)
+    return choice, short
 
 
 def next_stretch(choice: DataFrame, k: int) -> DataFrame:

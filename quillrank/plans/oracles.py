@@ -40,8 +40,7 @@ articles AS (
 
 _MIXED = """
 blocks AS (
-  SELECT conv_id, list(CASE WHEN length(text) % 5 <> 0 THEN text END ORDER BY turn) FILTER (
-           role IN ('user', 'assistant') AND length(text) % 5 <> 0) AS paragraphs,
+  SELECT conv_id, list(text ORDER BY turn) FILTER (role IN ('user', 'assistant') AND text IS NOT NULL) AS paragraphs,
          max(text) FILTER (turn = 3) AS title
   FROM conversations GROUP BY conv_id),
 articles AS (

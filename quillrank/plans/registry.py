@@ -84,47 +84,56 @@ def page_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return bags.corpus_stats(bags.article_lengths(_articles(spark, sf)))
+    return bags.corpus_stats(bags.article_lengths(bags.token_store(_articles(spark, sf))))
 
 
-def _user_postings(spark: SparkSession, sf: str) -> DataFrame:
-    return Corpus(_user_queries(spark, sf), _articles(spark, sf), EXACT).postings()
+def _user_corpus(spark: SparkSession, sf: str, scratch: Scratch) -> Corpus:
+    return Corpus(_user_queries(spark, sf), _articles(spark, sf), EXACT, scratch)
+
+
+def _document_corpus(spark: SparkSession, sf: str, scratch: Scratch) -> Corpus:
+    return Corpus(_document_queries(spark), _articles(spark, sf), EXACT, scratch)
 
 
 def postings(spark: SparkSession, sf: str) -> DataFrame:
-    return _user_postings(spark, sf).select("id", "length", "term", "tf")
+    with Scratch(spark) as scratch:
+        return checkpointed(_user_corpus(spark, sf, scratch).postings().select("id", "length", "term", "tf"))
 
 
 def term_corpus_frequency(spark: SparkSession, sf: str) -> DataFrame:
-    return bags.term_frequencies(_user_postings(spark, sf))
+    with Scratch(spark) as scratch:
+        return checkpointed(bags.term_frequencies(_user_corpus(spark, sf, scratch).postings()))
 
 
 def dph_term_scores(spark: SparkSession, sf: str) -> DataFrame:
-    corpus = Corpus(_document_queries(spark), _articles(spark, sf), EXACT)
-    weights = corpus.weights.select("term", "cf", "rarity", "avg_len").distinct()
-    scored = scoring.term_scores(corpus.postings(), weights)
-    return _rounded(scored.select("id", "term", "tf", "length", "cf", "term_score"), "term_score")
+    with Scratch(spark) as scratch:
+        corpus = _document_corpus(spark, sf, scratch)
+        weights = corpus.weights.select("term", "cf", "rarity", "avg_len").distinct()
+        scored = scoring.term_scores(corpus.postings(), weights)
+        return checkpointed(_rounded(scored.select("id", "term", "tf", "length", "cf", "term_score"), "term_score"))
 
 
 def query_scores(spark: SparkSession, sf: str) -> DataFrame:
-    corpus = Corpus(_document_queries(spark), _articles(spark, sf), EXACT)
-    return _rounded(corpus.hits().select("query_id", "id", "score"), "score")
+    with Scratch(spark) as scratch:
+        hits = _document_corpus(spark, sf, scratch).hits()
+        return checkpointed(_rounded(hits.select("query_id", "id", "score"), "score"))
 
 
 def user_query_scores(spark: SparkSession, sf: str) -> DataFrame:
-    corpus = Corpus(_user_queries(spark, sf), _articles(spark, sf), EXACT)
-    return _rounded(corpus.hits().select("query_id", "id", "score"), "score")
+    with Scratch(spark) as scratch:
+        hits = _user_corpus(spark, sf, scratch).hits()
+        return checkpointed(_rounded(hits.select("query_id", "id", "score"), "score"))
 
 
 def title_distances(spark: SparkSession, sf: str) -> DataFrame:
     """Every scored hit against the best hit of its query."""
-    corpus = Corpus(_document_queries(spark), _articles(spark, sf), EXACT)
-    hits = corpus.hits().select("query_id", "id", "title", "score")
-    best = checkpointed(hits.groupBy("query_id").agg(F.max(F.struct("score", "id", "title")).alias("best")))
-    best = broadcast_if_small(best, F.length("best.title") * 4 + 64, 100_000, 64 << 20)
-    return hits.join(best, "query_id").select(
-        "query_id", "id", F.round(title_distance(F.col("best.title"), F.col("title")), 6).alias("distance")
-    )
+    with Scratch(spark) as scratch:
+        hits = _document_corpus(spark, sf, scratch).hits().select("query_id", "id", "title", "score")
+        best = scratch.stored(hits.groupBy("query_id").agg(F.max(F.struct("score", "id", "title")).alias("best")))
+        best = broadcast_if_small(best, F.length("best.title") * 4 + 64, 100_000, 64 << 20)
+        return checkpointed(hits.join(best, "query_id").select(
+            "query_id", "id", F.round(title_distance(F.col("best.title"), F.col("title")), 6).alias("distance")
+        ))
 
 
 def _document_hits(spark: SparkSession, sf: str, options: Options) -> DataFrame:
@@ -217,7 +226,7 @@ def _mixed_articles(spark: SparkSession, sf: str) -> DataFrame:
 
 def stemmed_terms(spark: SparkSession, sf: str) -> DataFrame:
     """The stem of every token of the corpus."""
-    return analysis.stem_map(bags.corpus_tokens(_articles(spark, sf)))
+    return analysis.stem_map(bags.corpus_tokens(bags.token_store(_articles(spark, sf))))
 
 
 def mixed_article_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -225,7 +234,7 @@ def mixed_article_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mixed_corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return bags.corpus_stats(bags.article_lengths(_mixed_articles(spark, sf)))
+    return bags.corpus_stats(bags.article_lengths(bags.token_store(_mixed_articles(spark, sf))))
 
 
 def rendered_sink(spark: SparkSession, sf: str) -> DataFrame:

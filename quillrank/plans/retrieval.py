@@ -1,6 +1,5 @@
 """The whole ranking job, from queries and articles to the best hits of every query."""
 
-from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -8,17 +7,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.functions.relevance import merit
-from quillrank.operators import analysis, bags, scoring, selection
-from quillrank.operators.numbering import numbered
-from quillrank.storage import broadcast_if_small, checkpointed, checkpointed_as_partitioned
+from quillrank.index import ArticleIndex
+from quillrank.operators import analysis, bags, padding, pruning, scoring, selection
+from quillrank.storage import Scratch, broadcast_if_small, checkpointed
 
 _TERM_BYTES = 64  # a row of numbers around a term
 _WEIGHT_ROWS = 1_000_000
 _WEIGHT_BYTES = 64 << 20
-_FIRST_BLOCK = 256
-_SLICE = 4096  # candidates that share a join key
-_BLOCK_ROWS = 200_000
-_BLOCK_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -36,33 +31,33 @@ class Options:
 
 
 class Corpus:
-    """What the articles look like to one set of queries.
+    """What the articles look like to one set of queries, in tables of ``scratch``.
 
-    The corpus is read once for the matches and once for the articles; with stems once more before, for
-    its distinct tokens, because only they go through the stemmer.
+    Articles are read and analysed once, into a token store, unless an index brings it; all else reads columns of it.
     """
 
-    def __init__(self, queries: DataFrame, articles: DataFrame, options: Options):
-        self._ratio = options.ratio
-        self.term_rows = checkpointed(analysis.query_term_rows(queries, options.stem))
+    def __init__(self, queries: DataFrame, articles: DataFrame | ArticleIndex, options: Options, scratch: Scratch):
+        self._ratio, self._scratch = options.ratio, scratch
+        self.term_rows = scratch.stored(analysis.query_term_rows(queries, options.stem))
+        self.store = articles.rows if isinstance(articles, ArticleIndex) else scratch.stored(bags.token_store(articles))
         vocabulary = analysis.query_vocabulary(self.term_rows)
         if options.stem:
-            stems = analysis.stem_map(bags.corpus_tokens(articles))
+            stems = analysis.stem_map(bags.corpus_tokens(self.store))
             token_terms = stems.join(vocabulary, "term", "left_semi")
         else:
             token_terms = vocabulary.select(F.col("term").alias("token"), "term")
-        token_terms = _small(checkpointed(token_terms), "token", _WEIGHT_ROWS, _WEIGHT_BYTES)
+        token_terms = _small(scratch.stored(token_terms), "token", _WEIGHT_ROWS, _WEIGHT_BYTES)
         # Adaptive execution may split frequent tokens here, if they do not fit a broadcast.
-        found = checkpointed(bags.matches(articles, token_terms))
-        self.bags = checkpointed_as_partitioned(bags.article_bags(articles, found))
-        self.stats = bags.corpus_stats(self.bags)
+        found = scratch.stored(bags.matches(self.store, token_terms))
+        self.bags = scratch.bucketed(bags.article_bags(self.store, found), "fingerprint")
+        self.stats = scratch.stored(bags.corpus_stats(bags.article_lengths(self.store)))
 
     @cached_property
     def weights(self) -> DataFrame:
         """Every term of every query that the corpus has, with what scoring needs to know of it."""
         frequencies = bags.term_frequencies(self.postings())
         counts = analysis.query_term_counts(self.term_rows)
-        return checkpointed(
+        return self._scratch.stored(
             scoring.term_weights(counts, frequencies, self.stats, self._ratio).where("cf > 0")
         )
 
@@ -73,88 +68,69 @@ class Corpus:
     def postings(self) -> DataFrame:
         return bags.postings(self.bags)
 
-    def hits(
-        self,
-        queries: DataFrame | None = None,
-        of: DataFrame | None = None,
-        keys: list[str] = bags.CANDIDATE,
-    ) -> DataFrame:
+    def hits(self, queries: DataFrame | None = None) -> DataFrame:
         """The scored hits of the given queries, or of all."""
         weights = self.weights
         if queries is not None:
             weights = weights.join(queries, "query_id", "left_semi")
         if self._small_weights is not self.weights:
             weights = F.broadcast(weights)  # part of a table whose size was checked
-        postings = bags.postings(self.bags if of is None else of, keys)
-        return scoring.scored_hits(postings, weights, keys)
+        return scoring.scored_hits(self.postings(), weights)
 
-    def candidates(self) -> DataFrame:
-        """The articles that have a term of any query."""
-        return self.bags.where(F.size("bag") > 0)
 
+    def best_hits(self, count: int, most: int) -> DataFrame:
+        """The best ``most`` hits of every query, or fewer that are ``count`` at least, as ``selection`` holds them.
 
-def _small(df: DataFrame, text: str, rows: int, size: int) -> DataFrame:
-    return broadcast_if_small(df, F.length(text) * 4 + _TERM_BYTES, rows, size)
+        Where it pays, without scoring the articles that cannot be among the best ``count``.
+        """
+        hits = None
+        if self._small_weights is not self.weights:
+            postings = bags.postings(self.bags, ["fingerprint"])
+            if pruning.rows_to_score(postings, self.weights) >= pruning.LEAST_ROWS:
+                hits = pruning.pruned_hits(self.bags, self._small_weights, count, self._scratch)
+        return self._scratch.stored(selection.best_hits(self.hits() if hits is None else hits, most))
 
 
-def _choose_zeros(corpus: Corpus, choice: DataFrame, options: Options) -> tuple[DataFrame, bool]:
-    """Fill up with candidates of score 0, lowest ids first, in blocks of growing size.
+def _small(df: DataFrame, text: str, rows: int, size: int) -> DataFrame:
+    return broadcast_if_small(df, F.length(text) * 4 + _TERM_BYTES, rows, size)
 
-    A block meets only the queries that are still short, and its articles are scored anew to leave
-    out those with another score.
-    """
-    candidates, total = numbered(corpus.candidates(), bags.CANDIDATE)
-    keys = [*bags.CANDIDATE, "number"]
-    start, size = 1, _FIRST_BLOCK
-    short = True
-    while short and start <= total:
-        end = min(start + size - 1, total)
-        numbers = F.col("number").between(start, end)
-        slice_of = F.call_function("div", F.col("number"), F.lit(_SLICE))
-        block = checkpointed(candidates.where(numbers).withColumn("slice", slice_of))
-        width = F.length("title") * 4 + F.size("bag") * 32 + 128
-        small_block = broadcast_if_small(block, width, _BLOCK_ROWS, _BLOCK_BYTES)
-
-        slices = F.sequence(*[F.lit(n // _SLICE).cast("bigint") for n in (start, end)])
-
-        def zeros(queries: DataFrame, block=block, small_block=small_block, slices=slices) -> DataFrame:
-            scored = corpus.hits(queries, block, keys).where("score <> 0").select("query_id", "number")
-            offered = queries.select("query_id", F.explode(slices).alias("slice")).join(small_block, "slice")
-            unscored = offered.join(scored, ["query_id", "number"], "left_anti")
-            return unscored.withColumn("score", F.lit(0.0))
-
-        choice = selection.next_stretch(choice, options.k)
-        choice, short = selection.choose(choice, zeros, options.k, options.dedup, options.prefix)
-        start, size = end + 1, size * 4
-    return choice, short
-
-
-def rank_documents(queries: DataFrame, articles: DataFrame, options: Options = Options()) -> DataFrame:
-    """The best hits of every query: (query_id, query, rank, id, title, score).
 
-    ``queries`` has columns (query_id, query), ``articles`` those of ``schema.ARTICLE``. Articles
-    are scored with DPH on title and first five paragraphs. Hits rank by score, equal scores by
-    id; NaN ranks last. A query without terms has no hits.
-    """
-    corpus = Corpus(queries, articles, options)
+def _choose(corpus: Corpus, options: Options, scratch: Scratch) -> DataFrame:
+    """The hits that every query keeps, as ``selection`` has them."""
+    k, prefix, dedup = options.k, options.prefix, options.dedup
     value = merit(F.col("score"))
+    held = corpus.best_hits(*selection.prefix_lengths(k, prefix))
 
-    def scored(condition: Column) -> Callable[[DataFrame | None], DataFrame]:
-        return lambda wanted: corpus.hits(wanted).where(condition)
-
-    def choose(choice: DataFrame, condition: Column) -> tuple[DataFrame, bool]:
-        return selection.choose(choice, scored(condition), options.k, options.dedup, options.prefix)
+    def stretch(choice: DataFrame, condition: Column, used_up: Column) -> tuple[DataFrame, bool]:
+        choice, short = selection.choose_held(choice, held.where(condition), k, prefix, dedup, scratch)
+        if not short:
+            return choice, short
+        further = selection.beyond_held(choice, held, used_up, k)
+        return selection.choose(further, lambda queries: corpus.hits(queries).where(condition), k, dedup, scratch, prefix)
 
     choice = selection.new_choice(corpus.term_rows)
-    if options.pad_zero:
-        choice, short = choose(choice, value > 0)
-        if short:
-            choice, short = _choose_zeros(corpus, choice, options)
-        if short:
-            choice, short = choose(selection.next_stretch(choice, options.k), value < 0)
-    else:
-        choice, short = choose(choice, F.lit(True))
-    hits = selection.chosen_hits(choice)
-    return hits.join(queries.select("query_id", "query"), "query_id").select(
-        "query_id", "query", "rank", "id", "title", "score"
-    )
+    if not options.pad_zero:
+        return stretch(choice, F.lit(True), F.lit(True))[0]
+    choice, short = stretch(choice, value > 0, value > 0)
+    if short:
+        choice, short = padding.choose_zeros(corpus, held, choice, k, prefix, dedup, scratch)
+    if short:
+        choice, _ = stretch(selection.next_stretch(choice, k), value < 0, F.lit(True))
+    return choice
+
+
+def rank_documents(
+    queries: DataFrame, articles: DataFrame | ArticleIndex, options: Options = Options()
+) -> DataFrame:
+    """The best hits of every query: (query_id, query, rank, id, title, score).
+
+    ``queries`` has columns (query_id, query), ``articles`` those of ``schema.ARTICLE``; an index of the articles may stand
+    in their place. Articles are scored with DPH on title and first five paragraphs. Hits rank by score, equal scores by
+    id; NaN ranks last. A query without terms has no hits. Tables in between are removed, the hits are a checkpoint.
+    """
+    with Scratch(queries.sparkSession) as scratch:
+        corpus = Corpus(queries, articles, options, scratch)
+        hits = selection.chosen_hits(_choose(corpus, options, scratch))
+        return checkpointed(hits.join(queries.select("query_id", "query"), "query_id").select(
+            "query_id", "query", "rank", "id", "title", "score"
+        ))

@@ -1,8 +1,9 @@
 """Articles and queries made from parquet tables of texts, web pages and conversations."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillrank.operators.analysis import PARAGRAPHS
 from quillrank.schema import ARTICLE, CONTENT_ITEM
 
 # Fixed values, also used by the SQL that checks these adapters.
@@ -74,26 +75,29 @@ def pages_as_articles(pages: DataFrame) -> DataFrame:
 
 
 def conversations_as_articles(conversations: DataFrame) -> DataFrame:
-    """A conversation is an article; its turn 3, if there is one, is the title, and every turn a block.
+    """A conversation is an article; its turn 3, if there is one, is the title, and its turns are blocks.
 
-    Turns of users and assistants are paragraphs, others keep their role as subtype. A text whose length is
-    a multiple of five has null content. So there are null titles, other subtypes, null contents and more
-    than five paragraphs.
+    Turns of users and assistants are paragraphs, others keep their role as subtype. Of the paragraphs with content only
+    those that are indexed are taken, the first ones, and as many other blocks: Spark cuts both before the shuffle, so no row
+    grows with its conversation.
     """
+    speaks = F.col("role").isin("user", "assistant")
+    order = Window.partitionBy("conv_id", "usable").orderBy("turn", "role", "text")
+    first = (
+        conversations.select("conv_id", "turn", "role", "text", F.coalesce(speaks & F.col("text").isNotNull(), F.lit(False)).alias("usable"))
+        .withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PARAGRAPHS)
+    )
     given = {
-        "content": lambda turn: F.when(F.length(turn["text"]) % 5 != 0, turn["text"]),
+        "content": lambda turn: turn["text"],
         "subtype": lambda turn: F.when(turn["role"].isin("user", "assistant"), "paragraph").otherwise(turn["role"]),
     }
     blocks = lambda turn: F.struct(*[
         given.get(name, lambda _: F.lit(None))(turn).cast("string").alias(name) for name in CONTENT_ITEM.fieldNames()
     ])
-    grouped = conversations.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"),
-        F.max(F.when(F.col("turn") == 3, F.col("text"))).alias("title"),
-    )
-    return _as_articles(
-        grouped, id=F.col("conv_id"), title=F.col("title"), contents=F.transform("turns", blocks)
-    )
+    grouped = first.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    titles = conversations.where("turn = 3").groupBy("conv_id").agg(F.max("text").alias("title"))
+    joined = grouped.join(titles, "conv_id", "left")
+    return _as_articles(joined, id=F.col("conv_id"), title=F.col("title"), contents=F.transform("turns", blocks))
 
 
 def user_turns_as_queries(conversations: DataFrame) -> DataFrame:

@@ -28,23 +28,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def checkpointed_as_partitioned(df: DataFrame) -> DataFrame:
-    """A checkpoint that the planner knows to be partitioned as ``df`` is.
-
-    What groups by the same keys, and more, then needs no shuffle. An adaptive plan does not tell
-    its partitioning, so this one job is planned without; it has ``spark.sql.shuffle.partitions``
-    partitions.
-    """
-    conf = df.sparkSession.conf
-    adaptive = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        # Planning happens on a new frame: df may have been planned already.
-        return checkpointed(df.select("*"))
-    finally:
-        conf.set("spark.sql.adaptive.enabled", adaptive)
-
-
 def broadcast_if_small(df: DataFrame, width: Column, max_rows: int, max_bytes: int) -> DataFrame:
     """Hint a broadcast when ``df`` holds at most ``max_rows`` rows and ``max_bytes`` bytes.
 
@@ -62,6 +45,21 @@ def broadcast_if_small(df: DataFrame, width: Column, max_rows: int, max_bytes: i
     return df
 
 
+# Below so many bytes per core a scan may run on fewer tasks than there are cores.
+_SPREAD_BYTES = 128 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores if its estimated size is so small that its files may not be.
+
+    A small file is one task, whatever is then done with its rows; dealing it out costs little. Larger inputs come
+    in splits enough and stay where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * _SPREAD_BYTES else df
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder path, on the storage that checkpoints use."""
     _prepare_checkpoint_dir(spark)
@@ -78,11 +76,14 @@ class Scratch:
         self._spark = spark
         self.folder = scratch_folder(spark)
         self._tables = 0
+        self._named: list[str] = []
 
     def __enter__(self) -> "Scratch":
         return self
 
     def __exit__(self, *_) -> None:
+        for name in self._named:
+            self._spark.sql(f"DROP TABLE IF EXISTS {name}")
         remove(self._spark, self.folder)
 
     def stored(self, df: DataFrame) -> DataFrame:
@@ -91,6 +92,18 @@ class Scratch:
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
+    def bucketed(self, df: DataFrame, column: str) -> DataFrame:
+        """The same as a table of as many buckets by ``column`` as shuffles have partitions.
+
+        The planner knows how it is dealt: what groups by the column, and more, needs no shuffle. ``df`` should come
+        dealt by the column, so that a task writes few files.
+        """
+        buckets = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+        name = f"quillrank_{uuid.uuid4().hex}"
+        self._named.append(name)
+        df.write.format("parquet").bucketBy(buckets, column).option("path", self.path()).saveAsTable(name)
+        return self._spark.table(name)
+
     def path(self) -> str:
         self._tables += 1
         return f"{self.folder}/{self._tables}"

@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 
 from builders import article, articles
 from quillrank import sinks
-from quillrank.operators import assembly
+from quillrank.operators import analysis, assembly, bloom
 from quillrank.schema import ARTICLE, HIT
 from quillrank.sources import files, tables
 
@@ -83,6 +83,22 @@ def test_tables_as_articles(spark):
     assert [" ".join(b["content"].split()) for b in row["contents"]] == ["one bold", "two", "three"]
 
 
+def test_conversations_as_articles(spark):
+    rows = [(1, turn, "user" if turn % 2 else "assistant", f"turn {turn}") for turn in range(1, 9)]
+    rows += [(1, 0, "system", "be brief"), (1, 2, "tool", None), (2, 3, "user", None), (2, 4, "user", "later"), (3, 1, None, "who")]
+    found = tables.conversations_as_articles(
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert found.columns == ARTICLE.fieldNames()
+    one, two, three = found.orderBy("id").collect()
+    assert [(b["subtype"], b["content"]) for b in one["contents"]] == [
+        ("system", "be brief"), ("paragraph", "turn 1"), ("paragraph", "turn 2"), ("tool", None), ("paragraph", "turn 3"),
+        ("paragraph", "turn 4"), ("paragraph", "turn 5")]
+    assert one["title"] == "turn 3" and two["title"] is None and three["title"] is None
+    assert [(b["subtype"], b["content"]) for b in two["contents"]] == [("paragraph", None), ("paragraph", "later")]
+    text = {r["id"]: r["text"] for r in analysis.article_text(found).collect()}
+    assert text == {"1": "turn 3\nturn 1\nturn 2\nturn 3\nturn 4\nturn 5"}
+
+
 HITS = [
     (1, "red a/b", 1, "x", "Title X", 2.5), (1, "red a/b", 2, "y", "Title Y", 0.0),
     (2, "red a/b", 1, "y", "Title Y", float("-inf")),
@@ -106,6 +122,22 @@ def test_assembly(spark):
     assert [(r["score"], r["id"]) for r in up["results"]] == [(0.0, "y"), (2.5, "x")]
 
 
+def test_many_ids_drop_other_articles_before_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(assembly, "_IDS", 0)
+    rows = spark.range(40_000).selectExpr(
+        *[("cast(id as string)" if f.name == "id" else f"cast(null as {f.dataType.simpleString()})") + f" as {f.name}" for f in ARTICLE])
+    wanted = spark.range(0, 40_000, 20).selectExpr("id % 7 as query_id", "cast(id as string) as id")
+    found = assembly.result_articles(wanted, rows)
+    assert found.count() == 2000
+    filtered = bloom.may_have_partner(rows, wanted.select("id").distinct(), "id")
+    assert 2000 <= filtered.count() <= 1.1 * 2000
+    assert "getbit" in found._jdf.queryExecution().executedPlan().toString()
+    assert assembly.result_articles(wanted.where("false"), rows).isEmpty()
+    monkeypatch.setattr(bloom, "_MOST_BITS", 1 << 10)
+    assert bloom.may_have_partner(rows, wanted.select("id").distinct(), "id") is rows
+    assert assembly.result_articles(wanted, rows).count() == 2000
+
+
 def test_rendering(spark):
     texts = {r["query_id"]: r["text"] for r in assembly.rendered(hits(spark)).collect()}
     assert texts == {

@@ -1,14 +1,15 @@
 import math
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from model import edit_distance
-from quillrank.functions.porter import porter_stem
+from model import edit_distance, porter_stem
+from quillrank.functions.porter import with_stems
 from quillrank.functions.relevance import dph, log2_or_minus_infinity, merit, rarity
-from quillrank.functions.titles import is_near_duplicate, title_distance
+from quillrank.functions.titles import is_near_duplicate, title_distance, title_profile
 from quillrank.functions.tokens import counted, tokens_of, without_stopwords
 
 # Examples printed in the 1980 paper, carried through all steps.
@@ -35,9 +36,27 @@ STEMS = {
 }
 
 
-@pytest.mark.parametrize("token, stem", STEMS.items())
-def test_stems_of_the_paper(token, stem):
-    assert porter_stem(token) == stem
+ENDINGS = (
+    "ational tional enci izer abli alli entli eli ousli ization ation ator alism iveness fulness aliti iviti biliti icate ative alize "
+    "iciti ical ful ness al ance er ic able ant ement ment ent ion ou ism ate iti ous ive ize ed ing eed sses ies s y ll e at bl iz yed yy"
+).split()
+
+
+def test_stems_of_the_paper(spark):
+    found = with_stems(spark.createDataFrame([(token,) for token in STEMS], "token string")).collect()
+    assert {r["token"]: r["term"] for r in found} == STEMS
+    assert all(porter_stem(token) == stem for token, stem in STEMS.items())
+
+
+def test_stems_of_any_word_and_conditions_on_them(spark):
+    rng = random.Random(1980)
+    words = {"".join(rng.choices("aeiouybcdlmnstzwx", k=rng.randint(0, 6))) + "".join(rng.choices(ENDINGS, k=rng.randint(0, 3))) for _ in range(8000)}
+    words |= {"".join(rng.choices("yyaelsxwdé1漢", k=rng.randint(1, 8))) for _ in range(3000)}
+    df = with_stems(spark.createDataFrame([(w,) for w in words if w], "token string"))
+    wanted = {w: porter_stem(w) for w in words if w}
+    assert {r["token"]: r["term"] for r in df.collect()} == wanted
+    assert df.where("term is not null and term <> 'x'").join(df.select("term").distinct(), "term", "left_semi").count() == sum(
+        stem != "x" for stem in wanted.values())
 
 
 def test_tokens(spark):
@@ -74,6 +93,19 @@ def test_title_distance_and_threshold(spark):
     assert not near["ab", "ac"] and near["abc", "abd"] and near["same", "same"]
 
 
+def test_profiles_only_spare_distances(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("eat rns", k=n)) for n in (300, 310, 290, 600, 20)]
+    texts += [texts[0][:200] + texts[1][200:], texts[0][::-1], "é" * 300, ""]
+    df = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
+    df = df.withColumns({"pa": title_profile(F.col("a")), "pb": title_profile(F.col("b"))})
+    a, b = F.col("a"), F.col("b")
+    for row in df.select(
+        is_near_duplicate(a, b).alias("x"), is_near_duplicate(a, b, F.col("pa"), F.col("pb")).alias("y"), (title_distance(a, b) < 0.5).alias("z")
+    ).collect():
+        assert row["x"] == row["y"] == row["z"]
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.text("ab ", max_size=9), st.text("ab ", max_size=9)), min_size=50, max_size=50))
 def test_near_is_the_distance_below_one_half(spark, pairs):

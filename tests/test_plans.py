@@ -1,14 +1,18 @@
 """The shape of physical plans: what is pushed down, what is shuffled, what runs in Python."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from builders import article, articles, queries
-from quillrank import Options
+from quillrank import Options, storage
+from quillrank.functions import titles
 from quillrank.functions.titles import is_near_duplicate
-from quillrank.operators import analysis, bags, selection
+from quillrank.operators import analysis, bags, pruning, selection
 from quillrank.plans.retrieval import Corpus
 from quillrank.sources import files, tables
+from quillrank.storage import Scratch
 
 
 def plan_of(df):
@@ -18,7 +22,8 @@ def plan_of(df):
 @pytest.fixture(scope="module")
 def corpora(spark):
     rows = articles(spark, [article(str(i), f"title {i}", "red blue running") for i in range(20)])
-    return [Corpus(queries(spark, "red", "blue red"), rows, Options(stem=stem)) for stem in (False, True)]
+    with Scratch(spark) as scratch:
+        yield [Corpus(queries(spark, "red", "blue red"), rows, Options(stem=stem), scratch) for stem in (False, True)]
 
 
 def test_scoring_neither_shuffles_nor_leaves_the_jvm(corpora):
@@ -33,27 +38,56 @@ def test_scoring_neither_shuffles_nor_leaves_the_jvm(corpora):
 @pytest.mark.parametrize("prefix", [100, selection.LONGEST_PREFIX])
 def test_best_hits_are_cut_before_the_shuffle(corpora, prefix):
     for corpus in corpora:
-        choice = selection.new_choice(corpus.term_rows)
-        plan = plan_of(selection._advance(choice, corpus.hits(), 10, prefix, True))
+        plan = plan_of(selection.best_hits(corpus.hits(), prefix))
         # Two cuts, each before and after its shuffle.
         assert plan.count("WindowGroupLimit") == 4
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_a_title_has_one_profile(corpora):
+    held = selection.best_hits(corpora[0].hits(), 100)
+    choice = selection.new_choice(corpora[0].term_rows)
+    assert plan_of(held).count("replace(title") == plan_of(held).count("length(replace(title") == len(titles._COUNTED)
+    stored = corpora[0]._scratch.stored(held)
+    assert "replace(" not in plan_of(selection._walked(choice, stored, 10, True))
+
+
 def test_later_rounds_drop_near_duplicates_before_the_shuffle(corpora):
     corpus = corpora[0]
     choice = selection.next_stretch(selection.new_choice(corpus.term_rows), 10)
-    plan = plan_of(selection._advance(choice, corpus.hits(choice.select("query_id")), 10, 100, True))
+    hits = selection._placed(corpus.hits(choice.select("query_id"))).withColumn("profile", titles.title_profile(F.col("title")))
+    plan = plan_of(selection._first_hits(selection._still_wanted(choice, hits, True), 100))
     assert "levenshtein" in plan[plan.index("Partial"):]
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_only_stemming_leaves_the_jvm(spark):
-    rows = articles(spark, [article("a", "title")])
-    assert "ArrowEvalPython" in plan_of(analysis.stem_map(bags.corpus_tokens(rows)))
-    found = bags.matches(rows, spark.createDataFrame([("red", "red")], "token string, term string"))
-    assert "Python" not in plan_of(found)
-    assert "Python" not in plan_of(bags.article_bags(rows, found))
+def test_pruned_scoring_shuffles_no_articles(corpora):
+    for corpus in corpora:
+        plan = plan_of(pruning.pruned_hits(corpus.bags, corpus.weights, 100, corpus._scratch))
+        assert "Exchange hashpartitioning" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_nothing_leaves_the_jvm(spark, corpora):
+    store = corpora[0].store
+    for df in (
+        analysis.stem_map(bags.corpus_tokens(store)), bags.token_store(articles(spark, [article("a", "title")])),
+        bags.article_bags(store, bags.matches(store, corpora[1].term_rows.selectExpr("term as token", "term"))),
+    ):
+        assert "Python" not in plan_of(df) and "ArrowEval" not in plan_of(df)
+
+
+def read_schemas(df):
+    return sorted(set(re.findall(r"ReadSchema: struct<(.*)>", plan_of(df))))
+
+
+def test_the_store_is_read_by_column(corpora):
+    store = corpora[0].store
+    entry = "array<struct<token:string"
+    assert read_schemas(bags.article_lengths(store)) == ["length:int"]
+    assert read_schemas(bags.corpus_tokens(store)) == [f"entries:{entry}>>"]
+    found = bags.matches(store, None)
+    assert read_schemas(found) == [f"fingerprint:binary,entries:{entry},tf:int>>"]
+    assert "fingerprint:binary,id:string,title:string,length:int" in read_schemas(bags.article_bags(store, found))
 
 
 @pytest.fixture
@@ -65,32 +99,37 @@ def stored_documents(spark, tmp_path):
     return tables.documents_as_articles(spark.read.parquet(path))
 
 
-def test_the_vocabulary_is_met_before_the_shuffle(spark, stored_documents):
+def test_the_store_takes_one_scan_and_one_tokenisation(stored_documents):
+    plan = plan_of(bags.token_store(stored_documents))
+    assert plan.count("ReadSchema: struct<doc_id:bigint,text:string>") == 1
+    assert "PushedFilters: [IsNotNull(doc_id), IsNotNull(text)]" in plan
+    assert plan.count("regexp_extract_all") == 1
+
+
+def test_large_inputs_are_not_dealt_out(stored_documents, monkeypatch):
+    assert "REPARTITION_BY_NUM" in plan_of(bags.token_store(stored_documents))
+    monkeypatch.setattr(storage, "_SPREAD_BYTES", 1)
+    assert "Exchange" not in plan_of(bags.token_store(stored_documents))
+
+
+def test_the_vocabulary_is_met_before_the_shuffle(spark, corpora):
     words = spark.createDataFrame([("red", "red")], "token string, term string")
-    plan = plan_of(bags.matches(stored_documents, F.broadcast(words)))
+    plan = plan_of(bags.matches(corpora[0].store, F.broadcast(words)))
     assert "BroadcastHashJoin" in plan[plan.rindex("Exchange hashpartitioning"):]
-    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
-    assert "PushedFilters: [IsNotNull(doc_id), IsNotNull(text)]" in plan
-    assert "SortAggregate" not in plan and plan.count("regexp_extract_all") == 1
+    assert "SortAggregate" not in plan
     assert plan.count("Exchange hashpartitioning") == 2
 
 
-def test_a_large_vocabulary_takes_a_join_that_can_be_split(spark, stored_documents):
+def test_a_large_vocabulary_takes_a_join_that_can_be_split(spark, corpora):
     words = spark.createDataFrame([("red", "red")], "token string, term string").hint("merge")
-    plan = plan_of(bags.matches(stored_documents, words))
+    plan = plan_of(bags.matches(corpora[0].store, words))
     assert "SortMergeJoin" in plan and plan.startswith("AdaptiveSparkPlan")
 
 
-def test_bags_use_no_sort_aggregate_and_read_two_columns(spark, stored_documents):
-    plan = plan_of(bags.article_bags(stored_documents, bags.matches(stored_documents, None)))
-    assert "SortAggregate" not in plan
-    assert plan.count("ReadSchema: struct<doc_id:bigint,text:string>") == 2
-
-
 def test_json_articles_decode_only_what_is_indexed(spark, tmp_path):
     path = tmp_path / "a.jl"
     path.write_text('{"id": "a", "title": "t", "contents": []}')
-    plan = plan_of(bags.matches(files.read_articles(spark, str(path)), None))
+    plan = plan_of(bags.token_store(files.read_articles(spark, str(path))))
     scan = plan[plan.index("ReadSchema"):]
     assert "author" not in scan and "published_date" not in scan and "bio" not in scan
 

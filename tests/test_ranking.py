@@ -7,9 +7,10 @@ import pytest
 
 import model
 from builders import article, articles, queries, ranked
-from quillrank import Options, rank_documents
-from quillrank.operators import selection
+from quillrank import Options, rank_documents, read_index, write_index
+from quillrank.operators import bags, padding, pruning, scoring, selection
 from quillrank.plans import retrieval
+from quillrank.storage import Scratch
 
 PLAIN = Options(stem=False)
 
@@ -104,7 +105,7 @@ def test_a_long_run_of_near_duplicates_takes_more_rounds(spark):
 
 
 def test_padding_goes_through_blocks_of_near_duplicates(spark, monkeypatch):
-    monkeypatch.setattr(retrieval, "_SLICE", 64)
+    monkeypatch.setattr(padding, "_RUN", 64)
     # Six hundred candidates with one title and the lowest ids, then distinct ones.
     rows = [article(f"a{i:04d}", "the very same headline", f"red number{i}") for i in range(600)]
     rows += [article(f"b{i:02d}", chr(98 + i) * 9, "red") for i in range(12)]
@@ -118,6 +119,110 @@ def test_no_articles(spark):
     assert run(spark, [], ["red"]) == {}
 
 
+class Counting:
+    """Stands in for a function and counts its calls, and the rows of what it returns if asked to."""
+
+    def __init__(self, function, rows=False):
+        self.calls, self.rows, self._function, self._count = 0, [], function, rows
+
+    def __call__(self, *args, **kwargs):
+        self.calls += 1
+        found = self._function(*args, **kwargs)
+        if self._count:
+            self.rows.append(found.count())
+        return found
+
+
+def test_articles_are_analysed_and_scored_once(spark, monkeypatch):
+    analysed = Counting(bags.token_store)
+    scored = Counting(scoring.scored_hits)
+    monkeypatch.setattr(bags, "token_store", analysed)
+    monkeypatch.setattr(scoring, "scored_hits", scored)
+    rows = [article(f"a{i:03d}", f"the very same headline {i}", "red") for i in range(150)] + filler(400)
+    rows += [article("z", "qqq", "blue"), article("y", "zzz", "blue"), *[article(f"b{i}", chr(98 + i) * 9, "red tail") for i in range(12)]]
+    texts = ["red", "blue", "nowhere", "padding"]
+    for options in (PLAIN, Options(stem=True), Options(stem=False, pad_zero=False)):
+        found = run(spark, rows, texts, options)
+        same(found, expected(rows, texts, stem=options.stem, pad_zero=options.pad_zero))
+        assert (analysed.calls, scored.calls) == (1, 1)
+        analysed.calls = scored.calls = 0
+
+
+def test_articles_are_scored_again_for_queries_that_use_up_their_hits(spark, monkeypatch):
+    scored = Counting(scoring.scored_hits)
+    monkeypatch.setattr(scoring, "scored_hits", scored)
+    rows = [article(f"a{i:03d}", f"the very same headline {i}", "red red one more word") for i in range(150)]
+    rows += [article(f"b{i}", chr(98 + i) * 9, "red tail of words that go on") for i in range(12)] + filler(700)
+    found = run(spark, rows, ["red", "padding"], Options(stem=False, prefix=10))
+    same(found, expected(rows, ["red", "padding"]))
+    assert scored.calls > 1
+
+
+def test_short_queries_are_offered_what_they_need(spark, monkeypatch):
+    offers = Counting(padding.offers, rows=True)
+    monkeypatch.setattr(padding, "offers", offers)
+    rows = [article(f"m{i}", chr(98 + i) * 9, "red") for i in range(5)] + [article("n", "zzzz", "blue")] + filler(900)
+    texts = ["red", "blue", "nowhere", "padding"]
+    found = run(spark, rows, texts)
+    same(found, expected(rows, texts))
+    # A prefix of 100 for each of three queries, besides as many as they match.
+    assert offers.rows == [3 * 100 + 5 + 1 + 0]
+
+
+def test_an_index_serves_many_rankings(spark, tmp_path, monkeypatch):
+    rows = [article("a", "alpha red"), article("b", "omega blue"), article("b", "omega blue"), *filler(12)]
+    path = str(tmp_path / "index")
+    write_index(articles(spark, rows[:2]), path)
+    write_index(articles(spark, rows[2:]), path, mode="append")
+    monkeypatch.setattr(bags, "token_store", None)
+    index = read_index(spark, path)
+    for texts in (["red", "blue"], ["padding reds"]):
+        for options in (PLAIN, Options()):
+            found = ranked(rank_documents(queries(spark, *texts), index, options))
+            same(found, expected(rows, texts, stem=options.stem))
+
+
+def test_settings_of_the_session_stay(spark, monkeypatch):
+    rows = [article("a", "alpha red"), *filler(3)]
+
+    def refuse(*_):
+        raise AssertionError("a ranking must not change settings that other threads use")
+
+    monkeypatch.setattr(type(spark.conf), "set", refuse)
+    assert run(spark, rows, ["red"])[1][0][0] == "a"
+
+
+@pytest.mark.parametrize("seed, options", [(21, {}), (22, {"stem": True, "ratio": "real"}), (23, {"pad_zero": False}), (24, {"dedup": False, "k": 3})])
+def test_pruned_scoring_finds_the_same_hits(spark, monkeypatch, seed, options):
+    monkeypatch.setattr(pruning, "LEAST_ROWS", 0)
+    monkeypatch.setattr(pruning, "SAMPLE", 2)
+    pruned = Counting(pruning.pruned_hits)
+    monkeypatch.setattr(pruning, "pruned_hits", pruned)
+    rows = random_rows(seed, 150)
+    texts = ["red", "blue green red running", "running running beta the alpha 7", "élan", "absent"]
+    found = run(spark, rows, texts, Options(**{"stem": False, "prefix": 10, **options}))
+    same(found, expected(rows, texts, **options))
+    assert pruned.calls == 1
+
+
+def test_pruning_scores_fewer_articles(spark, monkeypatch):
+    monkeypatch.setattr(pruning, "LEAST_ROWS", 0)
+    rng = random.Random(6)
+    rows = []
+    for i in range(600):
+        words = ["common"] * rng.randint(1, 2) + ["often"] * rng.randint(0, 2) + (["rare"] * 3 if i % 5 == 0 else [])
+        rows.append(article(f"a{i:04d}", "".join(rng.choices("bcdfgh", k=12)), " ".join(words + rng.choices(["pad", "fill", "stuff"], k=9))))
+    texts = ["rare common often"]
+    with Scratch(spark) as scratch:
+        corpus = retrieval.Corpus(queries(spark, *texts), articles(spark, rows), Options(stem=False, ratio="real"), scratch)
+        whole = {r["id"]: r["score"] for r in corpus.hits().collect()}
+        hits = pruning.pruned_hits(corpus.bags, corpus.weights, 5, scratch).collect()
+    floor = hits[0]["floor"]
+    assert len(hits) * 2 < len(whole) == 600
+    assert {r["id"]: r["score"] for r in hits if r["score"] >= floor} == {i: s for i, s in whole.items() if s >= floor}
+    assert sum(s >= floor for s in whole.values()) >= 5
+
+
 WORDS = "red reds blue bluest green greens running runs alpha beta gamma the of 7 élan".split()
 
 
