@@ -8,8 +8,7 @@ from array import array
 
 from quillrank.llm.worker import per_worker
 
-CACHE_WORDS = 600_000  # plain words a worker remembers per vocabulary
-CACHE_OTHERS = 150_000  # the same for parts with punctuation or line ends
+CACHE_PARTS = 700_000  # parts of texts, up to the next space, that a worker remembers per vocabulary
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
@@ -63,7 +62,7 @@ class ByteEncoder:
 
     def __init__(self, path: str, width: int):
         self._tokenizer = load_tokenizer(path)
-        self._model = _uncached_model(path)
+        self._tokenize = _uncached_model(path).tokenize
         self._letters = byte_letters()
         self._space = chr(self._letters[0x20])
         self._code = {2: "H", 4: "I"}[width]
@@ -95,47 +94,38 @@ class ByteEncoder:
                 piece = self._space + part if space else part
             else:
                 piece = (space + part).encode().decode("latin-1").translate(self._letters)
-            return self.packed([token.id for token in self._model.tokenize(piece)])
-        if part[-1:] in (".", ",") and part[:-1].isalpha():
-            return (self._spaced if space else self._bare)[part[:-1]] + self._bare[part[-1]]
+            return self.packed([token.id for token in self._tokenize(piece)])
+        known = self._spaced if space else self._bare
+        last = part[-1:]
+        if (last == "." or last == ",") and part[:-1].isalpha():
+            return known[part[:-1]] + self._bare[last]
         left, line, right = part.partition("\n")
         if line and left and not left[-1].isspace() and right and not right[0].isspace():
-            return (self._spaced if space else self._bare)[left] + self._bare[line] + self._bare[right]
+            return known[left] + self._bare[line] + self._bare[right]
         return self.packed(self._tokenizer.encode(space + part, add_special_tokens=False).ids)
 
 
 class _Parts(dict):
     """Packed ids by part; a missing one is encoded and remembered.
 
-    Each kind of part has two generations: when the young one holds half the limit it becomes the
-    old one, and what is used again moves up from there, so frequent words stay.
+    There are two generations: when the young one, the dictionary itself, holds half the limit it becomes the
+    old one, and what is used again moves up from there, so frequent parts stay. Long parts are encoded each time.
     """
 
     def __init__(self, encoder: ByteEncoder, space: str):
         super().__init__()
-        self._encoder, self._space = encoder, space
-        self._old_words: dict[str, bytes] = {}
-        self._others: dict[str, bytes] = {}
-        self._old_others: dict[str, bytes] = {}
+        self._encoded, self._space = encoder.encoded, space
+        self._old: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        word = part.isalpha()
-        ids = self._others.get(part) if not word else None
-        if ids is not None:
-            return ids
-        ids = (self._old_words if word else self._old_others).get(part)
+        ids = self._old.get(part)
         if ids is None:
-            ids = self._encoder.encoded(part, self._space)
+            ids = self._encoded(part, self._space)
         if len(part) < 64:
-            if word:
-                if len(self) >= CACHE_WORDS // 2:
-                    self._old_words = dict(self)
-                    self.clear()
-                self[part] = ids
-            else:
-                if len(self._others) >= CACHE_OTHERS // 2:
-                    self._old_others, self._others = self._others, {}
-                self._others[part] = ids
+            if len(self) >= CACHE_PARTS // 2:
+                self._old = dict(self)
+                self.clear()
+            self[part] = ids
         return ids
 
 
