@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,59 +25,72 @@ LEAST_DOCUMENTS = 30
 SCALE, ADDED = 1_000_000_000, 5
 TOP_TERMS = 50
 _PIECE = 1 << 22  # bytes of a text searched at a time, a term more at most
-_HELD = 300_000  # entries that a counting task holds before it sends them on
+_HELD = 500_000  # entries that a counting task holds before it sends them on
 _TILE = 128  # groups of a block
 _CELLS = 1 << 17  # counts of a block of terms, about
 _FRONT = 1 << 20  # pairs of quadrants that a walk holds at a time
 _WHOLE = "decimal(38,0)"
 
 
-def terms(text: str | None) -> Counter:
-    """How often a text has each of its terms, as UTF-8 bytes. Long texts are searched in pieces that cut no term."""
-    data = (text or "").encode("utf-8", "surrogatepass").lower()  # of bytes: lowers A-Z only
-    found, start = Counter(), 0
+def terms(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text in UTF-8, in order, a list per piece of it; pieces cut no term."""
+    data, start = text.lower(), 0  # of bytes: lowers A-Z only
     while start < len(data):
         end = min(start + _PIECE, len(data))
         if end < len(data) and (rest := _TERM.match(data, end)):
             end = rest.end()
-        found.update(_TERM.findall(data, start, end))
+        yield _TERM.findall(data, start, end)
         start = end
-    return found
 
 
-def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _as_text(found: list[bytes]) -> pa.Array:
+    try:
+        return pa.array(found, pa.binary()).cast(pa.string())
+    except pa.ArrowInvalid:  # the text was no UTF-8
+        return pa.array([term.decode("utf-8", "replace") for term in found])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, term, n, docs), summed over many documents of a task; and a row without term per group."""
     keep_only()
-    groups: dict[tuple[str, str], dict[bytes, list[int]]] = {}
+    groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
     held = 0
 
-    def out() -> pd.DataFrame:
-        rows = [(*name, None, 0, 0) for name in groups]
-        rows += [(*name, t.decode("utf-8", "replace"), n, d) for name, found in groups.items() for t, (n, d) in found.items()]
-        return pd.DataFrame(rows, columns=["lang", "source", "term", "n", "docs"])
-
-    for frame in frames:
-        for lang, source, text in zip(frame["lang"], frame["source"], frame["text"], strict=True):
-            own = groups.setdefault((lang, source), {})
-            before = len(own)
-            for term, n in terms(text).items():
-                if (entry := own.get(term)) is None:
-                    own[term] = [n, 1]
-                else:
-                    entry[0] += n
-                    entry[1] += 1
-            held += len(own) - before
+    def out() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (counts, holding) in groups.items():
+            found = list(counts)
+            rows = len(found) + 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.repeat(pa.scalar(lang), rows), pa.repeat(pa.scalar(source), rows),
+                    pa.concat_arrays([pa.nulls(1, pa.string()), _as_text(found)]),
+                    pa.array([0, *counts.values()], pa.int64()), pa.array([0, *map(holding.__getitem__, found)], pa.int64()),
+                ],
+                names=["lang", "source", "term", "n", "docs"],
+            )
+
+    for batch in batches:
+        named = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)
+        for name, text in zip(named, batch.column("text").cast(pa.binary()), strict=True):
+            if name not in groups:
+                groups[name] = Counter(), Counter()
+            counts, holding = groups[name]
+            before, own = len(counts), set()
+            for found in terms(text.as_py() or b""):
+                counts.update(found)
+                own.update(found)
+            holding.update(own)
+            held += len(counts) - before
             if held >= _HELD:
-                yield out()
+                yield from out()
                 groups, held = {}, 0
-    if groups:
-        yield out()
+    yield from out()
 
 
 def term_counts(documents: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs) of all ``documents`` (text, lang, source); a group also has a row with a null term."""
     named = documents.select("text", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")])
-    counted = named.mapInPandas(_counted, "lang string, source string, term string, n bigint, docs bigint")
+    counted = named.mapInArrow(_counted, "lang string, source string, term string, n bigint, docs bigint")
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
