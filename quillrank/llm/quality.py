@@ -31,6 +31,7 @@ EPOCHS = 150
 REJECT_BELOW = 0.3
 _TASKS = 12
 _CHUNK = 1 << 17  # words whose contexts are summed at a time
+_SUMMED = 1 << 25  # words after which a task sends its sums on: no 32-bit sum can run over before
 _HELD = 1 << 20  # words that are counted at a time
 _PART = 10_000  # rows of sums in a frame
 
@@ -87,23 +88,23 @@ def _index_table() -> np.ndarray:
     return table
 
 
-def context_sums(texts: Iterator[str | None], own: np.ndarray | None = None) -> np.ndarray:
-    """For every vector the sum of the index vectors around its words, over all texts, as one row of whole numbers.
+def _summed(texts: Iterator[str | None], own: np.ndarray) -> Iterator[np.ndarray]:
+    """For every vector the sum of the index vectors around its words, a line each, over stretches of the texts.
 
-    The vectors that words share come first, then those of the words in ``own``, sorted hashes.
+    The vectors that words share come first, then those of the words in ``own``, sorted hashes. The array is the same each time,
+    emptied for the next stretch.
     """
-    own = np.zeros(0, dtype=np.uint64) if own is None else own
     table = _index_table()
-    sums = np.zeros((WORDS + len(own), DIM), dtype=np.int64)
+    sums = np.zeros((WORDS + len(own), DIM), dtype=np.int32)
     held: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
+    size = total = 0
 
     def add() -> None:
         hashes = np.concatenate([h for h, _ in held])
         order = np.argsort(hashes)
         ordered = hashes[order]
         first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        found = np.add.reduceat(np.concatenate([c for _, c in held])[order], first, axis=0, dtype=np.int64)
+        found = np.add.reduceat(np.concatenate([c for _, c in held])[order], first, axis=0, dtype=np.int32)
         np.add.at(sums, _row_of(ordered[first], own), found)
 
     for text in texts:
@@ -121,10 +122,21 @@ def context_sums(texts: Iterator[str | None], own: np.ndarray | None = None) ->
             size += len(held[-1][0])
             if size >= _CHUNK:
                 add()
+                total += size
                 held, size = [], 0
+                if total >= _SUMMED:
+                    yield sums
+                    sums[:] = 0
+                    total = 0
     if held:
         add()
-    return sums.reshape(-1)
+    yield sums
+
+
+def context_sums(texts: Iterator[str | None], own: np.ndarray | None = None) -> np.ndarray:
+    """The sums over all texts as one row of whole numbers; see ``_summed``."""
+    own = np.zeros(0, dtype=np.uint64) if own is None else own
+    return sum(sums.astype(np.int64) for sums in _summed(texts, own)).reshape(-1)
 
 
 def _word_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,11 +181,11 @@ def word_vectors(documents: DataFrame, scratch: Scratch) -> Vectors:
 
     def contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keep_only("word_tables")
-        sums = context_sums((text for frame in frames for text in frame["text"]), shared.value).reshape(-1, DIM)
-        met = np.flatnonzero(sums.any(axis=1))
-        for at in range(0, len(met), _PART):
-            part = met[at : at + _PART]
-            yield pd.DataFrame(sums[part], columns=names).assign(row=part)
+        for sums in _summed((text for frame in frames for text in frame["text"]), shared.value):
+            met = np.flatnonzero(sums.any(axis=1))
+            for at in range(0, len(met), _PART):
+                part = met[at : at + _PART]
+                yield pd.DataFrame(sums[part].astype(np.int64), columns=names).assign(row=part)
 
     def unit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -187,6 +199,7 @@ def word_vectors(documents: DataFrame, scratch: Scratch) -> Vectors:
     rows = np.zeros((WORDS + len(own), DIM), dtype=np.float32)
     for part in summed.mapInPandas(unit, "at binary, vectors binary").collect():
         rows[np.frombuffer(part["at"], dtype=np.int64)] = np.frombuffer(part["vectors"], dtype=np.float32).reshape(-1, DIM)
+    shared.destroy()
     return Vectors(own, rows)
 
 
@@ -292,6 +305,7 @@ def fit(documents: DataFrame, labels: DataFrame, scratch: Scratch, size: int = S
     rows = sample.select("doc_id", "text", F.col("quality").cast("int").alias("quality")).mapInPandas(
         features, "doc_id bigint, quality int, features binary"
     ).toPandas()
+    shared.destroy()  # the model brings the vectors again, once, for all that is scored with it
     rows = rows.sort_values(["doc_id", "features"], kind="stable")
     y = rows["quality"].to_numpy(dtype=np.float64)
     if len(set(y)) < 2:

@@ -1,5 +1,7 @@
 """What a Python worker keeps between tasks: tokenizers and their caches."""
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable
@@ -26,5 +28,20 @@ def keep_only(*starts: str) -> None:
     Workers serve one operator after the other; the next one should not pay for the caches of the last.
     """
     home = sys.modules.setdefault(_HOME, types.ModuleType(_HOME))
-    for key in [k for k in home.__dict__ if not k.startswith(("__", *starts))]:
+    gone = [k for k in home.__dict__ if not k.startswith(("__", *starts))]
+    for key in gone:
         del home.__dict__[key]
+    if gone:
+        _give_back()
+
+
+def _give_back() -> None:
+    """Return freed memory to the system; without, a worker stays as large as its largest operator made it."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: it has its own way
