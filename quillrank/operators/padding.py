@@ -86,7 +86,7 @@ def choose_zeros(
     candidates, total = numbered(corpus.bags.select(*CANDIDATE, "copies"), CANDIDATE)
     short = True
     for zeros in zero_hits(candidates, total, pairs, queries, first, scratch):
-        wanting = selection.next_stretch(choice, k)
+        wanting = scratch.stored(selection.next_stretch(choice, k))
         choice, short = selection.choose(
             wanting, lambda asked, zeros=zeros: zeros.join(asked, "query_id", "left_semi"), k, dedup, scratch, prefix
         )

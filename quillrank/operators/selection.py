@@ -190,13 +190,12 @@ def choose(
     scratch: Scratch,
     prefix: int = PREFIX,
 ) -> tuple[DataFrame, bool]:
-    """Carry ``choice`` through all hits of one stretch of the ranking, by prefixes that are scored when they are wanted.
+    """Carry ``choice``, a stored table, through all hits of one stretch of the ranking, by prefixes scored when they are wanted.
 
     ``hits_of(queries)`` gives the hits of the stretch for those queries. The second value tells whether any query still has
     fewer than ``k``.
     """
     first, _ = prefix_lengths(k, prefix)
-    choice = scratch.stored(choice)
     more, short = _state(choice, k)
     while more:
         hits = _placed(hits_of(choice.where("more").select("query_id"))).withColumn("profile", title_profile(F.col("title")))

@@ -50,7 +50,7 @@ class Corpus:
         # Adaptive execution may split frequent tokens here, if they do not fit a broadcast.
         found = scratch.stored(bags.matches(self.store, token_terms))
         self.bags = scratch.bucketed(bags.article_bags(self.store, found), "fingerprint")
-        self.stats = scratch.stored(bags.corpus_stats(bags.article_lengths(self.store)))
+        self.stats = bags.corpus_stats(bags.article_lengths(self.store))
 
     @cached_property
     def weights(self) -> DataFrame:
@@ -85,8 +85,7 @@ class Corpus:
         """
         hits = None
         if self._small_weights is not self.weights:
-            postings = bags.postings(self.bags, ["fingerprint"])
-            if pruning.rows_to_score(postings, self.weights) >= pruning.LEAST_ROWS:
+            if pruning.rows_to_score(self.weights) >= pruning.LEAST_ROWS:
                 hits = pruning.pruned_hits(self.bags, self._small_weights, count, self._scratch)
         return self._scratch.stored(selection.best_hits(self.hits() if hits is None else hits, most))
 
@@ -105,7 +104,7 @@ def _choose(corpus: Corpus, options: Options, scratch: Scratch) -> DataFrame:
         choice, short = selection.choose_held(choice, held.where(condition), k, prefix, dedup, scratch)
         if not short:
             return choice, short
-        further = selection.beyond_held(choice, held, used_up, k)
+        further = scratch.stored(selection.beyond_held(choice, held, used_up, k))
         return selection.choose(further, lambda queries: corpus.hits(queries).where(condition), k, dedup, scratch, prefix)
 
     choice = selection.new_choice(corpus.term_rows)
