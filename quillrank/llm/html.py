@@ -36,22 +36,50 @@ address article aside blockquote body br button center dd details dialog dir div
 footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary
 table tbody td tfoot th thead title tr ul
 """.split())
-_SILENT = "script|style|noscript|template|textarea|title|svg|math|iframe|object|select|button"
+_SILENT = frozenset("script style noscript template textarea title svg math iframe object select button".split())
+_RAW = frozenset(["script", "style"])  # without an end tag these go on to the end of the head, or of the page
 _APART = frozenset(["nav", "footer", "aside", "form", "menu", "dialog", "header", "fieldset"])
-_VOID = frozenset("area base br col embed hr img input link meta param source track wbr p li dt dd option tr td th".split())
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Elements that need no end tag: the next one of their kind ends them, and a paragraph ends with any other block.
+_LOOSE = frozenset("p li dt dd option tr td th".split())
 _ARTICLE = frozenset(["article", "main"])
-_APART_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|notice|menu|nav\w*|sidebar|side-bar|"
+_APART_WORD = re.compile(
+    r"ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|notice|menu|nav\w*|sidebar|"
     r"comments?|commentlist|disqus|respond|footer|header|masthead|breadcrumbs?|share|social|related|newsletter|"
-    r"subscribe|login|signup|popup|modal|widget|pagination|pager|copyright)(?:$|[\s_-])",
+    r"subscribe|login|signup|popup|modal|widget|pagination|pager|copyright",
     re.I,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+# A name that begins so tells what a wrapper has around or in it, not what it is.
+_STATE = frozenset("has have with without no not is js layout page wrap wrapper".split())
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+_UNSHOWN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+_TAG_NAME = "[a-zA-Z][a-zA-Z0-9:-]*"
+# A bracket in a quoted value ends no tag; where quotes do not match, the first bracket does.
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_SILENT})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?][^>]*>|</[^>]*>",
-    re.S | re.I,
+    rf"""<!--.*?(?:-->|\Z)|<(/?)({_TAG_NAME})((?:[^>"']++|"[^"<]*+"|'[^'<]*+')*+)>|<(/?)({_TAG_NAME})([^>]*)>|<[!?][^>]*>|</[^>]*>""",
+    re.S,
 )
-_HIDDEN = re.compile(r"""\bhidden\b|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in [*_SILENT, "head"]}
+
+
+def _attributes(text: str) -> dict[str, str]:
+    return {name.lower(): a or b or c for name, a, b, c in _ATTRIBUTE.findall(text)}
+
+
+def _names_apart(names: str) -> bool:
+    """Whether a class, id or role says that an element is none of the article."""
+    for name in names.split():
+        words = re.split(r"[-_]+", name)
+        if words[0].lower() not in _STATE and any(_APART_WORD.fullmatch(word) for word in words):
+            return True
+    return False
+
+
+def _hidden(given: dict[str, str]) -> bool:
+    return (
+        "hidden" in given or given.get("aria-hidden", "").strip().lower() == "true"
+        or bool(_UNSHOWN.search(given.get("style", "")))
+    )
 
 
 @dataclass
@@ -74,6 +102,27 @@ class _Open:
     in_article: bool
 
 
+class _Ends:
+    """Where the content of silent elements ends. A kind of end tag that a page has no more of is not sought again."""
+
+    def __init__(self, page: str):
+        self._page, self._missing = page, set()
+
+    def _after(self, name: str, at: int) -> int | None:
+        if name not in self._missing:
+            if found := _ENDS[name].search(self._page, at):
+                return found.end()
+            self._missing.add(name)
+        return None
+
+    def skip(self, name: str, at: int) -> int:
+        """The place after the element whose start tag ends at ``at``; an element without end tag has no content, but for scripts and styles."""
+        end = self._after(name, at)
+        if end is None and name in _RAW:
+            end = self._after("head", at) or len(self._page)
+        return at if end is None else end
+
+
 def _blocks(page: str) -> list[_Block]:
     """The text blocks of a page in order. Unclosed and stray tags are borne: an end tag closes up to its start, if open."""
     stack = [_Open("", 0, False, False)]
@@ -97,17 +146,19 @@ def _blocks(page: str) -> list[_Block]:
             if in_link:
                 block.linked += len("".join(text.split()))
 
-    at = 0
-    for token in _TOKEN.finditer(page):
+    at, ends = 0, _Ends(page)
+    while token := _TOKEN.search(page, at):
         add(page[at : token.start()])
         at = token.end()
-        closing, name, attributes = token.group(2), token.group(3), token.group(4)
-        if token.group(1):
-            finish()
-            continue
-        if name is None:
+        closing, name, text = (token.group(i) or token.group(i + 3) or "" for i in (1, 2, 3))
+        if not name:
             continue
         name = name.lower()
+        if name in _SILENT and not closing:
+            finish()
+            if not text.endswith("/"):
+                at = ends.skip(name, at)
+            continue
         if name == "a":
             in_link = not closing
             continue
@@ -122,27 +173,36 @@ def _blocks(page: str) -> list[_Block]:
             heading = False
             finish()
             continue
+        while stack[-1].name in _LOOSE and stack[-1].name in (name, "p"):
+            stack.pop()
         top = stack[-1]
         heading = len(name) == 2 and name[0] == "h" and name[1].isdigit()
         if name not in _VOID and not heading:
-            names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)) if "=" in attributes else ""
+            given = _attributes(text) if text else {}
             article = name in _ARTICLE
             # The heading part of an article is its own; a page's header is not.
             apart = top.apart or (name in _APART and not (name == "header" and top.in_article))
-            if names and not article and name not in ("body", "html"):
-                apart = apart or bool(_APART_NAME.search(names))
-            apart = apart or bool(attributes and _HIDDEN.search(attributes))
+            if given and not article and name not in ("body", "html"):
+                apart = apart or _names_apart(" ".join(given.get(key, "") for key in ("class", "id", "role")))
+            apart = apart or _hidden(given)
             if article or name in _APART or name == "section" or apart != top.apart:
                 section, sections = sections, sections + 1
             else:
                 section = top.section
-            stack.append(_Open(name, section, apart, top.in_article or article))
+            if name not in _LOOSE or apart != top.apart:
+                stack.append(_Open(name, section, apart, top.in_article or article))
         finish()
     add(page[at:])
     finish()
     return blocks
 
 
+def _other_script(text: str) -> bool:
+    """Whether most letters are of a script without stop words here; such a text is told by its length and links alone."""
+    letters = [c for c in text if c.isalpha()]
+    return 2 * sum(c > "\u024f" for c in letters) > len(letters)
+
+
 def _first_pass(block: _Block) -> bool | None:
     """True for text, False for the rest of the page, None for undecided."""
     if block.apart:
@@ -152,6 +212,8 @@ def _first_pass(block: _Block) -> bool | None:
         return False
     if block.heading or len(block.text) < SHORT:
         return None
+    if _other_script(block.text):
+        return True
     words = block.text.lower().split()
     density = sum(word.strip(".,;:!?\"'()") in STOP_WORDS for word in words) / len(words)
     if density >= STOP_DENSITY or (len(block.text) >= LONG and 2 * density >= STOP_DENSITY):

@@ -11,6 +11,7 @@ from quillrank.llm.queries import LLM_QUERIES
 
 SF = "/root/testdata/sf0.001"
 LINE = "The house of the sea is in the hills and the wind was in the trees of that land for the whole of the day. "
+RUSSIAN = "Дом у моря стоит на холмах, и ветер шумел в деревьях той земли весь долгий день, пока не стемнело. "
 
 
 def article_of(page):
@@ -41,6 +42,20 @@ def test_query_gives_the_articles(spark):
     (f"<article><header><h1>Big news</h1></header><p>{LINE}</p></article>", f"Big news {LINE}".strip()),
     (f"<header><h1>Site</h1></header><article><p>{LINE}</p><aside>{LINE}</aside></article>", LINE.strip()),
     (f"<article><p>{LINE}</p><script>unclosed", LINE.strip()),
+    (f"<div style='overflow:hidden'><p>{LINE}</p></div>", LINE.strip()),
+    (f"<div aria-hidden='false'><p>{LINE}</p></div><div aria-hidden=true><p>{LINE}</p></div>", LINE.strip()),
+    (f"<div hidden><p>{LINE}</p></div><div style='color: red; display: none'><p>{LINE}</p></div><p>{LINE}</p>", LINE.strip()),
+    (f"<div class='page has-sidebar'><article><p>{LINE}</p></article></div>", LINE.strip()),
+    (f"<div class='site no-sidebar with-comments'><p>{LINE}</p><div class='site-footer'><p>{LINE}</p></div></div>", LINE.strip()),
+    (f"<svg/><p>{LINE}</p><svg><text>no</text></svg>", LINE.strip()),
+    (f"<iframe src=x><article><p>{LINE}</p></article><iframe><p>{LINE}</p>", f"{LINE}{LINE}".strip()),
+    (f"<head><script>var a = 1;</head><body><p>{LINE}</p></body>", LINE.strip()),
+    (f"<p class='advert'>{LINE}</p><p>{LINE}</p><p class=advert>{LINE}<p>{LINE}", f"{LINE}{LINE}".strip()),
+    (f"<article><p>{LINE}</p><ul><li class='comment'><div><p>{LINE}</p></div><li class='comment'>{LINE}</ul><p>{LINE}</p></article>", f"{LINE}{LINE}".strip()),
+    (f"<ul><li class='comment'>{LINE}<li>{LINE}</ul><p>{LINE}</p>", f"{LINE}{LINE}".strip()),
+    (f"<p title='a > b' data-x=\"1>0\">{LINE}</p>", LINE.strip()),
+    (f"<p class=\"broken>{LINE}</p><p>{LINE}</p>", f"{LINE}{LINE}".strip()),
+    (f"<nav><a href=1>Меню</a></nav><p>{RUSSIAN}</p><footer>Все права</footer>", RUSSIAN.strip()),
     (f"<article><ul><li>One<li>Two</ul><p>{LINE}</p></article>", f"One Two {LINE}".strip()),
 ])
 def test_pages(page, text):
@@ -56,6 +71,11 @@ def test_long_page():
     assert main_text("<article>" + f"<p>{LINE}</p>" * 5000) == " ".join([LINE.strip()] * 5000)
 
 
+def test_pages_that_open_much_and_close_nothing():
+    for tag in ("<iframe>", "<div>", "<p class='advert'>", "<svg>", "<p title='", "<a href=\"", "<!--", "</div>"):
+        assert isinstance(main_text(tag * 20_000 + f"<p>{LINE}</p>"), str)
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None, "own"), (None, "u", f"<p>{LINE}</p>", None), (2, "u", "", "x"), (2, "u", "", "x")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
