@@ -22,9 +22,12 @@ from quillrank.storage import Scratch
 NEAREST = 12  # pivots that describe a vector
 SHARED = 3  # pivots that candidates share: at cosine 0.98 and 4,096 pivots less than one pair in 4,000 has fewer than four
 VECTORS_A_PIVOT = 64
-FEWEST_PIVOTS, MOST_PIVOTS = 64, 4096  # the index is fitted on this many distinct vectors at most, times eight
+FEWEST_PIVOTS, MOST_PIVOTS = 64, 4096  # the index is fitted on this many distinct vectors at most, times ``_DRAWN``
+_DRAWN = 2
 BLOCK = 1024  # members of a list that are compared at a time
-_APART = 0.7  # cosine over which two vectors are not both made pivots
+# Cosine over which two vectors are not both made pivots; the next one where too few are so far apart, as in a narrow cone.
+_APART = (0.7, 0.8, 0.9, 0.95)
+_PRODUCT_BYTES = 32 << 20  # of the products of vectors and pivots that are held at a time
 
 
 def _described(embeddings: DataFrame) -> DataFrame:
@@ -56,6 +59,19 @@ def _units(vectors) -> np.ndarray:
     return stacked / np.linalg.norm(stacked, axis=1, keepdims=True)
 
 
+def _spread_out(vectors: np.ndarray, wanted: int) -> np.ndarray:
+    """Up to ``wanted`` of the vectors, as far apart as so many can be by the steps of ``_APART``."""
+    nearest = np.full(len(vectors), -1.0)  # cosine with the nearest one chosen
+    chosen: list[int] = []
+    for apart in _APART:
+        for i in range(len(vectors)):
+            if len(chosen) < wanted and nearest[i] < apart:
+                chosen.append(i)
+                nearest = np.maximum(nearest, vectors @ vectors[i])
+                nearest[i] = 1.0
+    return vectors[chosen]
+
+
 def fit_pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
     """Reference points per dimension: vectors of a bounded sample that lie apart, filled up with random directions."""
     pivots = {}
@@ -63,11 +79,8 @@ def fit_pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
         dim = row["dim"]
         wanted = min(max(-(-row["n"] // VECTORS_A_PIVOT), FEWEST_PIVOTS), MOST_PIVOTS)
         # Keys are hashes, so the first ones are a random sample, and always the same.
-        sample = vectors.where(F.col("dim") == dim).select("key", "vector").orderBy("key").limit(2 * wanted).collect()
-        chosen = np.empty((0, dim))
-        for vector in _units([r["vector"] for r in sample]):
-            if len(chosen) < wanted and (not len(chosen) or (chosen @ vector).max() < _APART):
-                chosen = np.vstack([chosen, vector])
+        sample = vectors.where(F.col("dim") == dim).select("key", "vector").orderBy("key").limit(_DRAWN * wanted).collect()
+        chosen = _spread_out(_units([r["vector"] for r in sample]), wanted)
         filled = np.random.default_rng(dim).standard_normal((wanted - len(chosen), dim))
         filled /= np.linalg.norm(filled, axis=1, keepdims=True)
         pivots[dim] = np.vstack([chosen, filled])
@@ -76,7 +89,14 @@ def fit_pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
 
 def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """The numbers of the nearest pivots of each unit vector, nearest first."""
-    return np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, :NEAREST]
+    found, step = [], max(1, _PRODUCT_BYTES // (8 * len(pivots)))
+    for at in range(0, len(vectors), step):
+        away = -(vectors[at : at + step] @ pivots.T)
+        some = np.argpartition(away, min(NEAREST, len(pivots)) - 1, axis=1)[:, :NEAREST]
+        some.sort(axis=1)  # equal ones in their own order
+        order = np.argsort(np.take_along_axis(away, some, axis=1), axis=1, kind="stable")
+        found.append(np.take_along_axis(some, order, axis=1))
+    return np.concatenate(found)
 
 
 def _spanning(linked: np.ndarray) -> list[tuple[int, int]]:

@@ -96,3 +96,52 @@ def test_recall_of_the_index():
         near_a, near_b = (pivots.nearest_pivots(x, points) for x in (a, b))
         shared = np.array([len(set(x) & set(y)) for x, y in zip(near_a, near_b, strict=True)])
         assert (shared >= pivots.SHARED).mean() > 0.999
+
+
+def test_vectors_in_a_narrow_cone():
+    """Where all vectors are alike there are pivots enough still, and near ones share them."""
+    rng = np.random.default_rng(2)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    center = rng.standard_normal(64) * 1.5
+    sample, a = unit(center + rng.standard_normal((1024, 64))), unit(center + rng.standard_normal((1500, 64)))
+    assert (a[:200] @ a[:200].T).mean() > 0.6
+    points = pivots._spread_out(sample, 512)
+    assert len(points) > 400
+    aside = rng.standard_normal(a.shape)
+    aside = unit(aside - (aside * a).sum(1, keepdims=True) * a)
+    near_a, near_b = (pivots.nearest_pivots(x, points) for x in (a, 0.98 * a + math.sqrt(1 - 0.98**2) * aside))
+    shared = np.array([len(set(x) & set(y)) for x, y in zip(near_a, near_b, strict=True)])
+    assert (shared >= pivots.SHARED).mean() > 0.999
+    others = np.array([len(set(x) & set(y)) for x, y in zip(near_a, np.roll(near_a, 1, axis=0), strict=True)])
+    assert (others >= pivots.SHARED).mean() < 0.2
+
+
+def test_nearest_pivots_in_steps(monkeypatch):
+    rng = np.random.default_rng(3)
+    x, points = rng.standard_normal((300, 8)), rng.standard_normal((40, 8))
+    wanted = np.argsort(-(x @ points.T), axis=1, kind="stable")[:, : pivots.NEAREST]
+    monkeypatch.setattr(pivots, "_PRODUCT_BYTES", 8 * 40 * 7)
+    assert (pivots.nearest_pivots(x, points) == wanted).all()
+    assert (pivots.nearest_pivots(x, points[:5]) == np.argsort(-(x @ points[:5].T), axis=1)).all()
+
+
+def test_links_planted_among_many_vectors(spark, scratch):
+    """20,000 vectors in groups and alone; every pair of a label by brute force."""
+    rng = np.random.default_rng(4)
+    centers = rng.standard_normal((400, 64))
+    vectors = np.concatenate([
+        np.repeat(centers, 5, axis=0) + rng.normal(0, 0.1, (2000, 64)), np.repeat(centers[:100], 20, axis=0) + rng.normal(0, 0.14, (2000, 64)),
+        rng.standard_normal((16_000, 64)),
+    ]).astype(np.float32)
+    labels = rng.integers(0, 3, len(vectors))
+    rows = spark.createDataFrame([(i, v.tolist(), int(n)) for i, (v, n) in enumerate(zip(vectors, labels, strict=True))], FIELDS)
+    found = {r.vec_id: r.n_links for r in pivots.nearest_links(rows, scratch).collect()}
+    wanted = np.zeros(len(vectors), dtype=int)
+    x = vectors.astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for label in range(3):
+        own = np.flatnonzero(labels == label)
+        wanted[own] = ((x[own] @ x[own].T) >= 0.98).sum(axis=1) - 1
+    assert wanted.sum() > 2000
+    lost = sum(wanted) - sum(found.values())
+    assert 0 <= lost <= 0.001 * sum(wanted)
