@@ -11,11 +11,17 @@ def file_name(query):
     return F.replace(query, F.lit(" "), F.lit("_"))
 
 
-def write_rendered(hits: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One text file per query, in ``query_id=<id>/``. Equal queries and any character are safe."""
-    rendered(hits).select(
-        "query_id", F.regexp_replace("text", "\n$", "").alias("text")
-    ).write.mode(mode).partitionBy("query_id").text(path)
+def write_rendered(hits: DataFrame, path: str, mode: str = "errorifexists", per_query: bool = True) -> None:
+    """One text file per query, in ``query_id=<id>/``. Equal queries and any character are safe.
+
+    Without ``per_query`` the rankings of many queries follow each other in a file, in the order of their numbers: as few files as
+    their size asks for, however many queries there are.
+    """
+    texts = rendered(hits).select("query_id", F.regexp_replace("text", "\n$", "").alias("text"))
+    if per_query:
+        texts.write.mode(mode).partitionBy("query_id").text(path)
+    else:
+        texts.repartitionByRange("query_id").sortWithinPartitions("query_id").select("text").write.mode(mode).text(path)
 
 
 def write_hits(hits: DataFrame, path: str, file_format: str = "parquet", mode: str = "errorifexists") -> None:

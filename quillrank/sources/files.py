@@ -14,12 +14,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_queries(spark: SparkSession, path: str) -> DataFrame:
-    """One query per line. The numbers rise in file order; they are stable for a given file."""
-    return read_lines(spark, path).select(
-        F.monotonically_increasing_id().alias("query_id"),
-        F.col("value").alias("query"),
-    )
+def read_queries(spark: SparkSession, path: str, numbers: str = "position") -> DataFrame:
+    """One query per line, numbered by ``position`` or by ``text``.
+
+    Positions rise in file order; they are stable for given files, but not if these are written anew in other splits. By text a number is a
+    hash of the line, the same wherever it stands; equal lines are one query then.
+    """
+    lines = read_lines(spark, path).withColumnRenamed("value", "query")
+    if numbers == "position":
+        return lines.select(F.monotonically_increasing_id().alias("query_id"), "query")
+    if numbers == "text":
+        return lines.distinct().select(F.xxhash64("query").alias("query_id"), "query")
+    raise ValueError(f"numbers must be 'position' or 'text', not {numbers!r}")
 
 
 def _article_schema(mode: str) -> T.StructType:

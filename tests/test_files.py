@@ -67,6 +67,17 @@ def test_queries_from_lines(spark, tmp_path):
     assert len({row["query_id"] for row in rows}) == 3
 
 
+def test_query_numbers_that_outlive_their_file(spark, tmp_path):
+    path = tmp_path / "queries.list"
+    path.write_text("James Bond\nfacebook ipo\nfacebook ipo\n")
+    first = {r["query"]: r["query_id"] for r in files.read_queries(spark, str(path), numbers="text").collect()}
+    files.read_lines(spark, str(path)).repartition(3).write.text(str(tmp_path / "again"))
+    again = files.read_queries(spark, str(tmp_path / "again"), numbers="text").collect()
+    assert len(again) == 2 and {r["query"]: r["query_id"] for r in again} == first
+    with pytest.raises(ValueError, match="numbers"):
+        files.read_queries(spark, str(path), numbers="luck")
+
+
 def test_tables_as_articles(spark):
     documents = spark.createDataFrame(
         [(7, "Title line\n\nfirst\nsecond", "s1"), (8, "", "s2")], "doc_id long, text string, source string")
@@ -155,6 +166,9 @@ def test_sinks(spark, tmp_path):
         "query_id=1": "red a/b\n  1:x 2.5 Title X\n  2:y 0.0 Title Y\n",
         "query_id=2": "red a/b\n  1:y -Infinity Title Y\n",
     }
+    sinks.write_rendered(hits(spark), str(tmp_path / "few"), per_query=False)
+    few = "".join(p.read_text() for p in sorted(Path(tmp_path / "few").glob("*.txt")))
+    assert few == written["query_id=1"] + written["query_id=2"]
     for kind in ("parquet", "json"):
         sinks.write_hits(hits(spark), str(tmp_path / kind), kind)
         back = spark.read.format(kind).load(str(tmp_path / kind))
