@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from quillrank.llm.graph import components
 from quillrank.llm.ids import NO_ID, id_or_mark, id_or_null
 from quillrank.llm.words import mixed, set_key, shingles, similar
-from quillrank.llm.worker import keep_only
+from quillrank.llm.worker import give_back, keep_only
 from quillrank.storage import Scratch, broadcast_if_small
 
 SAMPLES, ROWS = 128, 4  # a pair at similarity 0.8 shares none of the 32 bands with a chance of 5e-8
@@ -83,7 +83,7 @@ def described(documents: DataFrame) -> DataFrame:
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keep_only("word_tables")
         for frame in frames:
-            found = []
+            found, text = [], None
             for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
                 own = shingles(text)
                 if len(own) and doc_id != NO_ID:
@@ -91,7 +91,9 @@ def described(documents: DataFrame) -> DataFrame:
                     found.append((doc_id, len(own), set_key(own), odd_sketch(samples), band_keys(samples)))
                 else:
                     found.append((doc_id, len(own), None, None, None))
+            del frame, text  # before the next one is read
             yield pd.DataFrame(found, columns=["doc_id", "n_shingles", "key", "sketch", "bands"])
+        give_back()
 
     return documents.select(id_or_mark("doc_id"), "text").mapInPandas(
         rows, "doc_id bigint, n_shingles bigint, key binary, sketch binary, bands array<bigint>"
@@ -103,8 +105,12 @@ def _whole_texts(documents: DataFrame, ids: DataFrame, keys: DataFrame) -> DataF
     needed = broadcast_if_small(ids, F.lit(16), _NEEDED_ROWS, _NEEDED_BYTES)
 
     @F.pandas_udf(T.BinaryType())
-    def named(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: set_key(shingles(text)))
+    def named(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        keep_only("word_tables")
+        for texts in batches:
+            yield texts.map(lambda text: set_key(shingles(text)))
+            del texts
+        give_back()
 
     rows = documents.select("doc_id", "text").join(needed, "doc_id", "left_semi")
     texts = rows.select(named("text").alias("key"), "text").join(keys, "key", "left_semi")
@@ -113,9 +119,12 @@ def _whole_texts(documents: DataFrame, ids: DataFrame, keys: DataFrame) -> DataF
 
 def _agree(percent: int):
     @F.pandas_udf(T.BooleanType())
-    def agree(a: pd.Series, b: pd.Series) -> pd.Series:
+    def agree(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         keep_only("word_tables")
-        return pd.Series([similar(shingles(x), shingles(y), percent) for x, y in zip(a, b, strict=True)], dtype=bool)
+        for a, b in batches:
+            yield pd.Series([similar(shingles(x), shingles(y), percent) for x, y in zip(a, b, strict=True)], dtype=bool)
+            del a, b
+        give_back()
 
     return agree
 
@@ -260,8 +269,12 @@ class _Finder:
         texts = self._texts_of(numbered.select("key").distinct())
 
         @F.pandas_udf(T.BinaryType())
-        def whole_set(column: pd.Series) -> pd.Series:
-            return column.map(lambda text: shingles(text).tobytes())
+        def whole_set(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            keep_only("word_tables")
+            for column in batches:
+                yield column.map(lambda text: shingles(text).tobytes())
+                del column
+            give_back()
 
         sets = self.sets.select("key", "n_shingles", "sketch").join(texts.select("key", whole_set("text").alias("set")), "key")
         numbered = numbered.join(self._scratch.stored(sets), "key")
@@ -281,7 +294,9 @@ class _Finder:
                 links = []
                 for _, unit in units.groupby("unit", sort=False):
                     links += _new_links(unit, limit, percent)
+                del units
                 yield pd.DataFrame(links, columns=["a", "b"])
+            give_back()
 
         units = minor.unionByName(others).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
         return self._scratch.stored(units.mapInPandas(compared, "a binary, b binary"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quillrank.llm.encoding import BYTE_BPE, byte_encoder
 from quillrank.llm.ids import id_or_mark, id_or_null
-from quillrank.llm.worker import keep_only
+from quillrank.llm.worker import give_back, keep_only
 from quillrank.storage import Scratch
 
 WINDOW = 2048
@@ -52,7 +52,8 @@ def _tokenized(documents: DataFrame, end_id: int, vocabulary: str) -> DataFrame:
         frequency = np.zeros(_IDS, dtype=np.int64)
         documents = total = 0
         for frame in frames:
-            packed = [encode(text) + end for text in frame["text"]]
+            packed, doc_ids = [encode(text) + end for text in frame["text"]], frame["doc_id"].tolist()
+            del frame  # before the next one is read
             keys = []
             for at in range(0, len(packed), SHARD_DOCS):
                 some = [np.frombuffer(ids, dtype=_DTYPE) for ids in packed[at : at + SHARD_DOCS]]
@@ -61,10 +62,11 @@ def _tokenized(documents: DataFrame, end_id: int, vocabulary: str) -> DataFrame:
                 total += sum(map(len, some))
                 keys += terms[np.flatnonzero(np.diff(of, append=len(some)))].tolist()
             documents += len(packed)
-            yield pd.DataFrame({"key": keys, "doc_id": frame["doc_id"], "ids": packed, "df": None})
+            yield pd.DataFrame({"key": keys, "doc_id": doc_ids, "ids": packed, "df": None})
         if documents:
             counts = np.concatenate((frequency, [documents, total]))
             yield pd.DataFrame({"key": [-1], "doc_id": [0], "ids": [None], "df": [counts]})
+        give_back()
 
     return documents.select(id_or_mark("doc_id"), "text").mapInPandas(
         rows, "key int, doc_id bigint, ids binary, df array<bigint>"

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.llm.worker import keep_only
+from quillrank.llm.worker import give_back, keep_only
 from quillrank.storage import Scratch, broadcast_if_small
 
 KEY = "quillrank surrogates"  # replace it by a secret of your own
@@ -270,7 +270,9 @@ def _found(documents: DataFrame) -> DataFrame:
                 for text_key, text in zip(frame["text_key"], frame["text"], strict=True)
                 for kind, normal in dict.fromkeys((kind, normal) for _, _, kind, normal in entities(text))
             ]
+            del frame  # before the next one is read
             yield pd.DataFrame(found, columns=["text_key", "kind", "normal"])
+        give_back()
 
     return documents.select(F.xxhash64("text").alias("text_key"), "text").mapInPandas(rows, _ENTITY_FIELDS)
 
@@ -328,13 +330,17 @@ def with_surrogates(documents: DataFrame, scratch: Scratch, key: str = KEY) -> D
         rows = rows.join(by_text, "text_key", "left")
 
     @F.pandas_udf("struct<text:string,n:int>")
-    def exchange(texts: pd.Series, redrawn: pd.Series) -> pd.DataFrame:
+    def exchange(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         keep_only()
-        out = []
-        for text, other in zip(texts, redrawn, strict=True):
-            names = {} if other is None else {(o["kind"], o["normal"]): o["surrogate"] for o in other}
-            out.append(replaced(text, names, key))
-        return pd.DataFrame(out, columns=["text", "n"])
+        for texts, redrawn in batches:
+            out = []
+            for text, other in zip(texts, redrawn, strict=True):
+                names = {} if other is None else {(o["kind"], o["normal"]): o["surrogate"] for o in other}
+                out.append(replaced(text, names, key))
+            del texts, redrawn
+            yield pd.DataFrame(out, columns=["text", "n"])
+            del out
+        give_back()
 
     new = rows.select("row", exchange("text", "redrawn").alias("new"))
     columns = {c: F.col(f"row.`{c}`") for c in documents.columns if c != "n_entities"}

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillrank.llm.words import mixed, segments, span_hashes, tables
-from quillrank.llm.worker import keep_only
+from quillrank.llm.worker import give_back, keep_only
 from quillrank.storage import Scratch
 
 SAMPLE = 12_000  # labelled documents that the model is fitted on, at most: the ones of least hash of their id
@@ -139,6 +139,15 @@ def context_sums(texts: Iterator[str | None], own: np.ndarray | None = None) ->
     return sum(sums.astype(np.int64) for sums in _summed(texts, own)).reshape(-1)
 
 
+def _texts(frames: Iterator[pd.DataFrame]) -> Iterator[str | None]:
+    """All texts of a task; a frame is let go before the next one is read."""
+    for frame in frames:
+        texts = frame["text"].tolist()
+        del frame
+        yield from texts
+        del texts
+
+
 def _word_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(word, n) of the words of all texts, each word once per about ``_HELD`` words."""
     keep_only("word_tables")
@@ -148,15 +157,16 @@ def _word_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found, n = np.unique(np.concatenate(held), return_counts=True)
         return pd.DataFrame({"word": found.view(np.int64), "n": n})
 
-    for frame in frames:
-        for text in frame["text"]:
-            held.append(words(text))
-            size += len(held[-1])
-            if size >= _HELD:
-                yield counted()
-                held, size = [], 0
+    for text in _texts(frames):
+        held.append(words(text))
+        size += len(held[-1])
+        if size >= _HELD:
+            yield counted()
+            held, size = [], 0
     if size:
         yield counted()
+    held = []
+    give_back()
 
 
 @dataclass
@@ -181,11 +191,13 @@ def word_vectors(documents: DataFrame, scratch: Scratch) -> Vectors:
 
     def contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keep_only("word_tables")
-        for sums in _summed((text for frame in frames for text in frame["text"]), shared.value):
+        for sums in _summed(_texts(frames), shared.value):
             met = np.flatnonzero(sums.any(axis=1))
             for at in range(0, len(met), _PART):
                 part = met[at : at + _PART]
                 yield pd.DataFrame(sums[part].astype(np.int64), columns=names).assign(row=part)
+        del sums
+        give_back()
 
     def unit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -326,11 +338,13 @@ def score_of(text: str, model: Model) -> Column:
     shared = SparkSession.getActiveSession().sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         keep_only("word_tables")
-        if not len(texts):
-            return pd.Series([], dtype=float)
-        return pd.Series(shared.value.probabilities(np.stack([pooled(t, shared.value.vectors) for t in texts])))
+        for texts in batches:
+            features = [pooled(text, shared.value.vectors) for text in texts]
+            del texts
+            yield pd.Series(shared.value.probabilities(np.stack(features)) if features else [], dtype=float)
+        give_back()
 
     return score(text)
 

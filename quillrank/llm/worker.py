@@ -32,11 +32,11 @@ def keep_only(*starts: str) -> None:
     for key in gone:
         del home.__dict__[key]
     if gone:
-        _give_back()
+        give_back()
 
 
-def _give_back() -> None:
-    """Return freed memory to the system; without, a worker stays as large as its largest operator made it."""
+def give_back() -> None:
+    """Return freed memory to the system, at the end of a task: an idle worker stays as large as its last task made it."""
     import pyarrow as pa
 
     gc.collect()
