@@ -21,6 +21,7 @@ from quillrank.storage import Scratch, broadcast_if_small
 
 KEY = "quillrank surrogates"  # replace it by a secret of your own
 _REDRAWN_ROWS, _REDRAWN_BYTES = 200_000, 32 << 20
+_TOGETHER = 1_000  # texts that are returned as one frame
 
 # Titles before names, by gender; n is for either.
 TITLES = {
@@ -59,7 +60,21 @@ _ENTITY = re.compile(
     """,
     re.X,
 )
-_MAY_HOLD = re.compile(rf"[0-9@]|\bA[KS]IA[A-Z]|\bgh[pousr]_|\bsk-|(?i:passw|pwd|secret|token|api.?key)|\b(?:{_TITLE})\.?[ ]")
+_MAY_HOLD = re.compile(rf"[0-9@]|\bA[KS]IA[A-Z]|\bgh[pousr]_|\bsk-|(?i:passw|pwd|secret|token|api.?key)|\b(?:{_TITLE})\.?[ ]")# What every text has that _MAY_HOLD finds, and most texts have not: digits or @ first, then capitals and rare letters. Folded, for any case.
+_DIGIT = re.compile("[0-9@]")
+_TITLED = re.compile(rf"(?:{_TITLE})\.?[ ]")
+_PLAIN = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-")
+_FOLDED = ("passw", "pwd", "secret", "token", "key")
+
+
+def _may_hold(text: str) -> bool:
+    """Whether ``_MAY_HOLD`` finds anything, without its slow search in texts that plainly have nothing."""
+    if _DIGIT.search(text):
+        return True
+    if any(map(text.__contains__, _PLAIN)) or any(map(text.casefold().__contains__, _FOLDED)) or _TITLED.search(text):
+        return bool(_MAY_HOLD.search(text))
+    return False
+
 
 # What made-up names consist of, by script: consonants, vowels, female and male endings.
 _SYLLABLES = {
@@ -229,7 +244,7 @@ def _shown(kind: str, surrogate: str, original: str) -> str:
 
 def entities(text: str | None) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, kind, normal form) of every entity, from left to right."""
-    if not text or not _MAY_HOLD.search(text):
+    if not text or not _may_hold(text):
         return
     at = 0
     while found := _ENTITY.search(text, at):
@@ -333,13 +348,14 @@ def with_surrogates(documents: DataFrame, scratch: Scratch, key: str = KEY) -> D
     def exchange(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         keep_only()
         for texts, redrawn in batches:
-            out = []
-            for text, other in zip(texts, redrawn, strict=True):
-                names = {} if other is None else {(o["kind"], o["normal"]): o["surrogate"] for o in other}
-                out.append(replaced(text, names, key))
+            for at in range(0, len(texts), _TOGETHER):  # short frames, so that little is copied at a time
+                out = []
+                for text, other in zip(texts[at : at + _TOGETHER], redrawn[at : at + _TOGETHER], strict=True):
+                    names = {} if other is None else {(o["kind"], o["normal"]): o["surrogate"] for o in other}
+                    out.append(replaced(text, names, key))
+                yield pd.DataFrame(out, columns=["text", "n"])
+                del out
             del texts, redrawn
-            yield pd.DataFrame(out, columns=["text", "n"])
-            del out
         give_back()
 
     new = rows.select("row", exchange("text", "redrawn").alias("new"))
