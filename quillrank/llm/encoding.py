@@ -2,7 +2,6 @@
 
 import json
 import os
-import re
 import sys
 from array import array
 
@@ -41,16 +40,6 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
 
 
-def _uncached_model(path: str):
-    """The library's model of a vocabulary; words are remembered here, so it need not do it too."""
-    from tokenizers.models import BPE
-
-    with open(path, encoding="utf-8") as file:
-        model = json.load(file)["model"]
-    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-    return BPE(vocab=model["vocab"], merges=merges, cache_capacity=0)
-
-
 class ByteEncoder:
     """Ids of a byte-level vocabulary, packed little-endian, for texts of any length.
 
@@ -62,23 +51,23 @@ class ByteEncoder:
 
     def __init__(self, path: str, width: int):
         self._tokenizer = load_tokenizer(path)
-        self._tokenize = _uncached_model(path).tokenize
+        self._tokenize = self._tokenizer.model.tokenize
         self._letters = byte_letters()
         self._space = chr(self._letters[0x20])
         self._code = {2: "H", 4: "I"}[width]
-        specials = [re.escape(token) for token in special_tokens(path)]
-        white = "\\s\x1c-\x1f\x85"
-        self._whole = re.compile("|".join([f" [{white}]", *specials]))
+        self._specials = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
         self._spaced, self._bare = _Parts(self, " "), _Parts(self, "")
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if self._whole.search(text):
-            return self.packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
-        parts = text.split(" ")
-        first = self._bare[parts[0]] if parts[0] else b""
-        return first + b"".join(map(self._spaced.__getitem__, parts[1:]))
+        if not any(map(text.__contains__, self._specials)):
+            first, *others = text.split(" ")
+            try:
+                return (self._bare[first] if first else b"") + b"".join(map(self._spaced.__getitem__, others))
+            except _White:
+                pass
+        return self.packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
 
     def packed(self, ids: list[int]) -> bytes:
         numbers = array(self._code, ids)
@@ -105,6 +94,10 @@ class ByteEncoder:
         return self.packed(self._tokenizer.encode(space + part, add_special_tokens=False).ids)
 
 
+class _White(Exception):
+    """A space is followed by more white space, or by nothing."""
+
+
 class _Parts(dict):
     """Packed ids by part; a missing one is encoded and remembered.
 
@@ -120,6 +113,8 @@ class _Parts(dict):
     def __missing__(self, part: str) -> bytes:
         ids = self._old.get(part)
         if ids is None:
+            if self._space and (not part or part[0].isspace()):
+                raise _White
             ids = self._encoded(part, self._space)
         if len(part) < 64:
             if len(self) >= CACHE_PARTS // 2:

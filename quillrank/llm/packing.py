@@ -52,17 +52,19 @@ def _tokenized(documents: DataFrame, end_id: int, vocabulary: str) -> DataFrame:
         frequency = np.zeros(_IDS, dtype=np.int64)
         documents = total = 0
         for frame in frames:
-            packed, doc_ids = [encode(text) + end for text in frame["text"]], frame["doc_id"].tolist()
+            texts, doc_ids = frame["text"].tolist(), frame["doc_id"].tolist()
             del frame  # before the next one is read
-            keys = []
-            for at in range(0, len(packed), SHARD_DOCS):
-                some = [np.frombuffer(ids, dtype=_DTYPE) for ids in packed[at : at + SHARD_DOCS]]
+            for at in range(0, len(texts), SHARD_DOCS):
+                packed = [ids + end for ids in map(encode, texts[at : at + SHARD_DOCS])]
+                some = [np.frombuffer(ids, dtype=_DTYPE) for ids in packed]
                 of, terms, _ = _entries(some)
                 frequency += np.bincount(terms, minlength=_IDS)
                 total += sum(map(len, some))
-                keys += terms[np.flatnonzero(np.diff(of, append=len(some)))].tolist()
-            documents += len(packed)
-            yield pd.DataFrame({"key": keys, "doc_id": doc_ids, "ids": packed, "df": None})
+                keys = terms[np.flatnonzero(np.diff(of, append=len(some)))]
+                yield pd.DataFrame({"key": keys, "doc_id": doc_ids[at : at + SHARD_DOCS], "ids": packed, "df": None})
+                del packed, some
+            documents += len(texts)
+            del texts
         if documents:
             counts = np.concatenate((frequency, [documents, total]))
             yield pd.DataFrame({"key": [-1], "doc_id": [0], "ids": [None], "df": [counts]})

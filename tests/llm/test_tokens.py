@@ -8,7 +8,7 @@ import pytest
 from llm_rows import ALPHABET, documents, read_rows
 from tokenizers import Tokenizer
 
-from quillrank.llm import forcedbpe, packing, tokenfiles
+from quillrank.llm import encoding, forcedbpe, packing, tokenfiles
 from quillrank.llm.encoding import BYTE_BPE, WORD_BPE, byte_encoder, vocabulary_path
 from quillrank.llm.queries import LLM_QUERIES
 
@@ -41,6 +41,14 @@ def test_byte_encoder_equals_the_library(byte_library, width):
         assert np.frombuffer(encode(text), dtype=f"<u{width}").tolist() == ids_of(byte_library, text), repr(text)
 
 
+def test_byte_encoder_keeps_one_model(byte_library, monkeypatch):
+    encoding.load_tokenizer(vocabulary_path(BYTE_BPE))
+    monkeypatch.setattr(encoding.json, "load", None)  # the vocabulary is not read a second time
+    encode = encoding.ByteEncoder(vocabulary_path(BYTE_BPE), 2)
+    for text in ["a  b", "a b ", " a", "a \u3000b", "a <|endoftext|> b", "wörd, word.\nWord's"]:
+        assert np.frombuffer(encode(text), dtype="<u2").tolist() == ids_of(byte_library, text), repr(text)
+
+
 def test_forced_boundaries_equal_the_library(word_library):
     encoder = forcedbpe.encoder()
     for text in random_texts(2, 4000):
