@@ -1,5 +1,6 @@
 """Analysis, bags and statistics on a few articles."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from builders import article, articles, block, queries
@@ -79,6 +80,25 @@ def test_stemmed_bags_add_up_the_tokens_of_a_term(spark):
         ("a", [("run", 3)], 4, 2)]
 
 
+def test_articles_with_copies_travel_only(spark):
+    rows = [article("a", "red", "blue")] * 3 + [article("a", "red", "green"), article("b", "")]
+    found = bags.once_each(bags.token_store(articles(spark, rows)))
+    assert sorted((r["id"], r["length"]) for r in found.collect()) == [("a", 2), ("a", 2), ("b", 0)]
+    alone = bags.once_each(bags.token_store(articles(spark, rows[3:])))
+    assert "Exchange hashpartitioning" not in alone._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("is_small", [True, False])
+def test_postings_of_a_store(spark, is_small):
+    store = bags.token_store(articles(spark, [article("a", "red blue red"), article("b", "green"), article("c", "")]))
+    terms = spark.createDataFrame([("red",), ("green",), ("pink",)], "term string")
+    found = bags.store_postings(store, F.broadcast(terms) if is_small else terms, is_small, ["id", "length"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    assert "Exchange hashpartitioning" not in plan or not is_small
+    assert sorted(tuple(r) for r in found.collect()) == [("a", 3, "red", 2), ("b", 1, "green", 1)]
+
+
 def test_query_terms(spark):
     df = queries(spark, "Running the race, running", "of the")
     plain = {r["query_id"]: r for r in analysis.analysed_queries(df, stem=False).collect()}
