@@ -9,7 +9,8 @@ from builders import article, articles, queries
 from quillrank import Options, storage
 from quillrank.functions import titles
 from quillrank.functions.titles import is_near_duplicate
-from quillrank.operators import analysis, bags, pruning, selection
+from quillrank.operators import analysis, bags, pruning, scoring, selection
+from quillrank.plans.registry import QUERIES
 from quillrank.plans.retrieval import Corpus
 from quillrank.sources import files, tables
 from quillrank.storage import Scratch
@@ -137,3 +138,21 @@ def test_json_articles_decode_only_what_is_indexed(spark, tmp_path):
 def test_near_duplicates_need_no_cross_product(spark):
     df = spark.createDataFrame([("a", "b")], "a string, b string")
     assert "Python" not in plan_of(df.where(is_near_duplicate(F.col("a"), F.col("b"))))
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_all_hits_are_dealt_once_and_summed_without_shuffle(spark, corpora, monkeypatch, groups):
+    corpus = corpora[0]
+    monkeypatch.setattr(scoring, "WEIGHTS_A_TASK", 4 - groups)
+    hits = scoring.all_hits(bags.once_each(corpus.store), corpus.weights)
+    plan = plan_of(hits)
+    assert plan.count("REPARTITION_BY_NUM") == plan.count("Exchange hashpartitioning") == groups
+    assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    wanted = corpus.hits().select("query_id", "id", "score")
+    assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, wanted.collect())) and not wanted.isEmpty()
+
+
+def test_named_results_are_not_written(spark):
+    for name in ("postings", "term_corpus_frequency", "user_query_scores"):
+        plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert "explode" in plan  # a checkpoint would be an existing RDD
