@@ -84,11 +84,14 @@ def choose_zeros(
     queries = scratch.stored(choice.where(F.size("kept") < k).select("query_id"))
     pairs = scratch.stored(scored_pairs(corpus, held, queries))
     candidates, total = numbered(corpus.bags.select(*CANDIDATE, "copies"), CANDIDATE)
+    # Edit distances take long for the few bytes they read, and so few are read by few tasks.
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     short = True
     for zeros in zero_hits(candidates, total, pairs, queries, first, scratch):
         wanting = scratch.stored(selection.next_stretch(choice, k))
         choice, short = selection.choose(
-            wanting, lambda asked, zeros=zeros: zeros.join(asked, "query_id", "left_semi"), k, dedup, scratch, prefix
+            wanting, lambda asked, zeros=zeros: zeros.join(asked, "query_id", "left_semi").repartition(tasks),
+            k, dedup, scratch, prefix,
         )
         if not short:
             break

@@ -56,17 +56,21 @@ def bounded(postings: DataFrame, weights: DataFrame, floor: DataFrame) -> DataFr
     return marked.withColumn("rest", others).drop("best", "most", "reached")
 
 
-def pruned_hits(bag_rows: DataFrame, weights: DataFrame, count: int, scratch: Scratch) -> DataFrame:
-    """(query_id, CANDIDATE, copies, score, floor): for every query at least all hits that score its floor or more.
+def _pays(bag_rows: DataFrame, marked: DataFrame) -> bool:
+    """Whether essential terms first is less work than all terms at once.
 
-    ``floor`` is null for queries that have fewer than ``count`` hits in the sample: these have all of their hits. Others have
-    ``count`` hits at the floor or above. ``bag_rows`` are dealt by fingerprint, ``weights`` are of a size to be broadcast.
+    An article that has essential terms may have its whole bag read again for the others.
     """
-    floor = scratch.stored(floors(bag_rows, weights, count))
-    marked = scratch.stored(bounded(bags.postings(bag_rows, ["fingerprint", "length"]), weights, floor))
+    rows = marked.agg(F.sum(F.when(F.col("essential"), F.col("cf"))).alias("essential"), F.sum("cf").alias("all")).first()
+    bag = bag_rows.agg(F.avg(F.size("bag")).alias("size")).first()["size"] or 0
+    return (rows["essential"] or 0) * (1 + bag) < (rows["all"] or 0)
+
+
+def _completed_hits(bag_rows: DataFrame, marked: DataFrame) -> DataFrame:
+    """(query_id, fingerprint, score, floor): hits by their essential terms, completed for those that may reach the floor."""
     essential, others = (F.broadcast(marked.where(c)) for c in ("essential", "not essential"))
-    keys = [*bags.CANDIDATE, "copies", "query_id", "n_terms", "floor", "least", "rest"]
-    found = scoring.term_scores(bags.postings(bag_rows), essential)
+    keys = ["fingerprint", "length", "query_id", "n_terms", "floor", "least", "rest"]
+    found = scoring.term_scores(bags.postings(bag_rows, ["fingerprint", "length"]), essential)
     found = found.groupBy(*keys).agg(F.sum(F.col("qtf") * F.col("term_score")).alias("total"))
     worth = found.where(F.col("least").isNull() | (F.col("total") + F.col("rest") >= F.col("least")))
     # Articles meet their own bags again; both sides are dealt by fingerprint.
@@ -77,4 +81,25 @@ def pruned_hits(bag_rows: DataFrame, weights: DataFrame, count: int, scratch: Sc
     added = F.when(F.col("qtf").isNotNull(), F.col("qtf") * scoring.term_score()).otherwise(0.0)
     totals = completed.groupBy(*keys, "total").agg((F.col("total") + F.sum(added)).alias("sum"))
     score = (F.col("sum") / F.col("n_terms") + 0.0).alias("score")
-    return totals.select("query_id", *bags.CANDIDATE, "copies", score, "floor")
+    return totals.select("query_id", "fingerprint", score, "floor")
+
+
+def pruned_hits(bag_rows: DataFrame, weights: DataFrame, count: int, scratch: Scratch) -> DataFrame:
+    """(query_id, CANDIDATE, copies, score, floor): for every query at least all hits that score its floor or more.
+
+    ``floor`` is null for queries that have fewer than ``count`` hits in the sample: these have all of their hits. Others have
+    ``count`` hits at the floor or above. ``bag_rows`` are dealt by fingerprint, ``weights`` are of a size to be broadcast.
+    """
+    floor = scratch.stored(floors(bag_rows, weights, count))
+    marked = scratch.stored(bounded(bags.postings(bag_rows, ["fingerprint", "length"]), weights, floor))
+    if _pays(bag_rows, marked):
+        hits = _completed_hits(bag_rows, marked)
+    else:
+        keys = ["fingerprint", "length"]
+        hits = scoring.scored_hits(bags.postings(bag_rows, keys), weights, keys)
+        hits = hits.join(F.broadcast(floor), "query_id", "left").select("query_id", "fingerprint", "score", "floor")
+    # Titles can be as long as texts: until few hits are left, the fingerprint alone stands for an article.
+    hits = hits.where(F.col("floor").isNull() | (merit(F.col("score")) >= F.col("floor")))
+    return hits.join(bag_rows.select(*bags.CANDIDATE, "copies"), "fingerprint").select(
+        "query_id", *bags.CANDIDATE, "copies", "score", "floor"
+    )

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 
@@ -223,6 +224,28 @@ def test_pruning_scores_fewer_articles(spark, monkeypatch):
     assert sum(s >= floor for s in whole.values()) >= 5
 
 
+@pytest.mark.parametrize("pays", [True, False])
+def test_long_queries_are_scored_by_all_terms_at_once(spark, monkeypatch, pays):
+    completed = Counting(pruning._completed_hits)
+    monkeypatch.setattr(pruning, "_completed_hits", completed)
+    monkeypatch.setattr(pruning, "SAMPLE", 2)
+    rows = [article(f"a{i:03d}", "t" * (i % 7 + 1), "red " * (i % 3 + 1) + "blue " * (i % 5) + "green") for i in range(80)] + filler(200)
+    if pays:
+        monkeypatch.setattr(pruning, "_pays", lambda *_: True)
+    with Scratch(spark) as scratch:
+        corpus = retrieval.Corpus(queries(spark, "red blue green", "padding"), articles(spark, rows), PLAIN, scratch)
+        columns = ["query_id", "id", "title", "length", "fingerprint", "copies", "score"]
+        whole = {tuple(r[c] for c in columns) for r in corpus.hits().collect()}
+        plan_input = pruning.pruned_hits(corpus.bags, corpus.weights, 5, scratch)
+        hits = plan_input.collect()
+        aggregates = re.findall(r"HashAggregate\(keys=\[(.*?)\]", plan_input._jdf.queryExecution().executedPlan().toString())
+    assert completed.calls == pays and aggregates
+    assert not any("title" in keys for keys in aggregates)  # nothing is summed by title
+    floors = {r["query_id"]: r["floor"] for r in hits}
+    found = {tuple(r[c] for c in columns) for r in hits}
+    assert found == {r for r in whole if floors[r[0]] is None or r[-1] >= floors[r[0]]}
+
+
 WORDS = "red reds blue bluest green greens running runs alpha beta gamma the of 7 élan".split()
 
 
