@@ -2,12 +2,18 @@
 
 import json
 import os
-import sys
 from array import array
+from collections.abc import Iterator
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from quillrank.llm.worker import per_worker
 
-CACHE_PARTS = 700_000  # parts of texts, up to the next space, that a worker remembers per vocabulary
+KNOWN_PIECES = 300_000  # words and other pieces, with and without a space before, that a worker remembers of each
+TOGETHER_BYTES = 8 << 20  # of texts that are cut together, unless one text alone has more
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
@@ -44,84 +50,222 @@ class ByteEncoder:
     """Ids of a byte-level vocabulary, packed little-endian, for texts of any length.
 
     A text is cut before every space that a visible character follows: the library's own split
-    always cuts there, so the parts can be encoded apart, and each is looked up before it is
-    encoded. Texts with longer white space next to a space, or with a special token, go to the
-    library whole.
+    always cuts there, so the parts can be encoded apart. So can the lines of a part, and the marks after a word. Arrow
+    cuts many texts at a time and lays their ids; each distinct piece of theirs is looked up once, and words are encoded
+    many in a call. Texts with longer white space next to a space, or with a special token, go to the library whole.
     """
 
     def __init__(self, path: str, width: int):
         self._tokenizer = load_tokenizer(path)
         self._tokenize = self._tokenizer.model.tokenize
         self._letters = byte_letters()
-        self._space = chr(self._letters[0x20])
-        self._code = {2: "H", 4: "I"}[width]
+        self._dtype, self._width = f"<u{width}", width
         self._specials = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
-        self._spaced, self._bare = _Parts(self, " "), _Parts(self, "")
+        self._known = {" ": _Known(), "": _Known()}
+        self._between, self._between_id = self._separator()
+
+    def _separator(self) -> tuple[str, int | None]:
+        """A control character that no longer token holds, and its id: the model merges nothing across it."""
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=False)
+        joined = set().union(*(token for token in vocabulary if len(token) > 1))
+        for byte in range(32):
+            letter = chr(self._letters[byte])
+            if letter in vocabulary and letter not in joined:
+                return chr(byte), vocabulary[letter]
+        return "", None
 
     def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not any(map(text.__contains__, self._specials)):
-            first, *others = text.split(" ")
-            try:
-                return (self._bare[first] if first else b"") + b"".join(map(self._spaced.__getitem__, others))
-            except _White:
-                pass
-        return self.packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def packed(self, ids: list[int]) -> bytes:
-        numbers = array(self._code, ids)
-        if sys.byteorder == "big":
-            numbers.byteswap()
-        return numbers.tobytes()
-
-    def encoded(self, part: str, space: str) -> bytes:
-        """One part with the space before it, if any."""
-        if part.isalpha():
-            # One word of letters is one piece for the model.
-            if part.isascii():
-                piece = self._space + part if space else part
-            else:
-                piece = (space + part).encode().decode("latin-1").translate(self._letters)
-            return self.packed([token.id for token in self._tokenize(piece)])
-        known = self._spaced if space else self._bare
-        last = part[-1:]
-        if (last == "." or last == ",") and part[:-1].isalpha():
-            return known[part[:-1]] + self._bare[last]
-        left, line, right = part.partition("\n")
-        if line and left and not left[-1].isspace() and right and not right[0].isspace():
-            return known[left] + self._bare[line] + self._bare[right]
-        return self.packed(self._tokenizer.encode(space + part, add_special_tokens=False).ids)
-
-
-class _White(Exception):
-    """A space is followed by more white space, or by nothing."""
-
-
-class _Parts(dict):
-    """Packed ids by part; a missing one is encoded and remembered.
-
-    There are two generations: when the young one, the dictionary itself, holds half the limit it becomes the
-    old one, and what is used again moves up from there, so frequent parts stay. Long parts are encoded each time.
+        return self._together(pa.array([text], pa.string()))[0]
+
+    def batches(self, texts: pa.Array) -> Iterator[list[bytes]]:
+        """The packed ids of each text, in order, those of some texts at a time; null is empty."""
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+        start = 0
+        while start < len(texts):
+            room = TOGETHER_BYTES + (ends[start - 1] if start else 0)
+            stop = max(start + 1, int(np.searchsorted(ends, room, side="right")))
+            yield self._together(texts[start:stop])
+            start = stop
+
+    def _together(self, texts: pa.Array) -> list[bytes]:
+        texts = texts.cast(pa.large_string()).fill_null("")
+        whole = np.zeros(len(texts), dtype=bool)
+        for token in self._specials:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(pc.if_else(pa.array(whole), "", texts) if whole.any() else texts, " ")
+        offsets, coded = cut.offsets.to_numpy(), cut.values.dictionary_encode()
+        del cut
+        parts, codes = coded.dictionary, coded.indices.to_numpy()
+
+        # No space is before the first part of a text; each other one must begin with a visible character.
+        starts = offsets[:-1]
+        follows = np.ones(len(codes), dtype=bool)
+        follows[starts] = False
+        white = _white(parts)
+        whole[np.searchsorted(offsets, np.flatnonzero(white[codes] & follows), side="right") - 1] = True
+        asked = np.zeros(len(parts), dtype=bool)
+        asked[codes[follows]] = True
+        asked = np.flatnonzero(asked & ~white)
+        place = np.zeros(len(parts), dtype=np.int64)
+        place[asked] = np.arange(len(asked))
+        places = place[codes]
+        places[starts] = len(asked) + np.arange(len(starts))
+        del white, follows, place
+        ids = self._parts(parts.take(pa.array(np.concatenate((asked, codes[starts])))), len(asked)).take(pa.array(places))
+        _, ends, data = ids.buffers()
+        edges = np.frombuffer(ends, dtype=np.int64)[offsets].tolist()
+        data = memoryview(data or b"")
+        return [
+            self._by_library(texts[at].as_py()) if alone else bytes(data[a:b])
+            for at, (alone, (a, b)) in enumerate(zip(whole.tolist(), pairwise(edges), strict=True))
+        ]
+
+    def _parts(self, parts: pa.Array, spaced: int) -> pa.Array:
+        """The ids of each part; a space stands before so many of the first."""
+        cut = pc.split_pattern(parts, "\n")
+        starts, lines = cut.offsets.to_numpy(), cut.values
+        part_of = np.repeat(np.arange(len(parts)), np.diff(starts))
+        first = np.zeros(len(lines), dtype=bool)
+        first[starts[:-1]] = True
+
+        # A line is a word with marks or without, or else a piece of its own.
+        words = pc.ascii_rtrim(lines, characters=_MARKS)
+        n_marks = (pc.binary_length(lines).to_numpy() - pc.binary_length(words).to_numpy()).astype(np.int64)
+        coded = words.dictionary_encode()
+        pieces, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        odd = ~np.fromiter(map(str.isalpha, pieces), bool, len(pieces))[codes]
+        coded = lines.filter(pa.array(odd)).dictionary_encode()
+        codes[odd] = len(pieces) + coded.indices.to_numpy()
+        n_marks[odd] = 0
+        others = coded.dictionary.to_pylist()
+        pieces += others
+        del words, coded
+
+        # A part with empty lines, or with white space next to a line end, is one piece.
+        edged = np.zeros(len(pieces), dtype=bool)
+        edged[len(pieces) - len(others) :] = [not o or o[0].isspace() or o[-1].isspace() for o in others]
+        uncut = np.zeros(len(parts), dtype=bool)
+        uncut[part_of[edged[codes]]] = True
+        uncut = np.flatnonzero(uncut & (np.diff(starts) > 1))
+        left_out = np.zeros(len(parts), dtype=bool)
+        left_out[uncut] = True
+        left_out = left_out[part_of]
+        n_marks[left_out] = 0
+        codes[starts[uncut]] = len(pieces) + np.arange(len(uncut))
+        pieces += parts.take(pa.array(uncut)).to_pylist()
+
+        ids = [b"", *self._pieces(["\n"], "")]
+        laid = np.zeros((len(lines), 3), dtype=np.int64)  # line end, word, marks
+        laid[~first & ~left_out, 0] = 1
+        begins = first & (part_of < spaced)
+        for space, now in ((" ", begins), ("", ~begins & (first | ~left_out))):
+            asked = np.zeros(len(pieces), dtype=bool)
+            asked[codes[now]] = True
+            asked = np.flatnonzero(asked)
+            place = np.zeros(len(pieces), dtype=np.int64)
+            place[asked] = len(ids) + np.arange(len(asked))
+            laid[now, 1] = place[codes[now]]
+            ids += self._pieces([pieces[code] for code in asked.tolist()], space)
+        marked = np.flatnonzero(n_marks)
+        coded = _ends(lines.take(pa.array(marked)), n_marks[marked]).dictionary_encode()
+        laid[marked, 2] = len(ids) + coded.indices.to_numpy()
+        ids += self._pieces(coded.dictionary.to_pylist(), "")
+
+        joined = pa.array(ids, pa.large_binary()).take(pa.array(laid.ravel()))
+        _, ends, data = joined.buffers()
+        ends = np.ascontiguousarray(np.frombuffer(ends, dtype=np.int64)[: 3 * len(lines) + 1][3 * starts])
+        return pa.Array.from_buffers(joined.type, len(parts), [None, pa.py_buffer(ends), data or pa.py_buffer(b"")])
+
+    def _pieces(self, pieces: list[str], space: str) -> list[bytes]:
+        """The ids of distinct pieces, with the space before each, if any; short ones are remembered."""
+        known = self._known[space]
+        ids = known.get_all(pieces)
+        missing = [at for at, found in enumerate(ids) if found is None]
+        words = [at for at in missing if pieces[at].isalpha()]
+        for at, found in zip(words, self._words([pieces[at] for at in words], space), strict=True):
+            ids[at] = found
+        for at in missing:
+            if ids[at] is None:
+                ids[at] = self._by_library(space + pieces[at])
+            known.add(pieces[at], ids[at])
+        return ids
+
+    def _by_library(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype=self._dtype).tobytes()
+
+    def _words(self, words: list[str], space: str) -> Iterator[bytes]:
+        """Each word of letters is one piece for the model; it gets many in a row."""
+        if self._between_id is None:
+            yield from (self._by_library(space + word) for word in words)
+            return
+        ids = array("I")
+        for at in range(0, len(words), 64):
+            row = space + (self._between + space).join(words[at : at + 64]) + self._between
+            row = row.encode().decode("latin-1").translate(self._letters)
+            ids.extend([token.id for token in self._tokenize(row)])
+        ids = np.frombuffer(ids, dtype=np.uintc)
+        ends = (np.flatnonzero(ids == self._between_id) * self._width).tolist()
+        packed = ids.astype(self._dtype).tobytes()
+        yield from (packed[a + self._width : b] for a, b in pairwise([-self._width, *ends]))
+
+
+_MARKS = "!#$%&()*+,-./:;=?@[]^_{}~"  # after a word they are one piece; what follows an apostrophe may not be
+
+
+def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where the texts begin and end, and their bytes."""
+    _, ends, data = texts.buffers()
+    return (
+        np.frombuffer(ends, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1],
+        np.frombuffer(data or b"", dtype=np.uint8),
+    )
+
+
+def _white(parts: pa.Array) -> np.ndarray:
+    """Which parts are empty or begin with white space."""
+    edges, data = _flat(parts)
+    white = np.diff(edges) == 0
+    some = np.flatnonzero(~white)
+    lead = data[edges[some]]
+    some = some[(lead <= 0x20) | np.isin(lead, (0xC2, 0xE1, 0xE2, 0xE3))]  # bytes that white space begins with
+    white[some] = [part[0].isspace() for part in parts.take(pa.array(some)).to_pylist()]
+    return white
+
+
+def _ends(texts: pa.Array, lengths: np.ndarray) -> pa.Array:
+    """The last bytes of each text, as many as ``lengths`` says."""
+    edges, data = _flat(texts)
+    own = np.concatenate(([0], np.cumsum(lengths)))
+    at = np.repeat(edges[1:] - own[1:], lengths) + np.arange(own[-1])
+    return pa.Array.from_buffers(texts.type, len(texts), [None, pa.py_buffer(own), pa.py_buffer(data[at])])
+
+
+class _Known:
+    """Packed ids by piece, as many as KNOWN_PIECES.
+
+    There are two generations: when the young one is half of that, it becomes the old one, and what is asked for again moves
+    up from there, so frequent pieces stay. Long pieces are not remembered.
     """
 
-    def __init__(self, encoder: ByteEncoder, space: str):
-        super().__init__()
-        self._encoded, self._space = encoder.encoded, space
+    def __init__(self):
+        self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
-    def __missing__(self, part: str) -> bytes:
-        ids = self._old.get(part)
-        if ids is None:
-            if self._space and (not part or part[0].isspace()):
-                raise _White
-            ids = self._encoded(part, self._space)
-        if len(part) < 64:
-            if len(self) >= CACHE_PARTS // 2:
-                self._old = dict(self)
-                self.clear()
-            self[part] = ids
-        return ids
+    def get_all(self, pieces: list[str]) -> list[bytes | None]:
+        found = list(map(self._young.get, pieces))
+        if self._old:
+            old = self._old
+            for at, ids in enumerate(found):
+                if ids is None and (ids := old.get(pieces[at])) is not None:
+                    found[at] = ids
+                    self.add(pieces[at], ids)
+        return found
+
+    def add(self, piece: str, ids: bytes) -> None:
+        if len(piece) < 64:
+            if len(self._young) >= KNOWN_PIECES // 2:
+                self._old, self._young = self._young, {}
+            self._young[piece] = ids
 
 
 def byte_encoder(name: str, width: int) -> ByteEncoder:

@@ -20,12 +20,14 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillrank.llm.encoding import BYTE_BPE, byte_encoder
 from quillrank.llm.ids import id_or_mark, id_or_null
+from quillrank.llm.worker import give_back, keep_only
 
 SLICE_IDS = 4 << 20  # ids after which a file ends, at the next end of a document
 _DOCS_A_ROW = 20_000
@@ -53,32 +55,37 @@ def write_tokens(
     numbered = documents.select(id_or_mark("doc_id"), "text")
     ordered = numbered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
-    def slices(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = byte_encoder(vocabulary, width)
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("encoder", "tokenizer")
+        encoder = byte_encoder(vocabulary, width)
         end = end_id.to_bytes(width, "little")
         part, number = TaskContext.get().partitionId(), 0
         ids, lengths, docs, held = [], [], [], 0
 
-        def flushed() -> pd.DataFrame:
+        def flushed() -> pa.RecordBatch:
             offsets = np.concatenate(([0], np.cumsum(lengths))).astype("<i8")
             files = {"ids": b"".join(ids), "offsets": offsets.tobytes(), "docs": np.array([*docs, 0], dtype="<i8").tobytes()}
             name = f"p{part:07d}n{number:06d}"
-            return pd.DataFrame([(kind, name, content[:-1]) for kind, content in files.items()], columns=["kind", "slice", "content"])
-
-        for frame in frames:
-            for doc, text in zip(frame["doc_id"], frame["text"], strict=True):
-                tokens = encode(text) + end
-                ids.append(tokens)
-                lengths.append(len(tokens) // width)
-                docs.append(doc)
-                held += lengths[-1]
-                if held >= slice_ids:
-                    yield flushed()
-                    ids, lengths, docs, held, number = [], [], [], 0, number + 1
+            return pa.RecordBatch.from_pylist([{"kind": kind, "slice": name, "content": content[:-1]} for kind, content in files.items()])
+
+        for batch in batches:
+            doc_ids = iter(batch["doc_id"].to_pylist())
+            for encoded in encoder.batches(batch["text"]):
+                for tokens in encoded:
+                    tokens += end
+                    ids.append(tokens)
+                    lengths.append(len(tokens) // width)
+                    docs.append(next(doc_ids))
+                    held += lengths[-1]
+                    if held >= slice_ids:
+                        yield flushed()
+                        ids, lengths, docs, held, number = [], [], [], 0, number + 1
         if docs:
             yield flushed()
+        del ids, docs, lengths
+        give_back()
 
-    files = ordered.mapInPandas(slices, "kind string, slice string, content binary")
+    files = ordered.mapInArrow(slices, "kind string, slice string, content binary")
     (
         files.select("kind", "slice", F.col("content").cast("string").alias("value"))
         .write.partitionBy("kind", "slice")

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_rows import ALPHABET, documents, read_rows
 from tokenizers import Tokenizer
@@ -49,6 +50,32 @@ def test_byte_encoder_keeps_one_model(byte_library, monkeypatch):
         assert np.frombuffer(encode(text), dtype="<u2").tolist() == ids_of(byte_library, text), repr(text)
 
 
+def test_texts_encoded_together_equal_the_library(byte_library, monkeypatch):
+    monkeypatch.setattr(encoding, "TOGETHER_BYTES", 3000)
+    monkeypatch.setattr(encoding, "KNOWN_PIECES", 40)  # pieces are forgotten and learned again
+    encoder = encoding.ByteEncoder(vocabulary_path(BYTE_BPE), 2)
+    marks = ["word.", "word###", "word'", "it's,", "(784)", "a.\nb", "a\n\nb", "a \nb", "a\n b", "a\tb", "\n", "", None, "x" * 5000]
+    texts = [*random_texts(3, 4000), *marks, *(f"one {mark or ''} two" for mark in marks)]
+    together = list(encoder.batches(pa.array(texts)))
+    assert 3 < len(together) < 100
+    got = [np.frombuffer(ids, dtype="<u2").tolist() for some in together for ids in some]
+    assert got == [ids_of(byte_library, text) for text in texts]
+
+
+def test_many_lines_without_spaces(byte_library):
+    text = "漢字。\n" * 3000 + "end"
+    assert np.frombuffer(byte_encoder(BYTE_BPE, 2)(text), dtype="<u2").tolist() == ids_of(byte_library, text)
+
+
+def test_words_reach_the_model_many_in_a_call(byte_library):
+    encoder, calls, by_model = encoding.ByteEncoder(vocabulary_path(BYTE_BPE), 2), [], encoding.load_tokenizer(vocabulary_path(BYTE_BPE)).model.tokenize
+    encoder._tokenize = lambda piece: calls.append(piece) or by_model(piece)
+    letters = random.Random(4)
+    text = " ".join("".join(letters.choices("abcdeéß", k=12)) + letters.choice(["", ".", "!!", "\nnext"]) for _ in range(2000))
+    assert np.frombuffer(encoder(text), dtype="<u2").tolist() == ids_of(byte_library, text)
+    assert len(calls) < 100
+
+
 def test_forced_boundaries_equal_the_library(word_library):
     encoder = forcedbpe.encoder()
     for text in random_texts(2, 4000):
