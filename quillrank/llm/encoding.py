@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from quillrank.llm.worker import per_worker
 
 KNOWN_PIECES = 300_000  # words and other pieces, with and without a space before, that a worker remembers of each
-TOGETHER_BYTES = 8 << 20  # of texts that are cut together, unless one text alone has more
+TOGETHER_BYTES = 12 << 20  # of texts that are cut together, unless one text alone has more
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
@@ -132,12 +132,12 @@ class ByteEncoder:
         words = pc.ascii_rtrim(lines, characters=_MARKS)
         n_marks = (pc.binary_length(lines).to_numpy() - pc.binary_length(words).to_numpy()).astype(np.int64)
         coded = words.dictionary_encode()
-        pieces, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        pieces, codes = _strings(coded.dictionary), coded.indices.to_numpy().astype(np.int64)
         odd = ~np.fromiter(map(str.isalpha, pieces), bool, len(pieces))[codes]
         coded = lines.filter(pa.array(odd)).dictionary_encode()
         codes[odd] = len(pieces) + coded.indices.to_numpy()
         n_marks[odd] = 0
-        others = coded.dictionary.to_pylist()
+        others = _strings(coded.dictionary)
         pieces += others
         del words, coded
 
@@ -152,7 +152,7 @@ class ByteEncoder:
         left_out = left_out[part_of]
         n_marks[left_out] = 0
         codes[starts[uncut]] = len(pieces) + np.arange(len(uncut))
-        pieces += parts.take(pa.array(uncut)).to_pylist()
+        pieces += _strings(parts.take(pa.array(uncut)))
 
         ids = [b"", *self._pieces(["\n"], "")]
         laid = np.zeros((len(lines), 3), dtype=np.int64)  # line end, word, marks
@@ -169,7 +169,7 @@ class ByteEncoder:
         marked = np.flatnonzero(n_marks)
         coded = _ends(lines.take(pa.array(marked)), n_marks[marked]).dictionary_encode()
         laid[marked, 2] = len(ids) + coded.indices.to_numpy()
-        ids += self._pieces(coded.dictionary.to_pylist(), "")
+        ids += self._pieces(_strings(coded.dictionary), "")
 
         joined = pa.array(ids, pa.large_binary()).take(pa.array(laid.ravel()))
         _, ends, data = joined.buffers()
@@ -177,27 +177,27 @@ class ByteEncoder:
         return pa.Array.from_buffers(joined.type, len(parts), [None, pa.py_buffer(ends), data or pa.py_buffer(b"")])
 
     def _pieces(self, pieces: list[str], space: str) -> list[bytes]:
-        """The ids of distinct pieces, with the space before each, if any; short ones are remembered."""
+        """The ids of distinct pieces, with the space before each, if any."""
         known = self._known[space]
         ids = known.get_all(pieces)
         missing = [at for at, found in enumerate(ids) if found is None]
         words = [at for at in missing if pieces[at].isalpha()]
         for at, found in zip(words, self._words([pieces[at] for at in words], space), strict=True):
             ids[at] = found
-        for at in missing:
-            if ids[at] is None:
-                ids[at] = self._by_library(space + pieces[at])
-            known.add(pieces[at], ids[at])
+        if len(words) < len(missing):
+            for at in missing:
+                if ids[at] is None:
+                    ids[at] = self._by_library(space + pieces[at])
+        known.add({pieces[at]: ids[at] for at in missing if len(pieces[at]) < 64})
         return ids
 
     def _by_library(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype=self._dtype).tobytes()
 
-    def _words(self, words: list[str], space: str) -> Iterator[bytes]:
+    def _words(self, words: list[str], space: str) -> list[bytes]:
         """Each word of letters is one piece for the model; it gets many in a row."""
         if self._between_id is None:
-            yield from (self._by_library(space + word) for word in words)
-            return
+            return [self._by_library(space + word) for word in words]
         ids = array("I")
         for at in range(0, len(words), 64):
             row = space + (self._between + space).join(words[at : at + 64]) + self._between
@@ -206,12 +206,17 @@ class ByteEncoder:
         ids = np.frombuffer(ids, dtype=np.uintc)
         ends = (np.flatnonzero(ids == self._between_id) * self._width).tolist()
         packed = ids.astype(self._dtype).tobytes()
-        yield from (packed[a + self._width : b] for a, b in pairwise([-self._width, *ends]))
+        return [packed[a + self._width : b] for a, b in pairwise([-self._width, *ends])]
 
 
 _MARKS = "!#$%&()*+,-./:;=?@[]^_{}~"  # after a word they are one piece; what follows an apostrophe may not be
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    """The same as ``to_pylist``, without an object of Arrow's for each text."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Where the texts begin and end, and their bytes."""
     _, ends, data = texts.buffers()
@@ -228,7 +233,7 @@ def _white(parts: pa.Array) -> np.ndarray:
     some = np.flatnonzero(~white)
     lead = data[edges[some]]
     some = some[(lead <= 0x20) | np.isin(lead, (0xC2, 0xE1, 0xE2, 0xE3))]  # bytes that white space begins with
-    white[some] = [part[0].isspace() for part in parts.take(pa.array(some)).to_pylist()]
+    white[some] = [part[0].isspace() for part in _strings(parts.take(pa.array(some)))]
     return white
 
 
@@ -241,7 +246,7 @@ def _ends(texts: pa.Array, lengths: np.ndarray) -> pa.Array:
 
 
 class _Known:
-    """Packed ids by piece, as many as KNOWN_PIECES.
+    """Packed ids by piece, for about KNOWN_PIECES of them.
 
     There are two generations: when the young one is half of that, it becomes the old one, and what is asked for again moves
     up from there, so frequent pieces stay. Long pieces are not remembered.
@@ -254,18 +259,17 @@ class _Known:
     def get_all(self, pieces: list[str]) -> list[bytes | None]:
         found = list(map(self._young.get, pieces))
         if self._old:
-            old = self._old
-            for at, ids in enumerate(found):
-                if ids is None and (ids := old.get(pieces[at])) is not None:
-                    found[at] = ids
-                    self.add(pieces[at], ids)
+            old, again = self._old.get, {}
+            for at in [at for at, ids in enumerate(found) if ids is None]:
+                if (ids := old(pieces[at])) is not None:
+                    found[at] = again[pieces[at]] = ids
+            self.add(again)
         return found
 
-    def add(self, piece: str, ids: bytes) -> None:
-        if len(piece) < 64:
-            if len(self._young) >= KNOWN_PIECES // 2:
-                self._old, self._young = self._young, {}
-            self._young[piece] = ids
+    def add(self, new: dict[str, bytes]) -> None:
+        if len(self._young) >= KNOWN_PIECES // 2:
+            self._old, self._young = self._young, {}
+        self._young.update(new)
 
 
 def byte_encoder(name: str, width: int) -> ByteEncoder:

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,32 +46,37 @@ def _tokenized(documents: DataFrame, end_id: int, vocabulary: str) -> DataFrame:
     The key is the rarest token of a document: of the highest id, because a vocabulary merges frequent ones first.
     """
 
-    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([("key", pa.int32()), ("doc_id", pa.int64()), ("ids", pa.binary()), ("df", pa.list_(pa.int64()))])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_only("encoder", "tokenizer")
-        encode = byte_encoder(vocabulary, _WIDTH)
+        encoder = byte_encoder(vocabulary, _WIDTH)
         end = end_id.to_bytes(_WIDTH, "little")
         frequency = np.zeros(_IDS, dtype=np.int64)
         documents = total = 0
-        for frame in frames:
-            texts, doc_ids = frame["text"].tolist(), frame["doc_id"].tolist()
-            del frame  # before the next one is read
-            for at in range(0, len(texts), SHARD_DOCS):
-                packed = [ids + end for ids in map(encode, texts[at : at + SHARD_DOCS])]
-                some = [np.frombuffer(ids, dtype=_DTYPE) for ids in packed]
-                of, terms, _ = _entries(some)
-                frequency += np.bincount(terms, minlength=_IDS)
-                total += sum(map(len, some))
-                keys = terms[np.flatnonzero(np.diff(of, append=len(some)))]
-                yield pd.DataFrame({"key": keys, "doc_id": doc_ids[at : at + SHARD_DOCS], "ids": packed, "df": None})
-                del packed, some
-            documents += len(texts)
-            del texts
+        for batch in batches:
+            doc_ids, row = batch["doc_id"], 0
+            for encoded in encoder.batches(batch["text"]):
+                for at in range(0, len(encoded), SHARD_DOCS):
+                    packed = [ids + end for ids in encoded[at : at + SHARD_DOCS]]
+                    some = [np.frombuffer(ids, dtype=_DTYPE) for ids in packed]
+                    of, terms, _ = _entries(some)
+                    frequency += np.bincount(terms, minlength=_IDS)
+                    total += sum(map(len, some))
+                    keys = terms[np.flatnonzero(np.diff(of, append=len(some)))].astype(np.int32)
+                    columns = [keys, doc_ids.slice(row, len(packed)), packed, [None] * len(packed)]
+                    row += len(packed)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+                    del packed, some, columns
+                del encoded
+            documents += row
+            del batch, doc_ids
         if documents:
-            counts = np.concatenate((frequency, [documents, total]))
-            yield pd.DataFrame({"key": [-1], "doc_id": [0], "ids": [None], "df": [counts]})
+            counts = [*frequency.tolist(), documents, total]
+            yield pa.RecordBatch.from_pylist([{"key": -1, "doc_id": 0, "ids": None, "df": counts}], schema)
         give_back()
 
-    return documents.select(id_or_mark("doc_id"), "text").mapInPandas(
+    return documents.select(id_or_mark("doc_id"), "text").mapInArrow(
         rows, "key int, doc_id bigint, ids binary, df array<bigint>"
     )
 
@@ -97,9 +103,10 @@ class Shard:
         norm = K1 * (1 - B + B * lengths / mean_length)
         weights = (idf[terms] * tf * (K1 + 1) / (tf + norm[docs])).astype(np.float32)
         self._starts = np.concatenate(([0], np.cumsum(sizes)))
-        self._terms, self._weights = terms, weights
+        self._terms, self._weights = terms, weights.astype(np.float64)  # products and sums need no casts then
         self.unused = np.ones(len(documents), dtype=bool)
         self._next = 0
+        self._asked = np.zeros(_IDS)
         self._narrow()
 
     def _narrow(self) -> None:
@@ -109,6 +116,7 @@ class Shard:
         kept = np.repeat(self.unused, sizes)
         self._searched_terms, self._searched_weights = self._terms[kept].astype(np.intp), self._weights[kept]
         self._searched_starts = np.concatenate(([0], np.cumsum(sizes[self._searched])))[:-1]
+        self._parts = np.empty(len(self._searched_terms))
 
     def take(self, document: int) -> int:
         self.unused[document] = False
@@ -129,11 +137,12 @@ class Shard:
             self._narrow()
         if not len(self._searched):
             return []
-        asked = np.zeros(_IDS, dtype=np.float32)
-        asked[self._terms[self._starts[seed] : self._starts[seed + 1]]] = 1
-        parts = asked[self._searched_terms]
-        parts *= self._searched_weights
-        scores = np.add.reduceat(parts, self._searched_starts, dtype=np.float64)
+        terms = self._terms[self._starts[seed] : self._starts[seed + 1]]
+        self._asked[terms] = 1
+        self._asked.take(self._searched_terms, out=self._parts, mode="clip")  # in place; every term is in range
+        self._asked[terms] = 0
+        self._parts *= self._searched_weights
+        scores = np.add.reduceat(self._parts, self._searched_starts)
         found = np.flatnonzero((scores > 0) & self.unused[self._searched])
         return self._searched[found[np.argsort(-scores[found], kind="stable")]].tolist()
 
