@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from quillrank.llm import exactdedup, oddsketch, packing, pii, quality
 from quillrank.sources.tables import read_table
-from quillrank.storage import Scratch, broadcast_if_small, checkpointed
+from quillrank.storage import Scratch, broadcast_if_small, checkpointed, short_batches
+
+BATCH_ROWS = 1000  # texts that the last two stages send to a worker at a time
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -37,13 +39,13 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def with_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets exchanged for surrogates."""
-    with Scratch(spark) as scratch:
+    with Scratch(spark) as scratch, short_batches(spark, BATCH_ROWS):
         return checkpointed(pii.with_surrogates(docs, scratch).select(*docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2,048 ids."""
-    with Scratch(spark) as scratch:
+    with Scratch(spark) as scratch, short_batches(spark, BATCH_ROWS):
         return checkpointed(packing.pack(docs, scratch, end_id=1))
 
 

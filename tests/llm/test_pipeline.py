@@ -7,7 +7,7 @@ from test_pii import SECRET
 
 import corpus_pipeline
 from quillrank.llm import quality
-from quillrank.storage import Scratch
+from quillrank.storage import Scratch, checkpointed
 
 SF = "/root/testdata/sf0.01"
 
@@ -80,3 +80,14 @@ def test_stages_bear_odd_rows(spark, odd_documents, no_documents, monkeypatch):
                 if stage is not corpus_pipeline.packed:
                     assert docs.columns == columns
             assert docs.isEmpty() == (columns == no_documents.columns and docs.count() == 0)
+
+
+def test_last_stages_send_short_batches(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, sent = spark.conf.get(name), []
+    monkeypatch.setattr(corpus_pipeline, "BATCH_ROWS", 7)
+    monkeypatch.setattr(corpus_pipeline, "checkpointed", lambda df: sent.append(spark.conf.get(name)) or checkpointed(df))
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id bigint, text string")
+    assert corpus_pipeline.with_surrogates(spark, docs, SF).count() == 20
+    assert corpus_pipeline.packed(spark, docs, SF).select("doc_id").distinct().count() == 20
+    assert sent == ["7", "7"] and spark.conf.get(name) == before
