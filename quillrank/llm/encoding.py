@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from quillrank.llm.worker import per_worker
 
 KNOWN_PIECES = 300_000  # words and other pieces, with and without a space before, that a worker remembers of each
-TOGETHER_BYTES = 12 << 20  # of texts that are cut together, unless one text alone has more
+TOGETHER_BYTES = 4 << 20  # of texts that are cut together, unless one text alone has more
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 

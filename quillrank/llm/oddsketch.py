@@ -112,6 +112,8 @@ def _whole_texts(documents: DataFrame, ids: DataFrame, keys: DataFrame) -> DataF
             del texts
         give_back()
 
+    # Else the planner asks for keys that are not null before the first join: of every document, by a second worker in each task.
+    named = named.asNondeterministic()
     rows = documents.select("doc_id", "text").join(needed, "doc_id", "left_semi")
     texts = rows.select(named("text").alias("key"), "text").join(keys, "key", "left_semi")
     return texts.groupBy("key").agg(F.min("text").alias("text"))

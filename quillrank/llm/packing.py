@@ -225,6 +225,7 @@ def pack(
     shared = documents.sparkSession.sparkContext.broadcast(idf)
 
     def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_only()
         packer = _Packer(window, TaskContext.get().partitionId() << 33)
         held: list[tuple[int, bytes]] = []
         size = 0
@@ -258,7 +259,11 @@ def pack(
                 if len(held) >= SHARD_DOCS or size >= SHARD_IDS:
                     rows, held, size = shard_rows(), [], 0
                     yield from shown(rows)
+                    del rows
+            del frame  # before the next one is read
         yield from shown((shard_rows() if held else []) + packer.rest())
+        held = []
+        give_back()
 
     ordered = (
         tokenized.where("ids is not null").select("key", "doc_id", "ids")

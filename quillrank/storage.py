@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,22 @@ def kept(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs inside sends Python at most so many rows in a batch; the session's own setting is back afterwards.
+
+    A batch of texts is held by the JVM, outside its heap, and by the worker at the same time.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def broadcast_if_small(df: DataFrame, width: Column, max_rows: int, max_bytes: int) -> DataFrame:
     """Hint a broadcast when ``df`` holds at most ``max_rows`` rows and ``max_bytes`` bytes.
 

@@ -12,7 +12,7 @@ from quillrank.llm import exactdedup, oddsketch
 from quillrank.llm.cuckoo import CuckooIndex
 from quillrank.llm.graph import components
 from quillrank.llm.queries import LLM_QUERIES
-from quillrank.llm.words import SEGMENT, segments, shingles, word_hashes
+from quillrank.llm.words import SEGMENT, segments, set_key, shingles, word_hashes
 
 SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -196,6 +196,14 @@ def test_near_groups_of_odd_rows(scratch, odd_documents, no_documents):
     assert oddsketch.near_groups(no_documents, scratch, 80).isEmpty()
 
 
+def test_texts_of_keys_pass_one_python_worker(spark, odd_documents):
+    keys = spark.createDataFrame([(bytearray(set_key(shingles("one two"))),)], "key binary")
+    ids = spark.createDataFrame([(7,), (8,), (10,)], "doc_id bigint")
+    texts = oddsketch._whole_texts(odd_documents, ids, keys)
+    assert texts._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
+    assert [r.text for r in texts.collect()] == ["ONE  two"]
+
+
 def test_sketches_of_linked_sets_pass(monkeypatch):
     rng = np.random.default_rng(4)
     for size in (20, 200, 2000):
