@@ -152,6 +152,28 @@ def test_all_hits_are_dealt_once_and_summed_without_shuffle(spark, corpora, monk
     assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, wanted.collect())) and not wanted.isEmpty()
 
 
+def test_all_hits_keep_the_driver_small(spark, corpora, monkeypatch):
+    for name, value in (("ROWS_A_TASK", 1), ("WEIGHTS_A_TASK", 1), ("MOST_TASKS", 9)):
+        monkeypatch.setattr(scoring, name, value, raising=False)
+    corpus = corpora[0]
+    hits = scoring.all_hits(bags.once_each(corpus.store), corpus.weights)
+    plan = plan_of(hits)
+    assert sum(map(int, re.findall(r"hashpartitioning\([^()]*, (\d+)\), REPARTITION_BY_NUM", plan))) <= 9
+    wanted = corpus.hits().select("query_id", "id", "score")
+    assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, wanted.collect()))
+    # Queries of a term travel in one row.
+    index = scoring._term_index(corpus.weights, 1)
+    assert sorted((r["term"], sorted(r["query_id"])) for r in index.collect()) == [("blue", [2]), ("red", [1, 2])]
+
+
+def test_tasks_of_all_hits_follow_the_sums():
+    million = 1_000_000
+    assert scoring.tasks_of_all_hits(12, 1, 10, 10, 50) == 12
+    assert scoring.tasks_of_all_hits(12, 1, million, 20, 100 * million) == 12  # 20 million sums, not 100
+    assert scoring.tasks_of_all_hits(12, 2, million, 200, 1000 * million) == 50  # 200 million sums in two groups
+    assert scoring.tasks_of_all_hits(100, 7, million, million, million**2) * 7 <= scoring.MOST_TASKS
+
+
 def test_named_results_are_not_written(spark):
     for name in ("postings", "term_corpus_frequency", "user_query_scores"):
         plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
