@@ -113,6 +113,26 @@ def once_each(store: DataFrame) -> DataFrame:
     return rows.join(copied, "fingerprint", "left_anti").union(one_of_copies)
 
 
+def counted_once(store: DataFrame) -> DataFrame:
+    """(CANDIDATE, copies, entries): the articles of a token store, equal ones as one row with their count."""
+    copied = checkpointed(store.groupBy("fingerprint").agg(F.count("*").alias("copies")).where("copies > 1"))
+    rows = store.select(*CANDIDATE, "entries")
+    if copied.isEmpty():
+        return rows.select(*CANDIDATE, F.lit(1).cast("bigint").alias("copies"), "entries")
+    copied = broadcast_if_small(copied, F.lit(_COPIED_WIDTH), _COPIED_ROWS, _COPIED_BYTES)
+    single = rows.join(copied, "fingerprint", "left_anti").withColumn("copies", F.lit(1).cast("bigint"))
+    columns = [*CANDIDATE, "copies", "entries"]
+    return single.select(columns).union(rows.join(copied, "fingerprint").dropDuplicates(["fingerprint"]).select(columns))
+
+
+def store_frequencies(store: DataFrame, token_terms: DataFrame) -> DataFrame:
+    """(term, cf): occurrences of each term in a token store. ``token_terms`` (token, term) comes hinted to be broadcast."""
+    rows = store.select(F.explode("entries").alias("entry")).select(
+        F.col("entry.token").alias("token"), F.col("entry.tf").cast("bigint").alias("tf")
+    )
+    return rows.join(token_terms, "token").groupBy("term").agg(F.sum("tf").alias("cf"))
+
+
 def store_postings(store: DataFrame, terms: DataFrame, is_small: bool, keys: list[str]) -> DataFrame:
     """(keys, term, tf): a row for each of ``terms`` (term) in each row of a token store; tokens are their own terms here.
 

@@ -95,6 +95,18 @@ def best_hits(hits: DataFrame, count: int) -> DataFrame:
     return best.withColumn("whole", F.col("floor").isNull() & (held < count)).drop("floor")
 
 
+def _in_order(prefix: Column, k: int, dedup: bool) -> Column:
+    """``prefix`` as hits to keep, as often as copies of it may be kept."""
+    def copies_of(hit: Column) -> Column:
+        # A copy with a title is a near duplicate of the first one, whether that was kept or not.
+        useful = F.least(hit["copies"], F.lit(k)).cast("int")
+        repeats = F.when(hit["title"] == "", useful).otherwise(1) if dedup else useful
+        return F.array_repeat(F.struct(hit["id"], hit["title"], hit["score"], hit["profile"]), repeats)
+
+    walked = F.flatten(F.transform(prefix, copies_of)).cast(_KEPT)
+    return F.coalesce(walked, F.array().cast(_KEPT))
+
+
 def _fold(kept: Column, prefix: Column, k: int, dedup: bool) -> Column:
     """``kept`` after walking down ``prefix``."""
 
@@ -104,14 +116,7 @@ def _fold(kept: Column, prefix: Column, k: int, dedup: bool) -> Column:
             wanted = wanted & ~_near_a_kept(so_far, hit["title"], hit["profile"])
         return F.when(wanted, F.concat(so_far, F.array(hit))).otherwise(so_far)
 
-    def copies_of(hit: Column) -> Column:
-        # A copy with a title is a near duplicate of the first one, whether that was kept or not.
-        useful = F.least(hit["copies"], F.lit(k)).cast("int")
-        repeats = F.when(hit["title"] == "", useful).otherwise(1) if dedup else useful
-        return F.array_repeat(F.struct(hit["id"], hit["title"], hit["score"], hit["profile"]), repeats)
-
-    walked = F.flatten(F.transform(prefix, copies_of)).cast(_KEPT)
-    return F.aggregate(F.coalesce(walked, F.array().cast(_KEPT)), kept, step)
+    return F.aggregate(_in_order(prefix, k, dedup), kept, step)
 
 
 def _still_wanted(choice: DataFrame, hits: DataFrame, dedup: bool) -> DataFrame:
@@ -124,16 +129,21 @@ def _still_wanted(choice: DataFrame, hits: DataFrame, dedup: bool) -> DataFrame:
     return found.drop("kept", "last")
 
 
+def _prefixes(hits: DataFrame) -> DataFrame:
+    """(query_id, prefix): the ``hits`` of each query, in order."""
+    # Edit distances take long for the few bytes they read, so partitions must not be merged by size.
+    partitions = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return hits.repartition(partitions, "query_id").groupBy("query_id").agg(
+        F.array_sort(F.collect_list(F.struct(*_PLACE, "copies", "score", "profile"))).alias("prefix")
+    )
+
+
 def _walked(choice: DataFrame, hits: DataFrame, k: int, dedup: bool, full: Column | None = None) -> DataFrame:
     """``choice`` after every query walked down its ``hits``, a prefix at most.
 
     ``full`` tells from ``prefix``, an array of hits or null, whether there may be more to walk.
     """
-    # Edit distances take long for the few bytes they read, so partitions must not be merged by size.
-    partitions = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    prefixes = hits.repartition(partitions, "query_id").groupBy("query_id").agg(
-        F.array_sort(F.collect_list(F.struct(*_PLACE, "copies", "score", "profile"))).alias("prefix")
-    )
+    prefixes = _prefixes(hits)
     kept = _fold(F.col("kept"), F.col("prefix"), k, dedup)
     end = F.get("prefix", F.size("prefix") - 1)
     more = F.lit(False) if full is None else F.coalesce(full, F.lit(False))
@@ -146,6 +156,15 @@ def _walked(choice: DataFrame, hits: DataFrame, k: int, dedup: bool, full: Colum
     )
 
 
+def walked(choice: DataFrame, hits: DataFrame, k: int, dedup: bool, fold: Callable[[Column, Column, int], Column] | None) -> DataFrame:
+    """(query_id, kept): ``choice`` after every query walked down all its ``hits``. ``fold`` stands in for the fold in the JVM."""
+    if fold is None:
+        return _walked(choice, hits, k, dedup).select("query_id", "kept")
+    prefixes = _prefixes(hits).select("query_id", _in_order(F.col("prefix"), k, dedup).alias("walked"))
+    going = choice.select("query_id", "kept").join(prefixes, "query_id", "left")
+    return going.select("query_id", fold(F.col("kept"), F.coalesce("walked", F.array().cast(_KEPT)), k).alias("kept"))
+
+
 def _state(choice: DataFrame, k: int) -> tuple[bool, bool]:
     """Whether any query wants to go on, and whether any has fewer than ``k`` hits."""
     left = choice.agg(F.max("more").alias("more"), F.max(F.size("kept") < k).alias("short")).first()

@@ -5,10 +5,11 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillrank.functions.relevance import merit
 from quillrank.index import ArticleIndex
-from quillrank.operators import analysis, bags, padding, pruning, scoring, selection
+from quillrank.operators import analysis, bags, blocks, padding, pruning, scoring, selection
 from quillrank.storage import Scratch, broadcast_if_small, checkpointed
 
 _TERM_BYTES = 64  # a row of numbers around a term
@@ -37,7 +38,7 @@ class Corpus:
     """
 
     def __init__(self, queries: DataFrame, articles: DataFrame | ArticleIndex, options: Options, scratch: Scratch):
-        self._ratio, self._scratch = options.ratio, scratch
+        self._ratio, self._scratch, self._options = options.ratio, scratch, options
         self.term_rows = scratch.stored(analysis.query_term_rows(queries, options.stem))
         self.store = articles.rows if isinstance(articles, ArticleIndex) else scratch.stored(bags.token_store(articles))
         vocabulary = analysis.query_vocabulary(self.term_rows)
@@ -46,21 +47,49 @@ class Corpus:
             token_terms = stems.join(vocabulary, "term", "left_semi")
         else:
             token_terms = vocabulary.select(F.col("term").alias("token"), "term")
-        token_terms = _small(scratch.stored(token_terms), "token", _WEIGHT_ROWS, _WEIGHT_BYTES)
-        # Adaptive execution may split frequent tokens here, if they do not fit a broadcast.
-        found = scratch.stored(bags.matches(self.store, token_terms))
-        self.bags = scratch.bucketed(bags.article_bags(self.store, found), "fingerprint")
+        token_terms = scratch.stored(token_terms)
+        self._token_terms = _small(token_terms, "token", _WEIGHT_ROWS, _WEIGHT_BYTES)
+        self._tokens_are_small = self._token_terms is not token_terms
         self.stats = bags.corpus_stats(bags.article_lengths(self.store))
 
+    @cached_property
+    def bags(self) -> DataFrame:
+        """The matches of every article, equal articles together."""
+        # Adaptive execution may split frequent tokens here, if they do not fit a broadcast.
+        found = self._scratch.stored(bags.matches(self.store, self._token_terms))
+        return self._scratch.bucketed(bags.article_bags(self.store, found), "fingerprint")
+
     @cached_property
     def weights(self) -> DataFrame:
         """Every term of every query that the corpus has, with what scoring needs to know of it."""
-        frequencies = bags.term_frequencies(self.postings())
+        if self._may_add_blocks:
+            frequencies = bags.store_frequencies(self.store, self._token_terms)
+        else:
+            frequencies = bags.term_frequencies(self.postings())
         counts = analysis.query_term_counts(self.term_rows)
         return self._scratch.stored(
             scoring.term_weights(counts, frequencies, self.stats, self._ratio).where("cf > 0")
         )
 
+    @cached_property
+    def _may_add_blocks(self) -> bool:
+        """Whether there are many queries, of tokens, with all articles to rank after the hits."""
+        options, rows = self._options, self.term_rows
+        if options.stem or not options.pad_zero or rows.schema["query_id"].dataType != T.LongType():
+            return False
+        return self._tokens_are_small and rows.count() >= blocks.LEAST_TERMS
+
+    def scored_by_blocks(self) -> blocks.Scored | None:
+        """The articles as blocks of scores, if that pays; else None."""
+        if not self._may_add_blocks or pruning.rows_to_score(self.weights) < blocks.LEAST_ROWS:
+            return None
+        queries = self.term_rows.select("query_id", "n_terms").distinct()
+        numbers = queries.where(F.col("query_id").isNotNull()).agg(F.count("*").alias("rows"), F.countDistinct("query_id").alias("ids")).first()
+        # Two queries of one number would need sums of their own.
+        if numbers["rows"] != numbers["ids"] or self.weights.count() > blocks.MOST_WEIGHTS:
+            return None
+        return blocks.Scored(self.store, queries, self.weights, self._scratch)
+
     @cached_property
     def _small_weights(self) -> DataFrame:
         return _small(self.weights, "term", _WEIGHT_ROWS, _WEIGHT_BYTES)
@@ -77,7 +106,6 @@ class Corpus:
             weights = F.broadcast(weights)  # part of a table whose size was checked
         return scoring.scored_hits(self.postings(), weights)
 
-
     def best_hits(self, count: int, most: int) -> DataFrame:
         """The best ``most`` hits of every query, or fewer that are ``count`` at least, as ``selection`` holds them.
 
@@ -102,6 +130,9 @@ def _small(df: DataFrame, text: str, rows: int, size: int) -> DataFrame:
 def _choose(corpus: Corpus, options: Options, scratch: Scratch) -> DataFrame:
     """The hits that every query keeps, as ``selection`` has them."""
     k, prefix, dedup = options.k, options.prefix, options.dedup
+    scored = corpus.scored_by_blocks()
+    if scored is not None:
+        return blocks.choose(scored, scratch.stored(selection.new_choice(corpus.term_rows)), k, prefix, dedup, scratch)
     value = merit(F.col("score"))
     held = corpus.best_hits(*selection.prefix_lengths(k, prefix))
 
